@@ -60,3 +60,12 @@ def dim_date(spark: SparkSession, start: str = CALENDAR_START, end: str = CALEND
                     F.dayofweek(d).isin(1, 7).alias("is_weekend"),
                     (((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)).alias("is_leap_year"),
                     F.dayofmonth(F.last_day(d)).alias("days_in_month")))
+
+
+def dim_date_covering(df: DataFrame, ts_col: str = "rated_at") -> DataFrame:
+    """A calendar spanning whole years from the first to the last year of
+    ``ts_col`` in ``df`` (one small aggregation to find the bounds)."""
+    lo, hi = df.agg(F.min(F.year(ts_col)), F.max(F.year(ts_col))).first()
+    if lo is None:
+        return dim_date(df.sparkSession, CALENDAR_START, CALENDAR_START).limit(0)
+    return dim_date(df.sparkSession, f"{lo:04d}-01-01", f"{hi:04d}-12-31")

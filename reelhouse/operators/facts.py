@@ -88,12 +88,13 @@ def orphan_facts(fact: DataFrame, dim: DataFrame, key: str = "content_sk",
 
 
 def latest_rating(fact: DataFrame, user_col: str = "user_sk", item_col: str = "content_sk",
-                  ts_col: str = "rated_at", tie_col: str = "rating_sk") -> DataFrame:
+                  ts_col: str = "rated_at", tie_cols: tuple[str, ...] = ("rating_sk", "rating_value")) -> DataFrame:
     """Newest rating per (user, title); ties on time go to the larger
-    ``rating_sk``.  An aggregation with ``max_by`` (partial aggregation, no
+    ``rating_sk``, then the larger value (two ratings in one second share a
+    ``rating_sk``).  An aggregation with ``max_by`` (partial aggregation, no
     full sort) instead of a row_number window."""
     cols = [c for c in fact.columns if c not in (user_col, item_col)]
-    pick = F.max_by(F.struct(*cols), F.struct(F.col(ts_col), F.col(tie_col)))
+    pick = F.max_by(F.struct(*cols), F.struct(F.col(ts_col), *[F.col(c) for c in tie_cols]))
     return (fact.groupBy(user_col, item_col).agg(pick.alias("_r"))
             .select(user_col, item_col, "_r.*"))
 

@@ -139,8 +139,8 @@ def version_overlaps(dim: DataFrame, key: str = "user_id", sk: str = "user_sk",
     version: ``a`` is the later version, ``b`` the witness."""
     w = (Window.partitionBy(key).orderBy(start, sk)
          .rowsBetween(Window.unboundedPreceding, -1))
-    witness = F.max_by(F.struct(F.col(sk).alias("sk"), F.col(start).alias("f"), F.col(end).alias("t")),
-                       F.col(end)).over(w)
+    # the earlier version ending last (ties: later start, then larger key)
+    witness = F.max(F.struct(F.col(end).alias("t"), F.col(start).alias("f"), F.col(sk).alias("sk"))).over(w)
     return (dim.select(key, sk, start, end, witness.alias("w"))
             .filter(F.col("w").isNotNull()
                     & (F.col(start) < F.col("w.t")) & (F.col(end) > F.col("w.f")))

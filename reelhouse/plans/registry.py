@@ -14,10 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelhouse.operators import analytics
+from reelhouse.functions.keys import epoch_seconds, surrogate_key
+from reelhouse.functions.scoring import era_bucket
+from reelhouse.operators import analytics, dims, facts, features, history, quality, tags
 from reelhouse.operators import mart as mart_ops
 from reelhouse.plans import oracle as O
 from reelhouse.plans.gold import GoldBuild
+from reelhouse.session import checkpoint_root
 
 # Fixture-scaled thresholds of the analyst queries.
 TOP_MIN_RATINGS = 20
@@ -173,6 +176,323 @@ def _tier_changes(g: GoldBuild) -> DataFrame:
     return analytics.tier_change_history(g.dim_user)
 
 
+# --- more silver / keys ----------------------------------------------------------
+@register("era_bucket", O.sql_with("""
+SELECT DISTINCT release_year,
+       CASE WHEN release_year < 1980 THEN 'classic' WHEN release_year < 2000 THEN 'modern'
+            WHEN release_year < 2015 THEN 'contemporary' ELSE 'recent' END AS era
+FROM stg_movies""", "stg_movies"))
+def _era_bucket(g: GoldBuild) -> DataFrame:
+    return g.stg_movies.select("release_year").distinct().select("release_year",
+                                                                  era_bucket("release_year").alias("era"))
+
+
+@register("stage_tags", O.sql_with("SELECT * FROM stg_tags", "stg_tags"))
+def _stage_tags(g: GoldBuild) -> DataFrame:
+    return g.stg_tags
+
+
+@register("surrogate_key", O.sql_with(f"""
+SELECT user_id, movie_id, CAST(epoch(rated_at) AS BIGINT) AS rated_epoch,
+       {O.sk('user_id', 'movie_id', 'CAST(epoch(rated_at) AS BIGINT)')} AS rating_sk
+FROM stg_ratings""", "stg_ratings"))
+def _surrogate_key(g: GoldBuild) -> DataFrame:
+    r = g.stg_ratings
+    return r.select("user_id", "movie_id", epoch_seconds("rated_at").alias("rated_epoch"),
+                    surrogate_key("user_id", "movie_id", epoch_seconds("rated_at")).alias("rating_sk"))
+
+
+# --- history ------------------------------------------------------------------------
+@register("scd2_capture", O.sql_with("SELECT * FROM user_snapshot", "user_snapshot"))
+def _scd2_capture(g: GoldBuild) -> DataFrame:
+    """C1 folded over the captures in time order (equals C2)."""
+    checkpoint_root(g.spark)
+    caps = g.stg_user_captures
+    hist = None
+    for d in g.capture_dates:
+        ts = F.lit(d).cast("date").cast("timestamp")
+        # each merged history is persisted before the next capture, as in a daily run
+        hist = history.scd2_capture(hist, caps.filter(F.col("capture_ts") == ts), ts).checkpoint()
+    return hist.select(*g.user_snapshot.columns)
+
+
+@register("dim_user_as_of", O.sql_with("""
+SELECT * FROM dim_user
+WHERE valid_from <= TIMESTAMP '1999-01-01 00:00:00' AND TIMESTAMP '1999-01-01 00:00:00' < valid_to""",
+                                      "dim_user"))
+def _dim_user_as_of(g: GoldBuild) -> DataFrame:
+    return history.dim_user_as_of(g.dim_user, "1999-01-01 00:00:00")
+
+
+@register("dim_date", O.sql_with("SELECT * FROM dim_date_data", "dim_date_data"))
+def _dim_date(g: GoldBuild) -> DataFrame:
+    """C5 spanning the years of the staged ratings."""
+    return dims.dim_date_covering(g.stg_ratings)
+
+
+@register("version_overlap", O.sql_with("SELECT * FROM overlap_clean", "overlap_clean"))
+def _overlap(g: GoldBuild) -> DataFrame:
+    return history.version_overlaps(g.dim_user)
+
+
+def dirty_versions(dim_user: DataFrame) -> DataFrame:
+    """Dirty twin of dim_user: every closed version ends 400 days late."""
+    return dim_user.withColumn("valid_to", F.when(F.col("is_current"), F.col("valid_to"))
+                               .otherwise(F.col("valid_to") + F.expr("INTERVAL 400 DAYS")))
+
+
+@register("version_overlap_dirty", O.sql_with("SELECT * FROM overlap_dirty", "overlap_dirty"))
+def _overlap_dirty(g: GoldBuild) -> DataFrame:
+    return history.version_overlaps(dirty_versions(g.dim_user))
+
+
+# --- joins ----------------------------------------------------------------------------
+@register("rating_as_of", O.sql_with("""
+SELECT r.*, u.user_sk, u.membership_tier, u.region, u.device_preference, u.created_at,
+       u.valid_from, u.valid_to, u.is_current
+FROM stg_ratings r LEFT JOIN dim_user u
+  ON u.user_id = r.user_id AND r.rated_at >= u.valid_from AND r.rated_at < u.valid_to""",
+                                      "stg_ratings", "dim_user"))
+def _rating_as_of(g: GoldBuild) -> DataFrame:
+    return facts.rating_as_of(g.stg_ratings, g.dim_user, "user_id", "rated_at", how="left")
+
+
+@register("fact_left_user", O.sql_with("""
+SELECT content_sk, unique_raters, unique_regions FROM per_title""", "per_title"))
+def _fact_left_user(g: GoldBuild) -> DataFrame:
+    return mart_ops.title_audience(g.fact, g.dim_user)
+
+
+@register("orphan_facts", O.sql_with("""
+SELECT f.rating_sk, f.content_sk FROM fact f ANTI JOIN dim_content c ON c.content_sk = f.content_sk""",
+                                      "fact", "dim_content"))
+def _orphans(g: GoldBuild) -> DataFrame:
+    return facts.orphan_facts(g.fact, g.dim_content)
+
+
+@register("orphan_ratings_dirty", O.sql_with(f"""
+SELECT rating_sk, content_sk FROM (
+  SELECT {O.sk('user_id', 'movie_id', 'CAST(epoch(rated_at) AS BIGINT)')} AS rating_sk,
+         {O.sk('movie_id')} AS content_sk FROM stg_ratings) r
+WHERE content_sk NOT IN (SELECT content_sk FROM dim_content)""", "stg_ratings", "dim_content"))
+def _orphans_dirty(g: GoldBuild) -> DataFrame:
+    """D6 on a dirty twin: every staged rating keyed to its title, including
+    titles the content dimension dropped."""
+    r = g.stg_ratings.select(surrogate_key("user_id", "movie_id", epoch_seconds("rated_at")).alias("rating_sk"),
+                             surrogate_key("movie_id").alias("content_sk"))
+    return facts.orphan_facts(r, g.dim_content)
+
+
+@register("latest_rating", O.sql_with("""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_sk, content_sk ORDER BY rated_at DESC, rating_sk DESC, rating_value DESC) AS rn
+  FROM fact) x WHERE rn = 1""", "fact"))
+def _latest(g: GoldBuild) -> DataFrame:
+    return facts.latest_rating(g.fact)
+
+
+# --- quality ----------------------------------------------------------------------------
+@register("check_not_null_fact", O.sql_with("""
+SELECT * FROM fact WHERE rating_sk IS NULL OR user_sk IS NULL OR content_sk IS NULL OR date_sk IS NULL
+   OR rating_value IS NULL""", "fact"))
+def _nn(g: GoldBuild) -> DataFrame:
+    return quality.check_not_null(g.fact, "rating_sk", "user_sk", "content_sk", "date_sk", "rating_value")
+
+
+@register("check_not_null_raw_dirty", O.sql_with(r"""
+SELECT * FROM fx_movies WHERE regexp_extract(title, '\((\d{4})\)\s*$', 1) = ''""", "fx_movies"))
+def _nn_dirty(g: GoldBuild) -> DataFrame:
+    """G1 on a dirty twin: titles whose parsed year would be null."""
+    parsed = g.raw_movies.withColumn("_y", F.regexp_extract("title", r"\((\d{4})\)\s*$", 1).try_cast("int"))
+    return quality.check_not_null(parsed, "_y").drop("_y")
+
+
+@register("check_unique_rating_sk", O.sql_with("""
+SELECT rating_sk, COUNT(*) AS n FROM fact WHERE rating_sk IS NOT NULL GROUP BY rating_sk HAVING COUNT(*) > 1""",
+                                             "fact"))
+def _uniq(g: GoldBuild) -> DataFrame:
+    return quality.check_unique(g.fact, "rating_sk")
+
+
+@register("check_accepted_tiers_raw", O.sql_with("""
+SELECT * FROM fx_user_captures
+WHERE membership_tier IS NOT NULL AND membership_tier NOT IN ('basic', 'standard', 'premium')""",
+                                               "fx_user_captures"))
+def _accepted_raw(g: GoldBuild) -> DataFrame:
+    return quality.check_accepted_values(g.raw_user_captures, "membership_tier", quality.TIERS)
+
+
+@register("check_accepted_values_gold", O.sql_with("""
+SELECT user_sk, membership_tier, region FROM dim_user
+WHERE membership_tier NOT IN ('basic', 'standard', 'premium') OR region NOT IN ('NA', 'EU', 'APAC', 'LATAM')""",
+                                                 "dim_user"))
+def _accepted_gold(g: GoldBuild) -> DataFrame:
+    d = g.dim_user.select("user_sk", "membership_tier", "region")
+    return (quality.check_accepted_values(d, "membership_tier", quality.TIERS)
+            .unionByName(quality.check_accepted_values(d, "region", quality.REGIONS)).distinct())
+
+
+@register("check_relationships_fact_date", O.sql_with("""
+SELECT f.* FROM fact f ANTI JOIN dim_date_default d ON d.date_sk = f.date_sk""", "fact", "dim_date_default"))
+def _rel(g: GoldBuild) -> DataFrame:
+    return quality.check_relationships(g.fact, "date_sk", g.dim_date)
+
+
+@register("check_rating_range_raw", O.sql_with("""
+SELECT "userId", "movieId", rating FROM fx_ratings WHERE NOT (rating BETWEEN 0.5 AND 5.0)""", "fx_ratings"))
+def _range_raw(g: GoldBuild) -> DataFrame:
+    return quality.check_rating_range(g.raw_ratings, "rating", keep=("userId", "movieId"))
+
+
+@register("check_rating_range", O.sql_with("""
+SELECT rating_sk, rating_value FROM fact WHERE NOT (rating_value BETWEEN 0.5 AND 5.0)""", "fact"))
+def _range_fact(g: GoldBuild) -> DataFrame:
+    return quality.check_rating_range(g.fact)
+
+
+@register("check_scd2_no_overlap", O.sql_with("SELECT * FROM overlap_clean", "overlap_clean"))
+def _no_overlap(g: GoldBuild) -> DataFrame:
+    return quality.check_scd2_no_overlap(g.dim_user)
+
+
+@register("check_no_orphans", O.sql_with("""
+SELECT f.rating_sk, f.content_sk FROM fact f LEFT JOIN dim_content c USING (content_sk)
+WHERE c.content_sk IS NULL""", "fact", "dim_content"))
+def _no_orphans(g: GoldBuild) -> DataFrame:
+    return quality.check_no_orphans(g.fact, g.dim_content)
+
+
+def _verdict(df: DataFrame) -> DataFrame:
+    return df.select("check", "column", "status")
+
+
+@register("check_row_count", O.sql_with("""
+SELECT 'RowCountCheck' AS "check", CAST(NULL AS VARCHAR) AS "column",
+       CASE WHEN COUNT(*) BETWEEN 1000 AND 200000 THEN 'pass' ELSE 'fail' END AS status FROM mart""", "mart"))
+def _rowcount(g: GoldBuild) -> DataFrame:
+    return _verdict(quality.check_row_count(g.mart, 1_000, 200_000))
+
+
+@register("check_row_count_fact", O.sql_with("""
+SELECT 'RowCountCheck' AS "check", CAST(NULL AS VARCHAR) AS "column",
+       CASE WHEN COUNT(*) BETWEEN 10000000 AND 30000000 THEN 'pass' ELSE 'fail' END AS status FROM fact""",
+                                           "fact"))
+def _rowcount_fact(g: GoldBuild) -> DataFrame:
+    """The reference's bounds for 25M ratings: fails on the fixture, as it should."""
+    return _verdict(quality.check_row_count(g.fact, 10_000_000, 30_000_000))
+
+
+@register("check_null_rate", O.sql_with("""
+SELECT 'NullRateCheck' AS "check", 'rating_stddev' AS "column",
+       CASE WHEN (COUNT(*) FILTER (WHERE rating_stddev IS NULL))::DOUBLE / COUNT(*) <= 0.0 THEN 'pass' ELSE 'fail' END
+       AS status FROM mart""", "mart"))
+def _nullrate(g: GoldBuild) -> DataFrame:
+    return _verdict(quality.check_null_rate(g.mart, "rating_stddev", 0.0))
+
+
+@register("check_range", O.sql_with("""
+SELECT 'RangeCheck' AS "check", 'pct_positive' AS "column",
+       CASE WHEN min(pct_positive) >= 0 AND max(pct_positive) <= 100 THEN 'pass' ELSE 'fail' END AS status
+FROM mart""", "mart"))
+def _range(g: GoldBuild) -> DataFrame:
+    return _verdict(quality.check_range(g.mart, "pct_positive", 0.0, 100.0))
+
+
+@register("check_uniqueness", O.sql_with("""
+SELECT 'UniquenessCheck' AS "check", 'rating_sk' AS "column",
+       CASE WHEN 1.0 - COUNT(DISTINCT rating_sk)::DOUBLE / COUNT(rating_sk) <= 0.0 THEN 'pass' ELSE 'fail' END
+       AS status FROM fact""", "fact"))
+def _uniqueness(g: GoldBuild) -> DataFrame:
+    return _verdict(quality.check_uniqueness(g.fact, "rating_sk", 0.0))
+
+
+@register("check_distribution", O.sql_with("""
+SELECT 'DistributionCheck' AS "check", 'avg_rating' AS "column",
+       CASE WHEN abs(avg(CAST(avg_rating AS DOUBLE)) - 3.5) / stddev_samp(CAST(avg_rating AS DOUBLE)) <= 4.0
+            THEN 'pass' ELSE 'fail' END AS status FROM mart""", "mart"))
+def _distribution(g: GoldBuild) -> DataFrame:
+    return _verdict(quality.check_distribution(g.mart, "avg_rating", 3.5, 4.0))
+
+
+_REPORT_SQL = """
+SELECT * FROM (VALUES
+  ('RowCountCheck', NULL, (SELECT CASE WHEN COUNT(*) BETWEEN 1000 AND 200000 THEN 'pass' ELSE 'fail' END FROM mart)),
+  ('NullRateCheck', 'content_sk', (SELECT CASE WHEN COUNT(*) FILTER (WHERE content_sk IS NULL) = 0 THEN 'pass' ELSE 'fail' END FROM mart)),
+  ('NullRateCheck', 'avg_rating', (SELECT CASE WHEN COUNT(*) FILTER (WHERE avg_rating IS NULL) = 0 THEN 'pass' ELSE 'fail' END FROM mart)),
+  ('NullRateCheck', 'primary_genre', (SELECT CASE WHEN COUNT(*) FILTER (WHERE primary_genre IS NULL) = 0 THEN 'pass' ELSE 'fail' END FROM mart)),
+  ('RangeCheck', 'avg_rating', (SELECT CASE WHEN min(avg_rating) >= 0.5 AND max(avg_rating) <= 5.0 THEN 'pass' ELSE 'fail' END FROM mart)),
+  ('RangeCheck', 'pct_positive', (SELECT CASE WHEN min(pct_positive) >= 0 AND max(pct_positive) <= 100 THEN 'pass' ELSE 'fail' END FROM mart)),
+  ('RangeCheck', 'release_year', (SELECT CASE WHEN min(release_year) >= 1888 AND max(release_year) <= 2026 THEN 'pass' ELSE 'fail' END FROM mart)),
+  ('UniquenessCheck', 'content_sk', (SELECT CASE WHEN COUNT(DISTINCT content_sk) = COUNT(content_sk) THEN 'pass' ELSE 'fail' END FROM mart)),
+  ('UniquenessCheck', 'movie_id', (SELECT CASE WHEN COUNT(DISTINCT movie_id) = COUNT(movie_id) THEN 'pass' ELSE 'fail' END FROM mart)),
+  ('DistributionCheck', 'avg_rating', (SELECT CASE WHEN abs(avg(CAST(avg_rating AS DOUBLE)) - 3.5)
+        / stddev_samp(CAST(avg_rating AS DOUBLE)) <= 4.0 THEN 'pass' ELSE 'fail' END FROM mart))
+) t("check", "column", status)
+UNION ALL
+SELECT 'overall', NULL, CASE WHEN (SELECT COUNT(*) BETWEEN 1000 AND 200000 FROM mart)
+   AND (SELECT abs(avg(CAST(avg_rating AS DOUBLE)) - 3.5) / stddev_samp(CAST(avg_rating AS DOUBLE)) <= 4.0 FROM mart)
+   AND (SELECT COUNT(DISTINCT movie_id) = COUNT(movie_id) FROM mart)
+   AND (SELECT min(avg_rating) >= 0.5 AND max(avg_rating) <= 5.0 FROM mart) THEN 'pass' ELSE 'fail' END"""
+
+
+@register("quality_report", O.sql_with(_REPORT_SQL, "mart"))
+def _report(g: GoldBuild) -> DataFrame:
+    """G14 with the reference's mart suite minus the schema check (metadata
+    only; covered by tests)."""
+    checks = [c for c in quality.gold_mart_checks() if not isinstance(c, quality.SchemaCheck)]
+    return _verdict(quality.quality_report(g.mart, checks))
+
+
+# --- features and tags ---------------------------------------------------------------------
+@register("content_features", O.sql_with("""
+SELECT content_sk, movie_id, release_year, era, genre_count,
+       CAST(generate_subscripts(string_split(all_genres, ', '), 1) - 1 AS INTEGER) AS genre_pos,
+       unnest(string_split(all_genres, ', ')) AS genre
+FROM dim_content""", "dim_content"))
+def _content_features(g: GoldBuild) -> DataFrame:
+    return features.content_features(g.dim_content)
+
+
+@register("user_item_ratings", O.sql_with("""
+SELECT CAST(u.user_id AS BIGINT) AS user_id, CAST(c.movie_id AS BIGINT) AS movie_id,
+       CAST(f.rating_value AS DOUBLE) AS rating, f.rated_at
+FROM fact f JOIN dim_user u ON u.user_sk = f.user_sk JOIN dim_content c ON c.content_sk = f.content_sk""",
+                                           "fact", "dim_user", "dim_content"))
+def _user_item(g: GoldBuild) -> DataFrame:
+    return features.user_item_ratings(g.fact, g.dim_user, g.dim_content)
+
+
+@register("engagement_features", O.sql_with("""
+SELECT content_sk, movie_id, total_ratings, avg_rating, pct_positive, unique_raters, weighted_score FROM mart""",
+                                             "mart"))
+def _engagement(g: GoldBuild) -> DataFrame:
+    return features.engagement_features(g.mart)
+
+
+@register("recency_features", O.sql_with("""
+SELECT rating_sk, user_sk, content_sk, rated_at, days_since_release FROM fact""", "fact"))
+def _recency(g: GoldBuild) -> DataFrame:
+    return features.recency_features(g.fact)
+
+
+@register("dim_tag", O.sql_with(f"""
+SELECT {O.sk('tag_normalized')} AS tag_sk, tag_normalized, COUNT(*) AS n_uses,
+       COUNT(DISTINCT movie_id) AS n_titles, COUNT(DISTINCT user_id) AS n_users,
+       min(tagged_at) AS first_tagged_at, max(tagged_at) AS last_tagged_at
+FROM stg_tags GROUP BY tag_normalized""", "stg_tags"))
+def _dim_tag(g: GoldBuild) -> DataFrame:
+    return tags.dim_tag(g.stg_tags)
+
+
+@register("bridge_content_tag", O.sql_with(f"""
+SELECT c.content_sk, {O.sk('t.tag_normalized')} AS tag_sk, t.tag_normalized, t.n_users, t.last_tagged_at
+FROM (SELECT movie_id, tag_normalized, COUNT(*) AS n_users, max(tagged_at) AS last_tagged_at
+      FROM stg_tags GROUP BY movie_id, tag_normalized) t
+JOIN dim_content c ON c.movie_id = t.movie_id""", "stg_tags", "dim_content"))
+def _bridge(g: GoldBuild) -> DataFrame:
+    return tags.bridge_content_tag(g.stg_tags, g.dim_content)
+
+
 def queries() -> dict[str, Builder]:
     return {name: b for name, (b, _) in REGISTRY.items()}
 
