@@ -34,7 +34,8 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "reelhouse") -> SparkSession:
+                  app_name: str = "reelhouse", checkpoint_dir: str | None = None,
+                  event_log_dir: str | None = None) -> SparkSession:
     """Session for tests and local runs; on a cluster use the cluster's session
     and call :func:`apply_defaults`."""
     builder = (SparkSession.builder.appName(app_name)
@@ -45,6 +46,11 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if master:
         builder = builder.master(master)
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    if event_log_dir:
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_log_dir))
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -58,14 +64,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir`` as the cluster names it.  Only when it is
     unset (tests, local runs) a private folder is created and registered.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
         configured = tempfile.mkdtemp(prefix="reelhouse-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(configured)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
