@@ -8,6 +8,7 @@ time zone.  Thresholds scale to the fixture: 12-43 ratings per title at sf0.01.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,9 @@ from reelhouse.operators import mart as mart_ops
 from reelhouse.plans import oracle as O
 from reelhouse.plans.gold import GoldBuild
 from reelhouse.session import checkpoint_root
+from reelhouse.sources import counts as counts_src
+from reelhouse.sources import files, sinks
+from reelhouse.streaming import incremental, ratings_stream, scd2_stream
 
 # Fixture-scaled thresholds of the analyst queries.
 TOP_MIN_RATINGS = 20
@@ -493,6 +497,138 @@ def _bridge(g: GoldBuild) -> DataFrame:
     return tags.bridge_content_tag(g.stg_tags, g.dim_content)
 
 
+# --- sources and sinks (files staged by Spark from the driver tables) ----------------------
+def staging_dir(g: GoldBuild, name: str) -> str:
+    """A fresh folder under the shared checkpoint root for files a query stages."""
+    return f"{checkpoint_root(g.spark)}/reelhouse-staging/{name}-{uuid.uuid4().hex}"
+
+
+def staged_csv(g: GoldBuild, name: str, df: DataFrame) -> str:
+    return files.write_csv(df, staging_dir(g, name))
+
+
+@register("scan_ratings", O.sql_with("SELECT * FROM fx_ratings", "fx_ratings"))
+def _scan_ratings(g: GoldBuild) -> DataFrame:
+    """A1: the ratings written as CSV by Spark, scanned back with the declared schema."""
+    return files.scan_ratings(g.spark, staged_csv(g, "ratings", g.raw_ratings))
+
+
+@register("scan_movies", O.sql_with("SELECT * FROM fx_movies", "fx_movies"))
+def _scan_movies(g: GoldBuild) -> DataFrame:
+    return files.scan_movies(g.spark, staged_csv(g, "movies", g.raw_movies))
+
+
+@register("scan_tags", O.sql_with("""
+SELECT "userId", "movieId", nullif(tag, '') AS tag, "timestamp" FROM fx_tags""", "fx_tags"))
+def _scan_tags(g: GoldBuild) -> DataFrame:
+    """A3: an empty tag comes back as NULL - CSV has one empty field for both,
+    and the silver filter drops either."""
+    return files.scan_tags(g.spark, staged_csv(g, "tags", g.raw_tags))
+
+
+_LAST_CAPTURE = "2000-01-01"
+
+
+@register("scan_users", O.sql_with(f"""
+SELECT user_id, membership_tier, region, device_preference, created_at FROM fx_user_captures
+WHERE capture_ts = TIMESTAMP '{_LAST_CAPTURE} 00:00:00'""", "fx_user_captures"))
+def _scan_users(g: GoldBuild) -> DataFrame:
+    """A4: the latest user capture as users.csv (region NA must stay text)."""
+    last = g.raw_user_captures.filter(F.col("capture_ts") == F.lit(_LAST_CAPTURE).cast("timestamp")).drop("capture_ts")
+    return files.scan_users(g.spark, staged_csv(g, "users", last))
+
+
+@register("load_stamp", O.sql_with("""
+SELECT *, TIMESTAMP '2026-01-01 00:00:00' AS _loaded_at FROM fx_movies""", "fx_movies"))
+def _load_stamp(g: GoldBuild) -> DataFrame:
+    return files.load_stamp(g.raw_movies, "2026-01-01 00:00:00")
+
+
+@register("source_row_counts", O.sql_with("""
+SELECT 'ratings' AS source, COUNT(*) AS n FROM fx_ratings
+UNION ALL SELECT 'movies', COUNT(*) FROM fx_movies
+UNION ALL SELECT 'tags', COUNT(*) FROM fx_tags
+UNION ALL SELECT 'missing', 0""", "fx_ratings", "fx_movies", "fx_tags"))
+def _source_counts(g: GoldBuild) -> DataFrame:
+    """A8 over staged CSV sources; the missing one counts 0."""
+    root = staging_dir(g, "sources")
+    files.write_csv(g.raw_ratings, root + "/ratings")
+    files.write_csv(g.raw_movies, root + "/movies")
+    files.write_csv(g.raw_tags, root + "/tags")
+    return counts_src.source_row_counts(g.spark, {
+        "ratings": (files.scan_ratings, root + "/ratings"), "movies": (files.scan_movies, root + "/movies"),
+        "tags": (files.scan_tags, root + "/tags"), "missing": (files.scan_users, root + "/users")})
+
+
+@register("write_gold", O.sql_with("SELECT * FROM fact", "fact"))
+def _write_gold(g: GoldBuild) -> DataFrame:
+    """The fact written partitioned by year and read back."""
+    path = sinks.write_gold(g.fact, staging_dir(g, "fact"), "rating_year", files_per_partition=2)
+    return g.spark.read.parquet(path).select(*g.fact.columns)
+
+
+@register("read_gold_pruned", O.sql_with("SELECT * FROM fact WHERE rating_year IN (1996, 1997)", "fact"))
+def _read_pruned(g: GoldBuild) -> DataFrame:
+    """Only the 1996 and 1997 partitions are read (PartitionFilters)."""
+    path = sinks.write_gold(g.fact, staging_dir(g, "fact"), "rating_year")
+    return sinks.read_gold_pruned(g.spark, path, [1996, 1997]).select(*g.fact.columns)
+
+
+@register("append_run_audit", None)
+def _audit(g: GoldBuild) -> DataFrame:
+    """Two runs appended to an audit table (rows-only: holds run times)."""
+    path = staging_dir(g, "audit")
+    report = quality.quality_report(g.mart, quality.gold_mart_checks())
+    cnt = g.raw_ratings.agg(F.count(F.lit(1)).alias("n")).select(F.lit("ratings").alias("source"), "n")
+    sinks.append_run_audit(g.spark, path, "run-1", cnt, report)
+    return sinks.append_run_audit(g.spark, path, "run-2", None, None)
+
+
+# --- streaming -------------------------------------------------------------------------------
+@register("stream_ratings", O.sql_with("SELECT * FROM stg_ratings", "stg_ratings"))
+def _stream_ratings(g: GoldBuild) -> DataFrame:
+    """Lineitem files streamed (stream-static join to orders), staged by
+    B1, de-duplicated within the watermark, written by an exactly-once file
+    sink; equals the batch silver ratings (the fixture has no replays)."""
+    root = staging_dir(g, "stream-ratings")
+    orders = g.spark.read.parquet(f"{g.sf_dir}/orders.parquet")
+    raw = ratings_stream.lineitem_ratings_stream(g.spark, g.sf_dir, orders)
+    ratings_stream.run_available_now(ratings_stream.silver_ratings_stream(raw), root + "/out", root + "/ckpt")
+    return g.spark.read.parquet(root + "/out")
+
+
+@register("incremental_fact", O.sql_with("SELECT * FROM fact", "fact"))
+def _incremental(g: GoldBuild) -> DataFrame:
+    """Load facts before 1999, then the rest incrementally; the table ends
+    equal to the full fact, and a second run adds nothing."""
+    root = staging_dir(g, "incremental")
+    first = facts.fact_viewership(g.stg_ratings.filter(F.col("rated_at") < F.lit("1999-01-01").cast("timestamp")),
+                                  g.dim_content, g.dim_user)
+    sinks.write_gold(first, root + "/fact", "rating_year")
+    incremental.incremental_fact(g.spark, root + "/fact", g.stg_ratings, g.dim_content, g.dim_user)
+    incremental.incremental_fact(g.spark, root + "/fact", g.stg_ratings, g.dim_content, g.dim_user)
+    return g.spark.read.parquet(root + "/fact").select(*g.fact.columns)
+
+
+@register("stream_scd2", O.sql_with("SELECT * FROM user_snapshot", "user_snapshot"))
+def _stream_scd2(g: GoldBuild) -> DataFrame:
+    """Captures arrive one file per capture; each micro-batch is merged by C1."""
+    root = staging_dir(g, "stream-scd2")
+    caps = g.stg_user_captures
+    caps.write.partitionBy("capture_ts").parquet(root + "/captures")
+    stream = (g.spark.readStream.schema(g.spark.read.parquet(root + "/captures").schema)
+              .option("maxFilesPerTrigger", "1").parquet(root + "/captures"))
+    hist = scd2_stream.run_scd2_stream(stream, root + "/target", root + "/ckpt")
+    return hist.select(*g.user_snapshot.columns)
+
+
+@register("multi_partition_write", O.sql_with("SELECT * FROM fact", "fact"))
+def _multi_partition(g: GoldBuild) -> DataFrame:
+    """I4: the fact partitioned by year and month, read back."""
+    path = incremental.multi_partition_write(g.fact, staging_dir(g, "fact-ym"), files_per_partition=2)
+    return g.spark.read.parquet(path).select(*g.fact.columns)
+
+
 def queries() -> dict[str, Builder]:
     return {name: b for name, (b, _) in REGISTRY.items()}
 
