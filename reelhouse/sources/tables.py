@@ -7,6 +7,22 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def ensure_parallelism(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
+    """Spread an under-split input over at least ``min_partitions`` tasks
+    (default: the cluster's default parallelism), hashing on ``keys``.
+
+    A parquet file is split by row groups; a large file written as one row
+    group is read by one task, and every narrow operator after it (joins to
+    broadcast dimensions, key hashing) would then run on one core.  Hashing on
+    the key the next join or aggregation uses lets that step reuse the
+    partitioning, and is deterministic on retry.  At scale inputs have far
+    more splits than cores and this is a no-op (no shuffle)."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, *keys) if keys else df.repartition(want)
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:
     """One driver table; the parquet reader prunes columns and pushes filters."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
