@@ -23,7 +23,7 @@ from reelhouse.plans import oracle as O
 from reelhouse.plans.gold import GoldBuild
 from reelhouse.session import checkpoint_root
 from reelhouse.sources import counts as counts_src
-from reelhouse.sources import files, sinks
+from reelhouse.sources import files, sinks, synth
 from reelhouse.streaming import incremental, ratings_stream, scd2_stream
 
 # Fixture-scaled thresholds of the analyst queries.
@@ -629,6 +629,26 @@ def _multi_partition(g: GoldBuild) -> DataFrame:
     return g.spark.read.parquet(path).select(*g.fact.columns)
 
 
+@register("synthesize_users", O.sql_with("""
+SELECT CAST(c_custkey AS INTEGER) AS user_id,
+       CASE WHEN t < 1288490188 THEN 'basic' WHEN t < 3006477107 THEN 'standard' ELSE 'premium' END
+         AS membership_tier,
+       CASE WHEN r < 1717986918 THEN 'NA' WHEN r < 3006477107 THEN 'EU' WHEN r < 3865470566 THEN 'APAC'
+            ELSE 'LATAM' END AS region,
+       ['desktop', 'mobile', 'tablet', 'tv'][CAST(d % 4 AS INTEGER) + 1] AS device_preference,
+       CAST(DATE '2015-01-01' + CAST(c % 3653 AS INTEGER) AS DATE) AS created_at
+FROM (SELECT c_custkey,
+             CAST(('0x' || substr(md5(CAST(c_custkey AS VARCHAR) || '-42-tier'), 1, 8)) AS BIGINT) AS t,
+             CAST(('0x' || substr(md5(CAST(c_custkey AS VARCHAR) || '-42-region'), 1, 8)) AS BIGINT) AS r,
+             CAST(('0x' || substr(md5(CAST(c_custkey AS VARCHAR) || '-42-device'), 1, 8)) AS BIGINT) AS d,
+             CAST(('0x' || substr(md5(CAST(c_custkey AS VARCHAR) || '-42-created'), 1, 8)) AS BIGINT) AS c
+      FROM customer) h"""))
+def _synth(g: GoldBuild) -> DataFrame:
+    """A10: synthetic attributes for every customer key (seed 42)."""
+    return synth.users_for_ids(g.spark.read.parquet(f"{g.sf_dir}/customer.parquet").select("c_custkey"),
+                               "c_custkey", 42)
+
+
 def queries() -> dict[str, Builder]:
     return {name: b for name, (b, _) in REGISTRY.items()}
 
