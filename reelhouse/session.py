@@ -65,7 +65,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir`` as the cluster names it.  Only when it is
     unset (tests, local runs) a private folder is created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the checkpoint folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return (configured or tempfile.mkdtemp(prefix="reelhouse-ckpt-")).rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
         configured = tempfile.mkdtemp(prefix="reelhouse-ckpt-")
