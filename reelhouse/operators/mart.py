@@ -64,13 +64,11 @@ def global_prior(hist: DataFrame, prior: str = "value_bucket") -> DataFrame:
 
 def title_rating_stats(hist: DataFrame) -> DataFrame:
     """Count, exact sum, mean, median, % positive, stddev, tiers, dates per title."""
-    x2 = (F.col("rating_value") * 2).cast("long")         # ratings are multiples of 0.5
-    s10 = F.sum((F.col("rating_value") * 10).cast("long") * F.col("n"))
+    x10 = (F.col("rating_value") * 10).cast("long")       # exact: DECIMAL(3,1) in tenths
     agg = hist.groupBy("content_sk").agg(
         F.sum("n").alias("total_ratings"),
-        s10.alias("_s10"),
-        F.sum(x2 * F.col("n")).alias("_s1"),
-        F.sum(x2 * x2 * F.col("n")).alias("_s2"),
+        F.sum(x10 * F.col("n")).alias("_s10"),
+        F.sum(x10 * x10 * F.col("n")).alias("_s2"),
         F.percentile(F.col("rating_value").cast("double"), F.lit(0.5), F.col("n")).alias("_median"),
         F.sum("n_positive").alias("_pos"),
         *[F.sum(f"n_{t}").alias(f"{t}_tier_ratings") for t in TIER_NAMES],
@@ -82,7 +80,7 @@ def title_rating_stats(hist: DataFrame) -> DataFrame:
         half_up_ratio(F.col("_s10"), F.col("total_ratings") * 10, 4, 2).alias("avg_rating"),
         F.col("_median").cast("decimal(4,2)").alias("median_rating"),
         half_up_ratio(F.col("_pos") * 100, F.col("total_ratings"), 5, 2).alias("pct_positive"),
-        sample_stddev_from_sums(F.col("total_ratings"), F.col("_s1"), F.col("_s2"), unit=2)
+        sample_stddev_from_sums(F.col("total_ratings"), F.col("_s10"), F.col("_s2"), unit=10)
          .cast("decimal(4,2)").alias("rating_stddev"),
         F.to_date("_first").alias("first_rated_at"),
         F.to_date("_last").alias("last_rated_at"),

@@ -649,6 +649,15 @@ def _synth(g: GoldBuild) -> DataFrame:
                                "c_custkey", 42)
 
 
+@register("daily_pipeline", O.sql_with("SELECT * FROM mart", "mart"))
+def _daily(g: GoldBuild) -> DataFrame:
+    """L2: the whole run (gold written, checks, audit row); returns the mart
+    as read back from storage."""
+    from reelhouse.plans.pipeline import run_pipeline
+    out = run_pipeline(g.spark, g.sf_dir, staging_dir(g, "daily"), run_id="registry-run")
+    return out["tables"].read(g.spark, "mart_content_performance")
+
+
 def queries() -> dict[str, Builder]:
     return {name: b for name, (b, _) in REGISTRY.items()}
 

@@ -79,3 +79,15 @@ def test_score_between_prior_and_title_mean(spark):
         F.least(F.lit(prior.prior_mean), F.col("avg_rating").cast("double")) - 0.006,
         F.greatest(F.lit(prior.prior_mean), F.col("avg_rating").cast("double")) + 0.006))).count()
     assert bad == 0
+
+
+def test_stats_exact_for_any_tenth(spark):
+    import statistics
+    vals = [3.3, 4.1, 0.7, 5.0, 2.9]
+    f = _fact(spark, [("t", f"u{i}", v) for i, v in enumerate(vals)])
+    du = spark.createDataFrame([(f"u{i}", "NA") for i in range(5)], "user_sk string, region string")
+    r = mart.title_stats(f, du).first()
+    want = Decimal(str(statistics.stdev(vals))).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+    assert r.rating_stddev == want
+    assert r.avg_rating == (Decimal("16.0") / 5).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+    assert r.median_rating == Decimal("3.30")
