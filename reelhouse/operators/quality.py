@@ -301,25 +301,28 @@ def fact_checks(min_rows: int = 10_000_000, max_rows: int = 30_000_000) -> list:
     ]
 
 
+# The column contracts of the gold tables.
+CONTRACTS = {
+    "dim_content": {"not_null": ["content_sk", "movie_id", "release_year", "era", "primary_genre"],
+                    "unique": ["content_sk", "movie_id"], "accepted": {"era": ERAS}},
+    "dim_user": {"not_null": ["user_sk", "user_id", "is_current"], "unique": ["user_sk"],
+                 "accepted": {"membership_tier": TIERS, "region": REGIONS}},
+    "dim_date": {"not_null": ["date_sk", "full_date", "quarter"], "unique": ["date_sk", "full_date"],
+                 "accepted": {"quarter": [1, 2, 3, 4]}},
+    "fact_viewership": {"not_null": ["rating_sk", "user_sk", "content_sk", "date_sk", "rating_value"],
+                        "unique": ["rating_sk"], "accepted": {},
+                        "rel": [("user_sk", "dim_user"), ("content_sk", "dim_content"), ("date_sk", "dim_date")]},
+    "mart_content_performance": {"not_null": ["content_sk", "total_ratings", "avg_rating"],
+                                 "unique": ["content_sk"], "accepted": {}},
+}
+
+
 def contract_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Column contracts of the gold tables as one DataFrame of
     (table, column, test, violations): not_null, unique, accepted_values and
     relationships.  One aggregation per table for the fusable tests; unique
     and relationships need their own grouping / anti join."""
-    spec = {
-        "dim_content": {"not_null": ["content_sk", "movie_id", "release_year", "era", "primary_genre"],
-                        "unique": ["content_sk", "movie_id"], "accepted": {"era": ERAS}},
-        "dim_user": {"not_null": ["user_sk", "user_id", "is_current"], "unique": ["user_sk"],
-                     "accepted": {"membership_tier": TIERS, "region": REGIONS}},
-        "dim_date": {"not_null": ["date_sk", "full_date", "quarter"], "unique": ["date_sk", "full_date"],
-                     "accepted": {"quarter": [1, 2, 3, 4]}},
-        "fact_viewership": {"not_null": ["rating_sk", "user_sk", "content_sk", "date_sk", "rating_value"],
-                            "unique": ["rating_sk"], "accepted": {},
-                            "rel": [("user_sk", "dim_user"), ("content_sk", "dim_content"),
-                                    ("date_sk", "dim_date")]},
-        "mart_content_performance": {"not_null": ["content_sk", "total_ratings", "avg_rating"],
-                                     "unique": ["content_sk"], "accepted": {}},
-    }
+    spec = CONTRACTS
     parts: list[DataFrame] = []
     for table, s in spec.items():
         if table not in tables:
