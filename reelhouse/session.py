@@ -36,7 +36,7 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "reelhouse", checkpoint_dir: str | None = None,
-                  event_log_dir: str | None = None) -> SparkSession:
+                  event_log_dir: str | None = None, extra_conf: dict | None = None) -> SparkSession:
     """Session for tests and local runs; on a cluster use the cluster's session
     and call :func:`apply_defaults`."""
     builder = (SparkSession.builder.appName(app_name)
@@ -52,7 +52,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     if event_log_dir:
         builder = (builder.config("spark.eventLog.enabled", "true")
                    .config("spark.eventLog.dir", event_log_dir))
-    for key, value in SESSION_DEFAULTS.items():
+    for key, value in {**SESSION_DEFAULTS, **(extra_conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
