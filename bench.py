@@ -30,10 +30,10 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * int(cpus)),
                           checkpoint_dir=scratch + "/ckpt")
 
-    # One pass over the smallest tables first: JVM class loading and code
+    # One pass over the sf0.01 tables first: JVM class loading and code
     # generation are a per-process constant, reported apart as warmup_sec.
     tw = time.perf_counter()
-    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.01")
     if warm_dir and os.path.isdir(warm_dir):
         materialize_gold(GoldBuild(spark, warm_dir), scratch + "/warmup")
     warmup = time.perf_counter() - tw

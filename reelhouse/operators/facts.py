@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from reelhouse.functions.keys import epoch_seconds, surrogate_key
 
 # Default bound under which a dimension is broadcast after a bounded count.
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
