@@ -8,7 +8,6 @@ capture keeps its open version.
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -73,15 +72,14 @@ def scd2_capture(history: DataFrame | None, current: DataFrame, capture_ts,
                 .withColumn("scd_valid_to", F.lit(None).cast("timestamp"))
                 .withColumn("scd_id", surrogate_key(key, epoch_seconds(ts))))
     if validate:
-        last = last_capture_ts
-        if last is None:
-            last = history.agg(F.max("scd_valid_from")).first()[0]
-        new_ts = current.sparkSession.range(1).select(ts.alias("t")).first()[0]
-        if last is not None and new_ts is not None:
-            if isinstance(last, _dt.datetime) and new_ts < last:
-                raise SnapshotError(f"capture {new_ts} is older than the last version {last}")
-            if new_ts == last:
-                return history
+        # compared inside Spark, so the client's time zone plays no part
+        last = (history.agg(F.max("scd_valid_from").alias("last")) if last_capture_ts is None
+                else history.sparkSession.range(1).select(F.lit(last_capture_ts).cast("timestamp").alias("last")))
+        row = last.select((F.col("last") > ts).alias("older"), (F.col("last") == ts).alias("same")).first()
+        if row["older"]:
+            raise SnapshotError("the capture is older than the newest version")
+        if row["same"]:
+            return history
     hist_cols = history.columns
     closed = history.filter(F.col("scd_valid_to").isNotNull())
     open_ = history.filter(F.col("scd_valid_to").isNull())

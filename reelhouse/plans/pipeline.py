@@ -15,8 +15,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reelhouse.operators import history, quality
 from reelhouse.operators import mart as mart_ops
-from reelhouse.operators import quality
 from reelhouse.plans.gold import GoldBuild
 from reelhouse.sources import sinks
 
@@ -48,7 +48,7 @@ def materialize_gold(g: GoldBuild, root: str, fact_partition_by=("rating_year",)
     timed("dims_build", lambda: (
         sinks.write_gold(g.user_snapshot, out.path("user_snapshot")),
         sinks.write_gold(g.dim_content, out.path("dim_content")),
-        sinks.write_gold(spark.read.parquet(out.path("user_snapshot")).transform(_dim_user),
+        sinks.write_gold(history.dim_user(spark.read.parquet(out.path("user_snapshot"))),
                          out.path("dim_user")),
         sinks.write_gold(g.dim_date, out.path("dim_date"))))
     dim_user = out.read(spark, "dim_user")
@@ -69,11 +69,6 @@ def materialize_gold(g: GoldBuild, root: str, fact_partition_by=("rating_year",)
     return out
 
 
-def _dim_user(snapshot: DataFrame) -> DataFrame:
-    from reelhouse.operators.history import dim_user
-    return dim_user(snapshot)
-
-
 def run_pipeline(spark: SparkSession, sf_dir: str, out_root: str, run_id: str,
                  counts: DataFrame | None = None, raise_on_fail: bool = False) -> dict:
     """Build and check the gold layer; append the audit row in any case."""

@@ -63,7 +63,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` as the cluster names it.  Only when it is
-    unset (tests, local runs) a private folder is created and registered.
+    unset in a local-mode session (tests, local runs) is a private folder
+    created and registered; on a cluster an unset folder is an error.
     """
     try:
         sc = spark.sparkContext
@@ -72,6 +73,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return (configured or tempfile.mkdtemp(prefix="reelhouse-ckpt-")).rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder every executor can "
+                               "reach; a machine-local folder does not survive executor loss")
         configured = tempfile.mkdtemp(prefix="reelhouse-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(configured)
