@@ -104,13 +104,16 @@ def controversial_titles(mart: DataFrame, min_stddev: float = 1.5, min_ratings:
 def tier_change_history(dim_user: DataFrame, k: int = 20) -> DataFrame:
     """F8: users with more than one version, their tiers in time order.
 
-    A user's version count is the number of its captures that changed
-    something, so the collected list is bounded by the capture count."""
-    hist = (dim_user.groupBy("user_id")
-            .agg(F.array_sort(F.collect_list(F.struct("valid_from", "membership_tier"))).alias("_h"),
-                 F.count(F.lit(1)).alias("rows_in_dim_user"))
-            .filter(F.col("rows_in_dim_user") > 1))
-    return (hist.select("user_id", F.transform("_h", lambda s: s["membership_tier"]).alias("tier_history"),
-                        "rows_in_dim_user")
-            .orderBy(F.col("rows_in_dim_user").desc(), F.col("user_id").asc())
-            .limit(k))
+    Users are ranked by version count first (partial aggregation, then a
+    top-k); tier lists are collected only for the k chosen users, whose keys
+    form a broadcast side of at most k rows."""
+    counts = (dim_user.groupBy("user_id").agg(F.count(F.lit(1)).alias("rows_in_dim_user"))
+              .filter(F.col("rows_in_dim_user") > 1))
+    top = counts.orderBy(F.col("rows_in_dim_user").desc(), F.col("user_id").asc()).limit(k)
+    lists = (dim_user.join(F.broadcast(top.select("user_id")), "user_id")
+             .groupBy("user_id")
+             .agg(F.array_sort(F.collect_list(F.struct("valid_from", "membership_tier"))).alias("_h")))
+    return (top.join(lists, "user_id")
+            .select("user_id", F.transform("_h", lambda x: x["membership_tier"]).alias("tier_history"),
+                    "rows_in_dim_user")
+            .orderBy(F.col("rows_in_dim_user").desc(), F.col("user_id").asc()))

@@ -177,7 +177,9 @@ FROM dim_user GROUP BY user_id HAVING COUNT(*) > 1
 ORDER BY rows_in_dim_user DESC, user_id ASC
 LIMIT 20""", "dim_user"))
 def _tier_changes(g: GoldBuild) -> DataFrame:
-    return analytics.tier_change_history(g.dim_user)
+    # the query reads dim_user three times: cut its lineage once (shared checkpoint folder)
+    checkpoint_root(g.spark)
+    return analytics.tier_change_history(g.dim_user.checkpoint())
 
 
 # --- more silver / keys ----------------------------------------------------------
