@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from reelhouse.operators import history, quality
 from reelhouse.operators import mart as mart_ops
 from reelhouse.plans.gold import GoldBuild
+from reelhouse.session import size_shuffles_for
 from reelhouse.sources import sinks
 
 
@@ -70,8 +71,14 @@ def materialize_gold(g: GoldBuild, root: str, fact_partition_by=("rating_year",)
 
 
 def run_pipeline(spark: SparkSession, sf_dir: str, out_root: str, run_id: str,
-                 counts: DataFrame | None = None, raise_on_fail: bool = False) -> dict:
-    """Build and check the gold layer; append the audit row in any case."""
+                 counts: DataFrame | None = None, raise_on_fail: bool = False,
+                 input_bytes: int | None = None) -> dict:
+    """Build and check the gold layer; append the audit row in any case.
+
+    ``input_bytes`` (size of the raw inputs, if known) sizes the initial
+    shuffle partition count for AQE."""
+    if input_bytes:
+        size_shuffles_for(spark, input_bytes)
     report = None
     status = "fail"
     try:

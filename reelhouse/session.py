@@ -90,3 +90,15 @@ def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 * 10
     fit executor memory without spilling heavily.
     """
     return max(floor, int(math.ceil(input_bytes / target_bytes)))
+
+
+def size_shuffles_for(spark: SparkSession, input_bytes: int, target_bytes: int = 256 * 1024 * 1024) -> int:
+    """Start AQE from enough shuffle partitions for ``input_bytes`` of input
+    (~``target_bytes`` each, so tasks fit executor memory without heavy
+    spilling); AQE then coalesces small ones towards the advisory size.
+    Returns the partition count it set."""
+    n = shuffle_partitions_for(input_bytes, target_bytes)
+    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = max(n, current)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n

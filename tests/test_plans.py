@@ -25,3 +25,31 @@ def test_filters_reach_scan(spark):
     g = GoldBuild(spark, SF)
     p = _plan(g.stg_ratings.filter("user_id = '5'"))
     assert "PushedFilters" in p
+
+
+def test_top_k_and_aggregation_shapes(spark):
+    from reelhouse.operators import analytics
+    g = GoldBuild(spark, SF)
+    tags = _plan(g.stg_tags)
+    assert "HashAggregate" in tags and "Window" not in tags
+    f8 = analytics.tier_change_history(g.dim_user)
+    f8.collect()
+    p = f8._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in p and "TakeOrderedAndProject" in p
+    top = analytics.top_titles(g.mart, min_ratings=20)
+    top.collect()
+    assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
+
+
+def test_size_shuffles_for(spark):
+    from reelhouse.session import size_shuffles_for
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    try:
+        n = size_shuffles_for(spark, 100 * 1024 ** 4)      # 100 TB
+        assert n == 409600
+        assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "409600"
+    finally:
+        if old is None:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+        else:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", old)
