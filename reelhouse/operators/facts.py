@@ -87,12 +87,23 @@ def orphan_facts(fact: DataFrame, dim: DataFrame, key: str = "content_sk",
     return fact.select(fact_id, key).join(dim.select(key), key, "left_anti")
 
 
-def latest_rating(fact: DataFrame, user_col: str = "user_sk", item_col: str = "content_sk",
+def attach_user_id(fact: DataFrame, dim_user: DataFrame,
+                   broadcast_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+    """The fact with the natural ``user_id`` of each row's user version."""
+    users = broadcast_if_bounded(dim_user.select("user_sk", "user_id"), broadcast_rows)
+    return fact.join(users, "user_sk")
+
+
+def latest_rating(fact: DataFrame, user_col: str = "user_id", item_col: str = "content_sk",
                   ts_col: str = "rated_at", tie_cols: tuple[str, ...] = ("rating_sk", "rating_value")) -> DataFrame:
-    """Newest rating per (user, title); ties on time go to the larger
-    ``rating_sk``, then the larger value (two ratings in one second share a
-    ``rating_sk``).  An aggregation with ``max_by`` (partial aggregation, no
-    full sort) instead of a row_number window."""
+    """Newest rating per (user, title).
+
+    Keyed on the natural ``user_id`` (see :func:`attach_user_id`): a user who
+    re-rates a title after a tier change has two user versions but one latest
+    rating.  Ties on time go to the larger ``rating_sk``, then the larger value
+    (two ratings in one second share a ``rating_sk``).  An aggregation with
+    ``max_by`` (partial aggregation, no full sort) instead of a row_number
+    window."""
     cols = [c for c in fact.columns if c not in (user_col, item_col)]
     pick = F.max_by(F.struct(*cols), F.struct(F.col(ts_col), *[F.col(c) for c in tie_cols]))
     return (fact.groupBy(user_col, item_col).agg(pick.alias("_r"))

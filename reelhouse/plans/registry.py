@@ -291,10 +291,12 @@ def _orphans_dirty(g: GoldBuild) -> DataFrame:
 
 @register("latest_rating", O.sql_with("""
 SELECT * EXCLUDE (rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_sk, content_sk ORDER BY rated_at DESC, rating_sk DESC, rating_value DESC) AS rn
-  FROM fact) x WHERE rn = 1""", "fact"))
+  SELECT f.*, u.user_id,
+         row_number() OVER (PARTITION BY u.user_id, f.content_sk
+                            ORDER BY f.rated_at DESC, f.rating_sk DESC, f.rating_value DESC) AS rn
+  FROM fact f JOIN dim_user u ON u.user_sk = f.user_sk) x WHERE rn = 1""", "fact", "dim_user"))
 def _latest(g: GoldBuild) -> DataFrame:
-    return facts.latest_rating(g.fact)
+    return facts.latest_rating(facts.attach_user_id(g.fact, g.dim_user))
 
 
 # --- quality ----------------------------------------------------------------------------

@@ -126,3 +126,18 @@ def test_overlaps_match_brute_force(spark):
                 later = max(a, b, key=lambda r: (r[2], r[1]))
                 brute.add(later[1])
     assert got == brute
+
+
+def test_latest_rating_spans_user_versions(spark):
+    dim = _dim(spark)
+    fact = (spark.createDataFrame(
+        [("u1", ts("2020-06-01"), 2.0, "r1"), ("u1", ts("2021-06-01"), 4.5, "r2"),
+         ("u2", ts("2021-06-01"), 3.0, "r3")],
+        "user_id string, rated_at timestamp, rating_value double, rating_sk string")
+        .withColumn("content_sk", F.lit("c1")))
+    versioned = facts.rating_as_of(fact, dim, "user_id", "rated_at").select(
+        "user_sk", "content_sk", "rated_at", "rating_value", "rating_sk")
+    assert versioned.select("user_sk").distinct().count() == 3      # u1 rated under two versions
+    latest = {r.user_id: r.rating_value for r in
+              facts.latest_rating(facts.attach_user_id(versioned, dim)).collect()}
+    assert latest == {"u1": 4.5, "u2": 3.0}
