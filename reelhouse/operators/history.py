@@ -90,20 +90,22 @@ def scd2_capture(history: DataFrame | None, current: DataFrame, capture_ts,
         changed = changed | ~F.col(f"o.{col}").eqNullSafe(F.col(f"c.{col}"))
     has_old = F.col(f"o.{key}").isNotNull()
     has_new = F.col(f"c.{key}").isNotNull()
-    flagged = joined.select(F.struct(*[F.col(f"o.{x}").alias(x) for x in hist_cols]).alias("old"),
-                            F.struct(*[F.col(f"c.{x}").alias(x) for x in data_cols]).alias("new"),
-                            has_old.alias("has_old"), has_new.alias("has_new"),
-                            (has_old & has_new & changed).alias("changed"))
-    kept_open = (flagged.filter(F.col("has_old") & ~F.col("changed")).select("old.*"))
-    closing = (flagged.filter(F.col("changed")).select("old.*")
-               .withColumn("scd_valid_to", ts))
-    opening = (flagged.filter(F.col("has_new") & (~F.col("has_old") | F.col("changed")))
-               .select("new.*")
-               .withColumn("scd_valid_from", ts)
-               .withColumn("scd_valid_to", F.lit(None).cast("timestamp"))
-               .withColumn("scd_id", surrogate_key(key, epoch_seconds(ts))))
-    return (closed.unionByName(kept_open).unionByName(closing.select(*hist_cols))
-            .unionByName(opening.select(*hist_cols)))
+    changed = has_old & has_new & changed
+    new_values = {
+        **{x: F.col(f"c.{x}") for x in data_cols},
+        "scd_valid_from": ts,
+        "scd_valid_to": F.lit(None).cast("timestamp"),
+        "scd_id": surrogate_key(F.col(f"c.{key}"), epoch_seconds(ts)),
+    }
+    old_values = {x: F.col(f"o.{x}") for x in hist_cols}
+    old_values["scd_valid_to"] = F.when(changed, ts).otherwise(F.col("o.scd_valid_to"))
+    # one pass over the join: each key yields its old version (closed if it
+    # changed) and/or the version this capture opens
+    old_row = F.when(has_old, F.struct(*[old_values[x].alias(x) for x in hist_cols]))
+    new_row = F.when(has_new & (~has_old | changed), F.struct(*[new_values[x].alias(x) for x in hist_cols]))
+    merged = (joined.select(F.explode(F.array(old_row, new_row)).alias("r"))
+              .filter(F.col("r").isNotNull()).select("r.*"))
+    return closed.unionByName(merged)
 
 
 def dim_user(snapshot: DataFrame) -> DataFrame:
