@@ -104,15 +104,19 @@ def title_audience(fact: DataFrame, dim_user: DataFrame,
                  F.count_distinct("region").alias("unique_regions")))
 
 
-def title_stats(fact: DataFrame, dim_user: DataFrame, hist: DataFrame | None = None) -> DataFrame:
-    """All per-title statistics of the mart (before the score)."""
+def title_stats(fact: DataFrame, dim_user: DataFrame, hist: DataFrame | None = None,
+                audience: DataFrame | None = None) -> DataFrame:
+    """All per-title statistics of the mart (before the score).  ``hist``
+    and ``audience`` may be given pre-computed (e.g. written tables)."""
     hist = rating_histogram(fact) if hist is None else hist
-    return title_rating_stats(hist).join(title_audience(fact, dim_user), "content_sk", "left")
+    audience = title_audience(fact, dim_user) if audience is None else audience
+    return title_rating_stats(hist).join(audience, "content_sk", "left")
 
 
 def mart_content_performance(fact: DataFrame, dim_content: DataFrame, dim_user: DataFrame,
                              prior: str = "value_bucket", hist: DataFrame | None = None,
                              prior_values: tuple[float, float] | None = None,
+                             audience: DataFrame | None = None,
                              content_broadcast_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
     """One row per rated title with the Bayesian-weighted score.
 
@@ -125,7 +129,7 @@ def mart_content_performance(fact: DataFrame, dim_content: DataFrame, dim_user:
         row = global_prior(hist, prior).first()
         prior_values = (row["prior_mean"], row["prior_count"])
     m, c = prior_values
-    stats = title_stats(fact, dim_user, hist)
+    stats = title_stats(fact, dim_user, hist, audience)
     content = broadcast_if_bounded(
         dim_content.select("content_sk", "movie_id", "title", "release_year", "era",
                            "primary_genre", "all_genres"), content_broadcast_rows)
