@@ -1,6 +1,6 @@
 """Raw ratings / movies / tags / user captures derived from the driver tables.
 
-The reference reads MovieLens CSVs that are not available here; these views
+The original rating, title and tag CSVs are not available here; these views
 give the same raw shapes (bronze column names and types) from the TPC-H-like
 tables, with the quirks the pipeline must handle: out-of-range ratings, titles
 without a year or with a future year, messy tags, tier spellings outside the
