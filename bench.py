@@ -44,11 +44,12 @@ def main() -> None:
     fact = tables.read(spark, "fact_viewership")
     mart = tables.read(spark, "mart_content_performance")
     dim_user = tables.read(spark, "dim_user")
+    hist = tables.read(spark, "rating_histogram")
     queries = {
         "top_titles": lambda: analytics.top_titles(mart, min_ratings=TOP_MIN_RATINGS),
         "rating_trend_yoy": lambda: analytics.rating_trend_yoy(fact),
         "genre_popularity": lambda: analytics.genre_popularity(mart),
-        "tier_behavior": lambda: analytics.tier_behavior(fact),
+        "tier_behavior": lambda: analytics.tier_behavior_from_histogram(hist),
         "era_analysis": lambda: analytics.era_analysis(mart),
         "user_cohorts": lambda: analytics.user_cohorts(fact),
         "controversial_titles": lambda: analytics.controversial_titles(mart, min_ratings=CONTROVERSIAL_MIN_RATINGS),

@@ -66,6 +66,29 @@ def tier_behavior(fact: DataFrame) -> DataFrame:
             .orderBy(F.col("rating_count").desc(), F.col("tier").asc_nulls_last()))
 
 
+def tier_behavior_from_histogram(hist: DataFrame, tiers=("basic", "standard", "premium")) -> DataFrame:
+    """F4 from the mart's (title, rating value) histogram instead of the fact.
+
+    The histogram carries per-tier counts for each value, so count, exact sum
+    and positive share per tier follow exactly; it holds at most 46 rows per
+    title, so this reads a tiny table where the fact-based form scans every
+    rating.  Tiers are the staged domain (``basic``, ``standard``,
+    ``premium``)."""
+    per_tier = hist.select(
+        "rating_value",
+        F.explode(F.array(*[F.struct(F.lit(t).alias("tier"), F.col(f"n_{t}").alias("n")) for t in tiers]))
+        .alias("t")).select("rating_value", "t.tier", "t.n")
+    positive = F.col("rating_value") >= F.lit(3.5).cast("decimal(3,1)")
+    return (per_tier.groupBy("tier")
+            .agg(F.sum("n").alias("rating_count"),
+                 F.sum(F.col("rating_value") * F.col("n")).alias("_sum"),
+                 F.sum(F.when(positive, F.col("n")).otherwise(F.lit(0))).alias("_pos"))
+            .filter(F.col("rating_count") > 0)
+            .select("tier", exact_mean(F.col("_sum"), F.col("rating_count")).alias("avg_rating"),
+                    "rating_count", exact_mean(F.col("_pos"), F.col("rating_count")).alias("pct_positive"))
+            .orderBy(F.col("rating_count").desc(), F.col("tier").asc_nulls_last()))
+
+
 def era_analysis(mart: DataFrame) -> DataFrame:
     """mean of title means, ratings and titles per era."""
     return (mart.groupBy("era")

@@ -143,6 +143,12 @@ def _tiers(g: GoldBuild) -> DataFrame:
     return analytics.tier_behavior(g.fact)
 
 
+@register("tier_behavior_from_histogram", REGISTRY["tier_behavior"][1])
+def _tiers_hist(g: GoldBuild) -> DataFrame:
+    """F4 answered from the (title, value) histogram; same result as the fact scan."""
+    return analytics.tier_behavior_from_histogram(g.histogram)
+
+
 @register("era_analysis", O.sql_with("""
 SELECT era, SUM(avg_rating)::DOUBLE / COUNT(avg_rating) AS era_avg_rating,
        CAST(SUM(total_ratings) AS BIGINT) AS era_ratings, COUNT(*) AS title_count
