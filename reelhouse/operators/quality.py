@@ -247,15 +247,17 @@ def quality_report(df: DataFrame, checks: Sequence, with_overall: bool = True) -
         status, msg = chk.verdict(p)
         results.append(F.struct(F.lit(chk.name()).alias("check"), status.alias("status"),
                                 F.lit(col).cast("string").alias("column"), msg.alias("message")))
-    out = df.agg(*aggs).select(F.explode(F.array(*results)).alias("r"), "_rows").select("r.*", "_rows")
-    if not with_overall:
-        return out.drop("_rows")
-    overall = (out.groupBy().agg(
-        F.when(F.count_if(F.col("status") != PASS) > 0, F.lit(FAIL)).otherwise(F.lit(PASS)).alias("status"),
-        F.max("_rows").alias("_rows"))
-        .select(F.lit("overall").alias("check"), "status", F.lit(None).cast("string").alias("column"),
-                F.concat(F.lit("rows="), F.col("_rows").cast("string")).alias("message")))
-    return out.drop("_rows").unionByName(overall)
+    checks_arr = F.array(*results)
+    if with_overall:
+        # decided from the same aggregated row: the table is scanned once
+        overall = F.struct(
+            F.lit("overall").alias("check"),
+            F.when(F.exists(checks_arr, lambda r: r["status"] != PASS), F.lit(FAIL))
+             .otherwise(F.lit(PASS)).alias("status"),
+            F.lit(None).cast("string").alias("column"),
+            F.concat(F.lit("rows="), F.col("_rows").cast("string")).alias("message"))
+        checks_arr = F.concat(checks_arr, F.array(overall))
+    return df.agg(*aggs).select(F.explode(checks_arr).alias("r")).select("r.*")
 
 
 def raise_on_fail(report: DataFrame) -> DataFrame:

@@ -53,3 +53,15 @@ def test_size_shuffles_for(spark):
             spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
         else:
             spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", old)
+
+
+def test_quality_report_scans_once(spark, tmp_dir):
+    from reelhouse.operators import quality
+    df = spark.range(1000).selectExpr("id", "id % 7 AS v", "CAST(id AS STRING) AS s")
+    df.write.parquet(tmp_dir + "/t")
+    t = spark.read.parquet(tmp_dir + "/t")
+    rep = quality.quality_report(t, [quality.RowCountCheck(1, 10_000), quality.NullRateCheck("s", 0.0),
+                                     quality.RangeCheck("v", 0, 6), quality.UniquenessCheck("id", 0.0)])
+    rows = rep.collect()
+    assert rows[-1].check == "overall" and rows[-1].status == "pass"
+    assert rep._jdf.queryExecution().executedPlan().toString().count("Scan parquet") == 1
