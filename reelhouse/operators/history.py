@@ -130,18 +130,37 @@ def dim_user_as_of(dim: DataFrame, ts) -> DataFrame:
 
 
 def version_overlaps(dim: DataFrame, key: str = "user_id", sk: str = "user_sk",
-                     start: str = "valid_from", end: str = "valid_to") -> DataFrame:
+                     start: str = "valid_from", end: str = "valid_to",
+                     num_partitions: int | None = None) -> DataFrame:
     """Versions of one key whose validity overlaps an earlier version.
 
-    Instead of a self join (all pairs of a key's versions), versions are sorted
-    per key and each is compared with the earlier version reaching furthest:
-    any overlap implies an overlap with that one.  One row per offending
-    version: ``a`` is the later version, ``b`` the witness."""
-    w = (Window.partitionBy(key).orderBy(start, sk)
-         .rowsBetween(Window.unboundedPreceding, -1))
-    # the earlier version ending last (ties: later start, then larger key)
-    witness = F.max(F.struct(F.col(end).alias("t"), F.col(start).alias("f"), F.col(sk).alias("sk"))).over(w)
-    return (dim.select(key, sk, start, end, witness.alias("w"))
+    Instead of a self join (all pairs of a key's versions), versions are ordered
+    by (key, start, sk) and each is compared with the earlier version reaching
+    furthest: any overlap implies an overlap with that one.  One row per
+    offending version: ``a`` is the later version, ``b`` the witness.
+
+    Skew-safe: versions are range-partitioned on (key, start, sk), so a key
+    holding a third of all versions spans several partitions.  The running
+    maximum is computed per (partition, key) and the part coming from earlier
+    partitions of the same key is a carry: one row per partition boundary a
+    key crosses, i.e. at most ``num_partitions - 1`` rows, broadcast."""
+    n = num_partitions or int(dim.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wstruct = F.struct(F.col(end).alias("t"), F.col(start).alias("f"), F.col(sk).alias("sk"))
+    ranged = (dim.select(key, sk, start, end)
+              .repartitionByRange(n, key, start, sk)
+              .withColumn("_p", F.spark_partition_id()))
+    # the version ending last per (partition, key), then carried across the
+    # partitions a key spans (rows per key <= partitions spanned)
+    per_part = ranged.groupBy("_p", key).agg(F.max(wstruct).alias("_w"))
+    spans = Window.partitionBy(key).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (per_part.select("_p", key, F.max("_w").over(spans).alias("_carry"))
+             .filter(F.col("_carry").isNotNull()))
+    # earlier versions inside the same range partition
+    local = Window.partitionBy("_p", key).orderBy(start, sk).rowsBetween(Window.unboundedPreceding, -1)
+    witness = (ranged.withColumn("_local", F.max(wstruct).over(local))
+               .join(F.broadcast(carry), ["_p", key], "left")
+               .withColumn("w", F.greatest("_local", "_carry")))
+    return (witness
             .filter(F.col("w").isNotNull()
                     & (F.col(start) < F.col("w.t")) & (F.col(end) > F.col("w.f")))
             .select(key, F.col(sk).alias("a_sk"), F.col("w.sk").alias("b_sk"),

@@ -141,3 +141,35 @@ def test_latest_rating_spans_user_versions(spark):
     latest = {r.user_id: r.rating_value for r in
               facts.latest_rating(facts.attach_user_id(versioned, dim)).collect()}
     assert latest == {"u1": 4.5, "u2": 3.0}
+
+
+def test_overlaps_hot_key_spans_partitions(spark):
+    import random
+    rnd = random.Random(11)
+    rows = []
+    base = dt.datetime(2000, 1, 1)
+    for k in range(600):                       # one key holds most versions
+        a = rnd.randint(0, 5000)
+        rows.append(("hot", f"h-{k:04d}", base + dt.timedelta(days=a), base + dt.timedelta(days=a + rnd.randint(1, 3))))
+    for u in range(100):
+        a = rnd.randint(0, 50)
+        rows.append((f"u{u}", f"u{u}-0", base + dt.timedelta(days=a), base + dt.timedelta(days=a + 5)))
+        rows.append((f"u{u}", f"u{u}-1", base + dt.timedelta(days=a + rnd.randint(3, 8)), base + dt.timedelta(days=a + 20)))
+    df = spark.createDataFrame(rows, "user_id string, user_sk string, valid_from timestamp, valid_to timestamp")
+    got = {(r.a_sk, r.b_sk) for r in history.version_overlaps(df, num_partitions=8).collect()}
+    by_key = {}
+    for r in rows:
+        by_key.setdefault(r[0], []).append(r)
+    want = set()
+    for vs in by_key.values():
+        vs.sort(key=lambda r: (r[2], r[1]))
+        for i, a in enumerate(vs):
+            if i == 0:
+                continue
+            w = max(vs[:i], key=lambda b: (b[3], b[2], b[1]))
+            if a[2] < w[3] and a[3] > w[2]:
+                want.add((a[1], w[1]))
+    assert got == want and len(want) > 0
+    parts = (df.repartitionByRange(8, "user_id", "valid_from", "user_sk")
+             .filter("user_id = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count())
+    assert parts > 1                           # the hot key really is split
