@@ -82,14 +82,17 @@ def fx_user_captures(spark: SparkSession, sf_dir: str,
     orders = ensure_parallelism(read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderpriority", F.col("o_orderdate").cast("timestamp").alias("od")),
         "o_custkey")
+    # latest order by (date, order key), packed into one long so the
+    # aggregation keeps fixed-width buffers and stays hash-based
+    order_rank = (F.unix_date(F.to_date("od")).cast("long") * F.lit(1 << 40) + F.col("o_orderkey"))
     per_cap = (orders
                .withColumn("capture_ts", F.explode(F.filter(caps, lambda c: F.col("od") < c)))
                .groupBy("o_custkey", "capture_ts")
-               .agg(F.max_by("o_orderpriority", F.struct("od", "o_orderkey")).alias("prio"),
+               .agg(F.max_by(F.substring("o_orderpriority", 1, 1).try_cast("int"), order_rank).alias("prio"),
                     F.min("od").alias("first_order")))
     tier = F.lit(None).cast("string")
     for digit, name in PRIORITY_TO_TIER.items():
-        tier = F.when(F.substring("prio", 1, 1) == digit, F.lit(name)).otherwise(tier)
+        tier = F.when(F.col("prio") == int(digit), F.lit(name)).otherwise(tier)
     region_code = F.lit(REGION_OTHER)
     for name, code in REGION_NAME_TO_CODE.items():
         region_code = F.when(F.col("r_name") == name, F.lit(code)).otherwise(region_code)
