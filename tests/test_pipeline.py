@@ -33,3 +33,13 @@ def test_pipeline_failure_still_audited(spark, tmp_dir):
     assert set(audit) == {"r2", "r3"}
     assert audit["r3"].status == "unknown" and audit["r3"].gold_mart_rows == 0
     assert spark.read.parquet(tmp_dir + "/gold/_audit/runs").filter(F.col("run_id") == "r2").count() == 1
+
+
+def test_cli_runs_the_daily_pipeline(spark, tmp_dir, capsys):
+    import json
+
+    from reelhouse.__main__ import main
+    code = main(["--tables", SF, "--out", tmp_dir + "/cli", "--run-id", "cli-1"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert code == 0 and out["run_id"] == "cli-1" and out["report"][-1]["check"] == "overall"
+    assert spark.read.parquet(tmp_dir + "/cli/mart_content_performance").count() == 190
