@@ -698,6 +698,26 @@ def _report_fact(g: GoldBuild) -> DataFrame:
     return _verdict(quality.quality_report(g.fact, quality.fact_checks()))
 
 
+# --- the analyst queries through Spark SQL over gold views ---------------------------------
+_SQL_PARAMS = {"top_titles": {"min_ratings": TOP_MIN_RATINGS},
+               "controversial_titles": {"min_ratings": CONTROVERSIAL_MIN_RATINGS}}
+
+
+def _sql_builder(name: str):
+    def fn(g: GoldBuild) -> DataFrame:
+        from reelhouse.plans.analyst_sql import analyst_sql, register_gold_views
+        register_gold_views({"fact_viewership": g.fact, "mart_content_performance": g.mart,
+                             "dim_user": g.dim_user})
+        return analyst_sql(g.spark, name, **_SQL_PARAMS.get(name, {}))
+    fn.__doc__ = f"F-query {name} as Spark SQL over gold views (same result as the DataFrame form)."
+    return fn
+
+
+for _name in ("top_titles", "rating_trend_yoy", "genre_popularity", "tier_behavior", "era_analysis",
+              "user_cohorts", "controversial_titles", "tier_change_history"):
+    register(f"sql_{_name}", REGISTRY[_name][1])(_sql_builder(_name))
+
+
 def queries() -> dict[str, Builder]:
     return {name: b for name, (b, _) in REGISTRY.items()}
 
