@@ -36,3 +36,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = remove_repeated_windows(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", kept_words_sha256("text").alias("kept_sha256"))
+
+
+@register("op5_ngram_jaccard_join")
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelhouse.llm.ngram_join import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"))
