@@ -43,3 +43,18 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelhouse.llm.ngram_join import jaccard_components
 
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@register("op3_rans_token_ids")
+def op3_rans_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelhouse.llm import rans, shared_files
+
+    files = rans.write_ids(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), 2,
+                           shared_files.new_folder(spark, "rans"))
+    return rans.read_ids(files).select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
