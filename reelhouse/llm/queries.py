@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,13 @@ def kept_words_sha256(text: str) -> Column:
     return F.sha2(F.array_join(words, " "), 256)
 
 
+@F.pandas_udf("string")
+def decimal_sha256(blobs: pd.Series) -> pd.Series:
+    """Hash of token ids (little-endian uint32) written as decimals joined by commas."""
+    return blobs.map(lambda b: hashlib.sha256(
+        ",".join(map(str, np.frombuffer(b, "<u4").tolist())).encode()).hexdigest())
+
+
 @register("op10_substring_dedup")
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelhouse.llm.substring_dedup import remove_repeated_windows
@@ -58,3 +68,20 @@ def op3_rans_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = rans.write_ids(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), 2,
                            shared_files.new_folder(spark, "rans"))
     return rans.read_ids(files).select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+@register("op1_hilbert_packing")
+def op1_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelhouse.llm.hilbert_pack import pack_along_curve
+
+    return pack_along_curve(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), 1).drop("token_ids")
+
+
+@register("op2_tree_bpe")
+def op2_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelhouse.llm.tree_bpe import decode_documents, encode_documents
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    out = decode_documents(encode_documents(table(spark, sf_dir, "documents"), path), path)
+    return out.select("doc_id", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
+                      decimal_sha256("token_ids").alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
