@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,7 +34,7 @@ def kept_words_sha256(text: str) -> Column:
     return F.sha2(F.array_join(words, " "), 256)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def decimal_sha256(blobs: pd.Series) -> pd.Series:
     """Hash of token ids (little-endian uint32) written as decimals joined by commas."""
     return blobs.map(lambda b: hashlib.sha256(
@@ -85,3 +86,38 @@ def op2_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decode_documents(encode_documents(table(spark, sf_dir, "documents"), path), path)
     return out.select("doc_id", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
                       decimal_sha256("token_ids").alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def _line_dedup_sql() -> str:
+    from reelhouse.llm.line_dedup import oracle_sql
+
+    return oracle_sql()
+
+
+@register("op4_line_windows", _line_dedup_sql())
+def op4_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelhouse.llm.line_dedup import remove_repeated_lines
+
+    out = remove_repeated_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed",
+                      F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def _license_sql() -> str:
+    from reelhouse.llm.licenses import oracle_sql
+
+    return oracle_sql()
+
+
+@register("op9_license_dice", _license_sql())
+def op9_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelhouse.llm.licenses import license_matches
+
+    return license_matches(table(spark, sf_dir, "documents"))
+
+
+@register("op7_permutation_index")
+def op7_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelhouse.llm.permutation_index import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
