@@ -12,12 +12,13 @@ Rare-first prefix filtering, exact:
 3. equal sets are one class, represented by one document;
 4. representatives are posted under the shared shingles of their prefix and joined on
    them with the length filter, the positional filter (what two prefixes and the rest
-   can still share) and the suffix filter (the sets are cut into 16 hash ranges; the
-   counts per range differ by at least part of the symmetric difference);
+   can still share) and the suffix filter (the sets are cut into 512 hash ranges; a range
+   whose parity differs holds at least one shingle that only one of the two has);
 5. each pair that is left is verified once, on the exact sets.
 
 A large group of near copies would make the square of its size in pairs.  So a first
-round links members to one pivot of their list and length band only; the second round
+round links members to one pivot of their list and length band only, the one with the
+fewest shingles of its own (most like what the others were copied from); the second round
 takes all pairs of a list whose members the first has not yet put in the same group.
 Any pair left out is between documents already known to be connected, so no component
 is lost.  A list is cut into blocks; only members outside its largest group are copied
@@ -41,7 +42,7 @@ from reelhouse.llm import chunks as C
 from reelhouse.llm.components import connected_components
 from reelhouse.llm.words import Words, mix, window_hashes, words_of
 
-CELLS = 16           # hash ranges of the suffix filter
+RANGES = 512         # hash ranges of the suffix filter
 LIST_BLOCK = 4096    # members of a posting list that meet in one block
 
 
@@ -80,7 +81,7 @@ def _count(chunks: DataFrame, size: int, bits: int, bounds: np.ndarray) -> DataF
 
 
 SET_SCHEMA = ("row long, id long, n long, sig_a long, sig_b long, items binary, "
-              "prefix array<long>, places array<int>, cells binary")
+              "core double, prefix array<long>, places array<int>, parity array<long>")
 
 
 def _sets(chunks: DataFrame, replies: DataFrame, size: int, bits: int, percent: int) -> DataFrame:
@@ -97,16 +98,17 @@ def _sets(chunks: DataFrame, replies: DataFrame, size: int, bits: int, percent:
         sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(key + np.uint64(k)), dtype=np.uint64)])
                 for k in (1, 2)]
         sig = [(s[first[1:]] - s[first[:-1]]).view(np.int64) for s in sums]
-        out = {c: [None] * len(table) for c in ("items", "prefix", "places", "cells", "sig_a", "sig_b")}
+        out = {c: [None] * len(table) for c in ("items", "core", "prefix", "places", "parity", "sig_a", "sig_b")}
         for d in np.flatnonzero(going):
             k, c = key[first[d]:first[d + 1]], count[first[d]:first[d + 1]]
             order = np.lexsort((k, c))[:n[d] - need[d] + 1]
             place = np.flatnonzero(c[order] > 1)
-            cells = np.bincount((k >> np.uint64(60)).astype(np.int64), minlength=CELLS)
+            odd = np.bincount((k >> np.uint64(55)).astype(np.int64), minlength=RANGES) & 1
             out["items"][d] = C.pack_sorted(k[c > 1])
             out["prefix"][d] = k[order[place]].view(np.int64)
             out["places"][d] = place.astype(np.int32)
-            out["cells"][d] = np.minimum(cells, 255).astype(np.uint8).tobytes()
+            out["core"][d] = shared[d] / n[d]
+            out["parity"][d] = np.packbits(odd.astype(np.uint8)).view(np.int64)
             out["sig_a"][d], out["sig_b"][d] = int(sig[0][d]), int(sig[1][d])
         yield pd.DataFrame({"row": table[C.ROW].to_numpy(), "id": table["_id"].to_pylist(), "n": n} | out)
 
@@ -135,19 +137,12 @@ def _may_link(x: str, y: str, percent: int):
     i, j = F.col(f"{x}.place"), F.col(f"{y}.place")
     # overlap o reaches the threshold when (100 + t) * o >= t * (n + m)
     reach = F.least(i, j) + F.least(n - i, m - j)
-    apart = F.aggregate(F.zip_with(F.col(f"{x}.cells"), F.col(f"{y}.cells"), lambda p, q: F.abs(p - q)),
-                        F.lit(0), lambda s, v: s + v)
+    apart = sum((F.bit_count(F.col(f"{x}.p{i}").bitwiseXOR(F.col(f"{y}.p{i}"))) for i in range(RANGES // 64)), F.lit(0))
     return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
             & ((100 + percent) * reach >= percent * (n + m))
             & ((100 + percent) * apart <= (100 - percent) * (n + m)))
 
 
-def _cells(column: str):
-    """The counts of a set per hash range, as an array of ints."""
-    return F.transform(F.sequence(F.lit(1), F.lit(CELLS)),
-                       lambda i: F.conv(F.hex(F.substring(F.col(column), i, 1)), 16, 10).cast("int"))
-
-
 def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                   percent: int = 75, chunk_bytes: int = C.CHUNK_BYTES) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sets, classes, links): one row (row, id, n, sig_a, sig_b) per document, one row
@@ -160,15 +155,17 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     able = sets.filter("items IS NOT NULL")
     classes = able.groupBy("sig_a", "sig_b").agg(F.min("row").alias("rep"))
     reps = C.stage(able.join(classes.select(F.col("rep").alias("row")), "row", "left_semi")
-                   .select("row", "n", "items", "prefix", "places", _cells("cells").alias("cells")), "representatives")
-    lists = (reps.select("row", "n", "cells", F.explode(F.arrays_zip("prefix", "places")).alias("p"))
-             .select(F.col("p.prefix").alias("key"), "row", "n", F.col("p.places").alias("place"), "cells"))
+                   .select("row", "n", "items", "core", "prefix", "places", "parity"), "representatives")
+    parity = [F.col("parity")[i].alias(f"p{i}") for i in range(RANGES // 64)]
+    lists = (reps.select("row", "n", "core", *parity, F.explode(F.arrays_zip("prefix", "places")).alias("p"))
+             .select(F.col("p.prefix").alias("key"), "row", "n", F.col("p.places").alias("place"), "core",
+                     *[f"p{i}" for i in range(RANGES // 64)]))
 
     # first round: members against the pivot of their list and length band
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    banded = lists.select("key", "row", "n", band.alias("band"))
+    banded = lists.select("key", "row", "n", "core", band.alias("band"))
     pivots = (banded.groupBy("key", "band")
-              .agg(F.min_by(F.struct("row", "n"), F.col("row")).alias("pivot"), F.count("*").alias("size"))
+              .agg(F.max_by(F.struct("row", "n"), F.struct("core", "row")).alias("pivot"), F.count("*").alias("size"))
               .filter("size > 1").select("key", "band", "pivot.row", "pivot.n")
               .withColumnsRenamed({"row": "pivot", "n": "pivot_n"}))
     first = C.stage(banded.join(pivots, ["key", "band"])
@@ -181,7 +178,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     label = links.groupBy(F.col("b").alias("row")).agg(F.min("a").alias("label"))
     second_hop = label.select(F.col("row").alias("label"), F.col("label").alias("up"))
     label = label.join(second_hop, "label", "left").select("row", F.coalesce("up", "label").alias("label"))
-    posted = C.stage(lists.join(label, "row", "left").withColumn("label", F.coalesce("label", "row")), "postings")
+    posted = C.stage(lists.drop("core").join(label, "row", "left").withColumn("label", F.coalesce("label", "row")), "postings")
     sizes = (posted.groupBy("key", "label").agg(F.count("*").alias("size"))
              .groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("main"),
                                  F.sum("size").alias("size"), F.count("*").alias("groups"))
