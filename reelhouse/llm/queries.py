@@ -121,3 +121,34 @@ def op7_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelhouse.llm.permutation_index import nearest
 
     return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+_PAGES_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha256(body) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT d.page_id, d.payload_bytes, d.payload_digest,
+       CASE WHEN f.first <> d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first <> d.page_id THEN f.first END AS refers_to
+FROM d LEFT JOIN f ON f.payload_digest = d.payload_digest AND d.payload_bytes >= 100"""
+
+
+@register("op6_warc_dictionary", _PAGES_SQL)
+def op6_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelhouse.llm import shared_files, warc_dict
+
+    index = warc_dict.archive(table(spark, sf_dir, "pages"), shared_files.new_folder(spark, "warc"))
+    return warc_dict.read_archives(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _frequency_sql() -> str:
+    from reelhouse.llm.line_frequency import oracle_sql
+
+    return oracle_sql()
+
+
+@register("op8_line_frequency", _frequency_sql())
+def op8_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelhouse.llm.line_frequency import line_frequency_rules
+
+    return line_frequency_rules(table(spark, sf_dir, "documents")).drop("n_removed_words", "removed_lines")
