@@ -1,5 +1,7 @@
 """Command line: run the daily pipeline once.
 
+    python -m reelhouse --ratings ratings.csv --movies movies.csv --tags tags.csv --users users.csv \\
+        --captured-at 2026-12-02 --out /shared/gold --run-id 2026-12-02
     python -m reelhouse --tables /root/testdata/sf0.01 --out /shared/gold --run-id 2026-12-02
 
 On a cluster, submit with spark-submit and set ``spark.checkpoint.dir`` to a
@@ -11,21 +13,27 @@ from __future__ import annotations
 import argparse
 import json
 
-from reelhouse.plans.pipeline import run_pipeline
+from reelhouse.plans.pipeline import SourceFiles, run_pipeline
 from reelhouse.session import apply_defaults, build_session
 
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="reelhouse", description=__doc__.split("\n\n")[0])
-    ap.add_argument("--tables", required=True, help="folder with the input parquet tables")
+    ap.add_argument("--tables", help="folder with the driver's parquet tables, instead of source files")
+    for name in ("ratings", "movies", "tags", "users"):
+        ap.add_argument(f"--{name}", help=f"{name} CSV as delivered")
+    ap.add_argument("--captured-at", help="time of the users file, e.g. 2026-12-02 00:00:00")
     ap.add_argument("--out", required=True, help="folder for the gold tables and the audit table")
     ap.add_argument("--run-id", required=True)
     ap.add_argument("--master", default=None, help="e.g. local[8]; omit under spark-submit")
     ap.add_argument("--input-bytes", type=int, default=None, help="input size, to size shuffles")
     ap.add_argument("--raise-on-fail", action="store_true", help="fail the run when a check fails")
     args = ap.parse_args(argv)
+    delivered = (args.ratings, args.movies, args.tags, args.users, args.captured_at)
+    if not args.tables and not all(delivered):
+        ap.error("give --tables, or all of --ratings --movies --tags --users --captured-at")
     spark = apply_defaults(build_session(args.master))
-    out = run_pipeline(spark, args.tables, args.out.rstrip("/"), args.run_id,
+    out = run_pipeline(spark, args.tables or SourceFiles(*delivered), args.out.rstrip("/"), args.run_id,
                        raise_on_fail=args.raise_on_fail, input_bytes=args.input_bytes)
     print(json.dumps({"run_id": args.run_id, "status": out["status"],
                       "report": [r.asDict() for r in out["report"].collect()]}))

@@ -18,7 +18,9 @@ MODERATE_UP_TO = 50
 
 
 def _fact_mean(col: str = "rating_value"):
-    return exact_mean(F.sum(col), F.count(F.lit(1)))
+    # one-decimal values summed as whole tenths: a BIGINT holds 10**18 of them
+    tenths = F.sum((F.col(col) * 10).cast("long"))
+    return exact_mean(tenths.cast("decimal(20,0)") / F.lit(10), F.count(F.lit(1)))
 
 
 def top_titles(mart: DataFrame, min_ratings: int = 1000, k: int = 10) -> DataFrame:

@@ -2,9 +2,12 @@
 
 The as-of join is always an equi join on the natural key with the validity
 range as a residual condition, so Spark plans it as a hash or sort-merge join
-on the key, never as a nested loop.  Skewed keys (one user with a large share
-of events) are split at runtime by AQE's skew-join handling on the shuffled
-side; the small side of a key (its few versions) is replicated to the splits.
+on the key, never as a nested loop.  Whether a dimension is broadcast is left to
+table statistics and AQE.  A user with a large share of events is split by AQE's
+skew join when both sides have an exchange of their own, i.e. when the dimension is read
+from its written table, as the pipeline does; the few versions of the
+user are replicated to the splits.  A dimension still computed by windows on
+the same key is partitioned by these and cannot be split.
 """
 
 from __future__ import annotations
@@ -14,24 +17,6 @@ from pyspark.sql import functions as F
 
 from reelhouse.functions.keys import epoch_seconds, surrogate_key
 
-# Default bound under which a dimension is broadcast after a bounded count.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The proof is ``df.limit(max_rows + 1).count()``, an action that stops after
-    ``max_rows + 1`` rows; beyond the bound the join stays a shuffle join (and
-    AQE may still switch it to a broadcast from runtime sizes).  ``None``
-    disables the check and leaves the choice to the planner."""
-    if max_rows is None:
-        return df
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def rating_as_of(facts: DataFrame, versions: DataFrame, key: str | tuple[str, str], t: str,
                  valid_from: str = "valid_from", valid_to: str = "valid_to",
                  how: str = "inner") -> DataFrame:
@@ -52,16 +37,13 @@ def rating_as_of(facts: DataFrame, versions: DataFrame, key: str | tuple[str, st
     return f.join(v, cond, how).select(*fact_cols, *ver_cols)
 
 
-def fact_viewership(stg_ratings: DataFrame, dim_content: DataFrame, dim_user: DataFrame,
-                    content_broadcast_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+def fact_viewership(stg_ratings: DataFrame, dim_content: DataFrame, dim_user: DataFrame) -> DataFrame:
     """One row per rating event, joined to its title and to the user's
     version at the time of the rating.
 
-    Only the 3 and 5 needed dimension columns enter the joins.  The content
-    side is broadcast when its row count is proven small; the user side joins
-    on ``user_id`` with the validity range as residual."""
-    content = broadcast_if_bounded(dim_content.select("content_sk", "movie_id", "release_year"),
-                                   content_broadcast_rows)
+    Only the 3 and 5 needed dimension columns enter the joins; the user side
+    joins on ``user_id`` with the validity range as residual."""
+    content = dim_content.select("content_sk", "movie_id", "release_year")
     users = dim_user.select("user_sk", F.col("user_id").alias("_uid"), "membership_tier",
                             "valid_from", "valid_to")
     r = stg_ratings.join(content, "movie_id")
@@ -87,11 +69,9 @@ def orphan_facts(fact: DataFrame, dim: DataFrame, key: str = "content_sk",
     return fact.select(fact_id, key).join(dim.select(key), key, "left_anti")
 
 
-def attach_user_id(fact: DataFrame, dim_user: DataFrame,
-                   broadcast_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+def attach_user_id(fact: DataFrame, dim_user: DataFrame) -> DataFrame:
     """The fact with the natural ``user_id`` of each row's user version."""
-    users = broadcast_if_bounded(dim_user.select("user_sk", "user_id"), broadcast_rows)
-    return fact.join(users, "user_sk")
+    return fact.join(dim_user.select("user_sk", "user_id"), "user_sk")
 
 
 def latest_rating(fact: DataFrame, user_col: str = "user_id", item_col: str = "content_sk",
@@ -101,9 +81,9 @@ def latest_rating(fact: DataFrame, user_col: str = "user_id", item_col: str = "c
     Keyed on the natural ``user_id`` (see :func:`attach_user_id`): a user who
     re-rates a title after a tier change has two user versions but one latest
     rating.  Ties on time go to the larger ``rating_sk``, then the larger value
-    (two ratings in one second share a ``rating_sk``).  An aggregation with
-    ``max_by`` (partial aggregation, no full sort) instead of a row_number
-    window."""
+    (two ratings in one second share a ``rating_sk``).  ``max_by`` over a struct
+    of strings is a sort aggregate on both sides of the shuffle; unlike a row_number
+    window it leaves one row per (user, title) and task to move."""
     cols = [c for c in fact.columns if c not in (user_col, item_col)]
     pick = F.max_by(F.struct(*cols), F.struct(F.col(ts_col), *[F.col(c) for c in tie_cols]))
     return (fact.groupBy(user_col, item_col).agg(pick.alias("_r"))

@@ -5,24 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.operators.facts import BROADCAST_MAX_ROWS, broadcast_if_bounded
+from reelhouse.functions.keys import surrogate_key
 
 
-def content_features(dim_content: DataFrame) -> DataFrame:
+def content_features(stg_movies: DataFrame) -> DataFrame:
     """H1: one row per (title, genre) with the genre's position - the long
-    form of genre indicators - plus year and era (no join needed)."""
-    return (dim_content
-            .select("content_sk", "movie_id", "release_year", "era", "genre_count",
-                    F.posexplode(F.split("all_genres", ", ")).alias("genre_pos", "genre")))
+    form of genre indicators - plus year and era.  Taken from the staged titles,
+    whose genres are still an array (no join needed)."""
+    return (stg_movies
+            .select(surrogate_key("movie_id").alias("content_sk"), "movie_id", "release_year", "era", "genre_count",
+                    F.posexplode("genres_array").alias("genre_pos", "genre")))
 
 
-def user_item_ratings(fact: DataFrame, dim_user: DataFrame, dim_content: DataFrame,
-                      broadcast_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+def user_item_ratings(fact: DataFrame, dim_user: DataFrame, dim_content: DataFrame) -> DataFrame:
     """H2: (user_id, movie_id, rating, rated_at) for matrix factorization
     (e.g. ``pyspark.ml.recommendation.ALS``).  The fact carries surrogate keys
     only, so both dimensions are joined back on their keys."""
-    users = broadcast_if_bounded(dim_user.select("user_sk", "user_id"), broadcast_rows)
-    content = broadcast_if_bounded(dim_content.select("content_sk", "movie_id"), broadcast_rows)
+    users = dim_user.select("user_sk", "user_id")
+    content = dim_content.select("content_sk", "movie_id")
     return (fact.select("user_sk", "content_sk", "rating_value", "rated_at")
             .join(users, "user_sk").join(content, "content_sk")
             .select(F.col("user_id").cast("long").alias("user_id"),

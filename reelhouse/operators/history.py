@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelhouse.functions.keys import epoch_seconds, surrogate_key
+from reelhouse.session import checkpoint_root
 
 # Fixed values.
 USER_CHECK_COLS = ("membership_tier", "region", "device_preference")
@@ -56,8 +57,10 @@ def scd2_capture(history: DataFrame | None, current: DataFrame, capture_ts,
 
     ``history`` None (or empty) starts a new one.  With ``validate`` the capture
     is checked first (these checks are actions): a key twice in ``current`` or a
-    ``capture_ts`` older than the newest version raises :class:`SnapshotError`;
-    a capture at the newest version's time returns ``history`` unchanged.
+    ``capture_ts`` older than the newest version raises :class:`SnapshotError`.
+    A capture may come in parts: at the newest version's own time, keys that
+    already have a version from this capture stay as they are and all others are
+    merged, so the same part twice changes nothing.
     Write the result to a fresh path and swap (see ``sources.sinks``).
     """
     ts = F.lit(capture_ts).cast("timestamp") if not isinstance(capture_ts, Column) else capture_ts
@@ -75,11 +78,8 @@ def scd2_capture(history: DataFrame | None, current: DataFrame, capture_ts,
         # compared inside Spark, so the client's time zone plays no part
         last = (history.agg(F.max("scd_valid_from").alias("last")) if last_capture_ts is None
                 else history.sparkSession.range(1).select(F.lit(last_capture_ts).cast("timestamp").alias("last")))
-        row = last.select((F.col("last") > ts).alias("older"), (F.col("last") == ts).alias("same")).first()
-        if row["older"]:
+        if last.select((F.col("last") > ts).alias("older")).first()["older"]:
             raise SnapshotError("the capture is older than the newest version")
-        if row["same"]:
-            return history
     hist_cols = history.columns
     closed = history.filter(F.col("scd_valid_to").isNotNull())
     open_ = history.filter(F.col("scd_valid_to").isNull())
@@ -90,7 +90,7 @@ def scd2_capture(history: DataFrame | None, current: DataFrame, capture_ts,
         changed = changed | ~F.col(f"o.{col}").eqNullSafe(F.col(f"c.{col}"))
     has_old = F.col(f"o.{key}").isNotNull()
     has_new = F.col(f"c.{key}").isNotNull()
-    changed = has_old & has_new & changed
+    changed = has_old & has_new & changed & (F.col("o.scd_valid_from") < ts)
     new_values = {
         **{x: F.col(f"c.{x}") for x in data_cols},
         "scd_valid_from": ts,
@@ -143,12 +143,15 @@ def version_overlaps(dim: DataFrame, key: str = "user_id", sk: str = "user_sk",
     holding a third of all versions spans several partitions.  The running
     maximum is computed per (partition, key) and the part coming from earlier
     partitions of the same key is a carry: one row per partition boundary a
-    key crosses, i.e. at most ``num_partitions - 1`` rows, broadcast."""
+    key crosses, i.e. at most ``num_partitions - 1`` rows, broadcast.  Range bounds
+    are sampled, so the partition of each version is fixed once by a checkpoint (an
+    action) before two branches of the plan use it."""
+    checkpoint_root(dim.sparkSession)
     n = num_partitions or int(dim.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wstruct = F.struct(F.col(end).alias("t"), F.col(start).alias("f"), F.col(sk).alias("sk"))
     ranged = (dim.select(key, sk, start, end)
               .repartitionByRange(n, key, start, sk)
-              .withColumn("_p", F.spark_partition_id()))
+              .withColumn("_p", F.spark_partition_id()).checkpoint())
     # the version ending last per (partition, key), then carried across the
     # partitions a key spans (rows per key <= partitions spanned)
     per_part = ranged.groupBy("_p", key).agg(F.max(wstruct).alias("_w"))

@@ -21,17 +21,12 @@ from pyspark.sql import functions as F
 
 from reelhouse.functions.exact import exact_mean, half_up_ratio, sample_stddev_from_sums
 from reelhouse.functions.scoring import bayesian_score
-from reelhouse.operators.facts import BROADCAST_MAX_ROWS, broadcast_if_bounded
 
 # Fixed values.
 TIER_NAMES = ("basic", "standard", "premium")
 PRIOR_KINDS = ("value_bucket", "title")
 
 
-def _double_lit(x):
-    return F.lit(None if x is None else float(x)).cast("double")
-
-
 def rating_histogram(fact: DataFrame) -> DataFrame:
     """(content_sk, rating_value) -> n, n_positive, per-tier counts, first/last time."""
     tier = F.col("membership_tier_at_rating")
@@ -87,18 +82,14 @@ def title_rating_stats(hist: DataFrame) -> DataFrame:
         *[f"{t}_tier_ratings" for t in TIER_NAMES])
 
 
-def title_audience(fact: DataFrame, dim_user: DataFrame,
-                   user_broadcast_rows: int | None = None) -> DataFrame:
+def title_audience(fact: DataFrame, dim_user: DataFrame) -> DataFrame:
     """D3 + distinct counts: unique user versions and regions per title.
 
     Distinct (title, user version) pairs are formed first (partial
     aggregation, hashed on both columns so a hot title spreads over many
     tasks); only they meet the user dimension in a left join on ``user_sk``."""
     pairs = fact.select("content_sk", "user_sk").distinct()
-    users = dim_user.select("user_sk", "region")
-    if user_broadcast_rows is not None:
-        users = broadcast_if_bounded(users, user_broadcast_rows)
-    return (pairs.join(users, "user_sk", "left")
+    return (pairs.join(dim_user.select("user_sk", "region"), "user_sk", "left")
             .groupBy("content_sk")
             .agg(F.count("user_sk").alias("unique_raters"),
                  F.count_distinct("region").alias("unique_regions")))
@@ -113,28 +104,24 @@ def title_stats(fact: DataFrame, dim_user: DataFrame, hist: DataFrame | None = N
     return title_rating_stats(hist).join(audience, "content_sk", "left")
 
 
+def with_prior(stats: DataFrame, prior_row: DataFrame) -> DataFrame:
+    """The one-row prior beside every title, as scalar subqueries of the plan: no
+    join, and nothing runs while the plan is built."""
+    return stats.withColumns({c: prior_row.select(c).scalar() for c in ("prior_mean", "prior_count")})
+
+
 def mart_content_performance(fact: DataFrame, dim_content: DataFrame, dim_user: DataFrame,
                              prior: str = "value_bucket", hist: DataFrame | None = None,
-                             prior_values: tuple[float, float] | None = None,
-                             audience: DataFrame | None = None,
-                             content_broadcast_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+                             audience: DataFrame | None = None) -> DataFrame:
     """One row per rated title with the Bayesian-weighted score.
 
-    The prior (E1) is a single global row; it is fetched as two numbers (one
-    small action on the histogram) and applied as literals, so no join is
-    needed to attach it (D4).  Pass ``hist`` (e.g. a checkpointed histogram)
-    to avoid scanning the fact twice, or ``prior_values=(m, C)``."""
+    Pass ``hist`` (e.g. the written histogram) so that statistics and prior (E1) read
+    that instead of the fact."""
     hist = rating_histogram(fact) if hist is None else hist
-    if prior_values is None:
-        row = global_prior(hist, prior).first()
-        prior_values = (row["prior_mean"], row["prior_count"])
-    m, c = prior_values
-    stats = title_stats(fact, dim_user, hist, audience)
-    content = broadcast_if_bounded(
-        dim_content.select("content_sk", "movie_id", "title", "release_year", "era",
-                           "primary_genre", "all_genres"), content_broadcast_rows)
-    score = bayesian_score(F.col("total_ratings"), F.col("rating_sum"),
-                           _double_lit(c), _double_lit(m))
+    stats = with_prior(title_stats(fact, dim_user, hist, audience), global_prior(hist, prior))
+    content = dim_content.select("content_sk", "movie_id", "title", "release_year", "era", "primary_genre",
+                                 "all_genres")
+    score = bayesian_score(F.col("total_ratings"), F.col("rating_sum"), F.col("prior_count"), F.col("prior_mean"))
     return stats.join(content, "content_sk").select(
         "content_sk", "movie_id", "title", "release_year", "era", "primary_genre", "all_genres",
         "total_ratings", "avg_rating", "median_rating", "pct_positive", "rating_stddev",

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.functions.keys import surrogate_key
-from reelhouse.operators.facts import BROADCAST_MAX_ROWS, broadcast_if_bounded
 
 
 def dim_tag(stg_tags: DataFrame) -> DataFrame:
@@ -21,11 +20,10 @@ def dim_tag(stg_tags: DataFrame) -> DataFrame:
                     "n_uses", "n_titles", "n_users", "first_tagged_at", "last_tagged_at"))
 
 
-def bridge_content_tag(stg_tags: DataFrame, dim_content: DataFrame,
-                       broadcast_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+def bridge_content_tag(stg_tags: DataFrame, dim_content: DataFrame) -> DataFrame:
     """(content_sk, tag_sk) with the number of users that gave the tag and the
     last time; tags of titles missing from the content dimension drop out."""
-    content = broadcast_if_bounded(dim_content.select("content_sk", "movie_id"), broadcast_rows)
+    content = dim_content.select("content_sk", "movie_id")
     return (stg_tags.groupBy("movie_id", "tag_normalized")
             .agg(F.count(F.lit(1)).alias("n_users"), F.max("tagged_at").alias("last_tagged_at"))
             .join(content, "movie_id")

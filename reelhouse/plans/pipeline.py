@@ -1,26 +1,52 @@
 """The daily run as one Spark application (L2).
 
 source counts -> silver -> user history -> dimensions -> fact -> mart ->
-quality report -> audit row (written even when a step fails).  Gold tables are
-written as Parquet once and read back, so the fact is scanned from storage
-(column-pruned) by the mart and the analyst queries instead of being
-recomputed from its lineage; the written tables also cut lineage for fault
-tolerance - a lost executor recomputes from the last written table.
+checks -> audit row (written even when a step fails).
+
+Sources are files as delivered (CSV, :class:`SourceFiles`) or the driver's tables.
+A delivered users file holds the current state only; its capture is merged into the
+stored history (C1), so the history survives from run to run.
+
+Gold tables are written once, to a folder of the run, and read back, so the fact is
+scanned from storage (column-pruned) by the mart and the checks instead of being
+recomputed from its lineage.  A run becomes visible when its folder is appended to
+the log of the gold layer; a run that fails midway leaves the last one in place.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reelhouse.operators import history, quality
+from reelhouse.operators import history, quality, silver
 from reelhouse.operators import mart as mart_ops
 from reelhouse.plans.gold import GoldBuild
 from reelhouse.session import size_shuffles_for
-from reelhouse.sources import sinks
+from reelhouse.sources import counts as counts_src
+from reelhouse.sources import files, sinks
+
+LOG = "_log"
+
+
+@dataclass
+class SourceFiles:
+    """Paths of the delivered files; ``captured_at`` is the time of the users file."""
+    ratings: str
+    movies: str
+    tags: str
+    users: str
+    captured_at: str
+
+    def counts(self, spark: SparkSession) -> DataFrame:
+        return counts_src.source_row_counts(spark, {
+            "ratings": (files.scan_ratings, self.ratings), "movies": (files.scan_movies, self.movies),
+            "tags": (files.scan_tags, self.tags), "users": (files.scan_users, self.users)})
 
 
 @dataclass
@@ -36,6 +62,44 @@ class GoldTables:
         return spark.read.parquet(self.path(name))
 
 
+def publish(spark: SparkSession, out_root: str, name: str, path: str) -> None:
+    """Make ``path`` the current version of ``name`` (one appended log row)."""
+    row = spark.range(1).select(F.lit(name).alias("name"), F.lit(path).alias("path"),
+                                F.unix_micros(F.current_timestamp()).alias("at"))
+    row.write.mode("append").parquet(f"{out_root}/{LOG}")
+
+
+def current(spark: SparkSession, out_root: str, name: str) -> str | None:
+    """Path of the current version of ``name``; None if there has been none."""
+    try:
+        log = spark.read.schema("name string, path string, at long").parquet(f"{out_root}/{LOG}")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    row = log.filter(F.col("name") == name).agg(F.max_by("path", "at").alias("path")).first()
+    return row["path"]
+
+
+def update_user_history(spark: SparkSession, out_root: str, users: str, captured_at: str) -> DataFrame:
+    """Merge a delivered users file into the stored history (C1) and publish the result."""
+    raw = files.scan_users(spark, users).withColumn("capture_ts", F.lit(captured_at).cast("timestamp"))
+    path = current(spark, out_root, "user_snapshot")
+    stored = spark.read.parquet(path) if path else None
+    merged = history.scd2_capture(stored, silver.stage_users(raw), captured_at)
+    fresh = f"{out_root}/user_snapshot/{uuid.uuid4().hex}"
+    sinks.write_gold(merged, fresh)
+    publish(spark, out_root, "user_snapshot", fresh)
+    return spark.read.parquet(fresh)
+
+
+def gold_of_files(spark: SparkSession, src: SourceFiles, snapshot: DataFrame) -> GoldBuild:
+    """The lazy gold build over delivered files and a user history."""
+    return GoldBuild(spark, "", overrides={
+        "raw_ratings": files.scan_ratings(spark, src.ratings), "raw_movies": files.scan_movies(spark, src.movies),
+        "raw_tags": files.scan_tags(spark, src.tags), "user_snapshot": snapshot})
+
+
 def run_concurrently(*steps) -> list:
     """Run independent Spark steps as concurrent jobs of one application (the
     scheduler interleaves their tasks); re-raise the first failure."""
@@ -44,8 +108,7 @@ def run_concurrently(*steps) -> list:
         return [f.result() for f in futures]
 
 
-def materialize_gold(g: GoldBuild, root: str, fact_partition_by=("rating_year",),
-                     fact_files_per_partition: int | None = None) -> GoldTables:
+def materialize_gold(g: GoldBuild, root: str, fact_partition_by=("rating_year",)) -> GoldTables:
     """Write dims, fact (partitioned by year), histogram and mart under ``root``."""
     spark = g.spark
     out = GoldTables(root.rstrip("/"))
@@ -69,8 +132,7 @@ def materialize_gold(g: GoldBuild, root: str, fact_partition_by=("rating_year",)
     gf = GoldBuild(spark, g.sf_dir, g.current_year, g.capture_dates, g.prior,
                    overrides={**g.overrides, "dim_user": dim_user, "dim_content": dim_content,
                               "raw_ratings": g.raw_ratings})
-    timed("fact_build", lambda: sinks.write_gold(gf.fact, out.path("fact_viewership"),
-                                                 list(fact_partition_by), files_per_partition=fact_files_per_partition))
+    timed("fact_build", lambda: sinks.write_gold(gf.fact, out.path("fact_viewership"), list(fact_partition_by)))
     fact = out.read(spark, "fact_viewership")
 
     def build_mart():
@@ -82,26 +144,59 @@ def materialize_gold(g: GoldBuild, root: str, fact_partition_by=("rating_year",)
     return out
 
 
-def run_pipeline(spark: SparkSession, sf_dir: str, out_root: str, run_id: str,
-                 counts: DataFrame | None = None, raise_on_fail: bool = False,
-                 input_bytes: int | None = None) -> dict:
-    """Build and check the gold layer; append the audit row in any case.
+def check_gold(spark: SparkSession, tables: GoldTables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(mart report, fact report, contract violations) of written gold tables, each
+    evaluated once and kept with them."""
+    lazy = {"quality_mart": quality.quality_report(tables.read(spark, "mart_content_performance"),
+                                                   quality.gold_mart_checks()),
+            "quality_fact": quality.quality_report(tables.read(spark, "fact_viewership"), quality.fact_checks()),
+            "contracts": quality.contract_violations({n: tables.read(spark, n) for n in quality.CONTRACTS})}
+    for name, df in lazy.items():
+        sinks.write_gold(df, tables.path(name))
+    return tuple(tables.read(spark, name) for name in lazy)
 
-    ``input_bytes`` (size of the raw inputs, if known) sizes the initial
-    shuffle partition count for AQE."""
+
+def run_pipeline(spark: SparkSession, sources: str | SourceFiles, out_root: str, run_id: str,
+                 raise_on_fail: bool = False, input_bytes: int | None = None) -> dict:
+    """Build, check and publish the gold layer; append the audit row in any case.
+
+    ``sources`` names delivered files, or a folder with the driver's tables.
+    ``input_bytes`` (size of the raw inputs, if known) sizes the initial shuffle partition
+    count for AQE.  The status is ``pass`` only if both reports and all contracts pass; with
+    ``raise_on_fail`` a failed run raises and is not published."""
     if input_bytes:
         size_shuffles_for(spark, input_bytes)
-    report = None
-    status = "fail"
+    out_root = out_root.rstrip("/")
+    counts = report = None
+    status = None
     try:
-        tables = materialize_gold(GoldBuild(spark, sf_dir), out_root)
-        mart = tables.read(spark, "mart_content_performance")
-        report = quality.quality_report(mart, quality.gold_mart_checks())
-        fact_report = quality.quality_report(tables.read(spark, "fact_viewership"), quality.fact_checks())
-        rows = report.collect()
-        status = "pass" if all(r["status"] == "pass" for r in rows) else "fail"
+        if isinstance(sources, SourceFiles):
+            counts = sources.counts(spark)
+            snapshot = update_user_history(spark, out_root, sources.users, sources.captured_at)
+            g = gold_of_files(spark, sources, snapshot)
+        else:
+            g = GoldBuild(spark, sources)
+            counts = counts_src.source_row_counts(spark, {
+                name: (lambda _, df: df, df) for name, df in
+                (("ratings", g.raw_ratings), ("movies", g.raw_movies), ("tags", g.raw_tags),
+                 ("users", g.raw_user_captures))})
+        tables = materialize_gold(g, f"{out_root}/runs/{run_id}-{uuid.uuid4().hex[:8]}")
+        report, fact_report, contracts = check_gold(spark, tables)
+        bad = report.filter("status <> 'pass'").count() + fact_report.filter("status <> 'pass'").count()
+        status = "fail" if bad or not contracts.filter("violations > 0").isEmpty() else "pass"
         if raise_on_fail:
             quality.raise_on_fail(report)
-        return {"tables": tables, "report": report, "fact_report": fact_report, "status": status}
+            quality.raise_on_fail(fact_report)
+            if status == "fail":
+                raise AssertionError("column contracts are violated")
+        publish(spark, out_root, "gold", tables.root)
+        return {"tables": tables, "report": report, "fact_report": fact_report, "contracts": contracts,
+                "status": status}
     finally:
-        sinks.append_run_audit(spark, f"{out_root}/_audit/runs", run_id, counts, report)
+        sinks.append_run_audit(spark, f"{out_root}/_audit/runs", run_id, counts, report, status=status)
+
+
+def current_gold(spark: SparkSession, out_root: str) -> GoldTables | None:
+    """The gold layer of the last published run."""
+    path = current(spark, out_root.rstrip("/"), "gold")
+    return GoldTables(path) if path else None

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelhouse.functions.keys import epoch_seconds, surrogate_key
-from reelhouse.functions.scoring import era_bucket
+from reelhouse.functions.scoring import bayesian_score, era_bucket
 from reelhouse.operators import analytics, dims, facts, features, history, quality, tags
 from reelhouse.operators import mart as mart_ops
 from reelhouse.plans import oracle as O
@@ -459,12 +459,11 @@ def _report(g: GoldBuild) -> DataFrame:
 
 # --- features and tags ---------------------------------------------------------------------
 @register("content_features", O.sql_with("""
-SELECT content_sk, movie_id, release_year, era, genre_count,
-       CAST(generate_subscripts(string_split(all_genres, ', '), 1) - 1 AS INTEGER) AS genre_pos,
-       unnest(string_split(all_genres, ', ')) AS genre
-FROM dim_content""", "dim_content"))
+SELECT c.content_sk, m.movie_id, m.release_year, m.era, m.genre_count,
+       CAST(generate_subscripts(m.genres_array, 1) - 1 AS INTEGER) AS genre_pos, unnest(m.genres_array) AS genre
+FROM stg_movies m JOIN dim_content c ON c.movie_id = m.movie_id""", "stg_movies", "dim_content"))
 def _content_features(g: GoldBuild) -> DataFrame:
-    return features.content_features(g.dim_content)
+    return features.content_features(g.stg_movies)
 
 
 @register("user_item_ratings", O.sql_with("""
@@ -536,16 +535,25 @@ def _scan_tags(g: GoldBuild) -> DataFrame:
     return files.scan_tags(g.spark, staged_csv(g, "tags", g.raw_tags))
 
 
-_LAST_CAPTURE = "2000-01-01"
+@register("scan_users", O.sql_with("""
+SELECT user_id, membership_tier, region, device_preference, created_at FROM fx_user_captures""", "fx_user_captures"))
+def _scan_users(g: GoldBuild) -> DataFrame:
+    """A4: all user captures as users.csv (region NA must stay text)."""
+    return files.scan_users(g.spark, staged_csv(g, "users", g.raw_user_captures.drop("capture_ts")))
 
 
-@register("scan_users", O.sql_with(f"""
-SELECT user_id, membership_tier, region, device_preference, created_at FROM fx_user_captures
-WHERE capture_ts = TIMESTAMP '{_LAST_CAPTURE} 00:00:00'""", "fx_user_captures"))
-def _scan_users(g: GoldBuild) -> DataFrame:
-    """A4: the latest user capture as users.csv (region NA must stay text)."""
-    last = g.raw_user_captures.filter(F.col("capture_ts") == F.lit(_LAST_CAPTURE).cast("timestamp")).drop("capture_ts")
-    return files.scan_users(g.spark, staged_csv(g, "users", last))
+@register("scan_rejected", O.sql_with("""
+SELECT 'accepted' AS outcome, count(*) AS n FROM fx_ratings WHERE "movieId" % 7 <> 0
+UNION ALL SELECT 'rejected', count(*) FROM fx_ratings WHERE "movieId" % 7 = 0""", "fx_ratings"))
+def _scan_rejected(g: GoldBuild) -> DataFrame:
+    """A1 on a dirty twin: titles divisible by seven are written with a letter in their id.  These
+    lines are returned as rejected, none becomes a row of nulls."""
+    dirty = g.raw_ratings.withColumn("movieId", F.when(F.col("movieId") % 7 == 0, F.concat(F.lit("x"), "movieId"))
+                                     .otherwise(F.col("movieId").cast("string")))
+    path = staged_csv(g, "dirty-ratings", dirty)
+    good = files.scan_ratings(g.spark, path).select(F.lit("accepted").alias("outcome"))
+    bad = files.rejected(g.spark, path, files.RATINGS_SCHEMA).select(F.lit("rejected").alias("outcome"))
+    return good.unionByName(bad).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("load_stamp", O.sql_with("""
@@ -558,22 +566,25 @@ def _load_stamp(g: GoldBuild) -> DataFrame:
 SELECT 'ratings' AS source, COUNT(*) AS n FROM fx_ratings
 UNION ALL SELECT 'movies', COUNT(*) FROM fx_movies
 UNION ALL SELECT 'tags', COUNT(*) FROM fx_tags
-UNION ALL SELECT 'missing', 0""", "fx_ratings", "fx_movies", "fx_tags"))
+UNION ALL SELECT 'users', COUNT(*) FROM fx_user_captures
+UNION ALL SELECT 'missing', 0""", "fx_ratings", "fx_movies", "fx_tags", "fx_user_captures"))
 def _source_counts(g: GoldBuild) -> DataFrame:
     """A8 over staged CSV sources; the missing one counts 0."""
     root = staging_dir(g, "sources")
     files.write_csv(g.raw_ratings, root + "/ratings")
     files.write_csv(g.raw_movies, root + "/movies")
     files.write_csv(g.raw_tags, root + "/tags")
+    files.write_csv(g.raw_user_captures.drop("capture_ts"), root + "/users")
     return counts_src.source_row_counts(g.spark, {
         "ratings": (files.scan_ratings, root + "/ratings"), "movies": (files.scan_movies, root + "/movies"),
-        "tags": (files.scan_tags, root + "/tags"), "missing": (files.scan_users, root + "/users")})
+        "tags": (files.scan_tags, root + "/tags"), "users": (files.scan_users, root + "/users"),
+        "missing": (files.scan_users, root + "/no-such-file")})
 
 
 @register("write_gold", O.sql_with("SELECT * FROM fact", "fact"))
 def _write_gold(g: GoldBuild) -> DataFrame:
     """The fact written partitioned by year and read back."""
-    path = sinks.write_gold(g.fact, staging_dir(g, "fact"), "rating_year", files_per_partition=2)
+    path = sinks.write_gold(g.fact, staging_dir(g, "fact"), "rating_year")
     return g.spark.read.parquet(path).select(*g.fact.columns)
 
 
@@ -584,58 +595,145 @@ def _read_pruned(g: GoldBuild) -> DataFrame:
     return sinks.read_gold_pruned(g.spark, path, [1996, 1997]).select(*g.fact.columns)
 
 
-@register("append_run_audit", None)
+_AUDIT_TS = "2026-01-02 03:04:05"
+
+
+@register("append_run_audit", O.sql_with(f"""
+SELECT 'run-1' AS run_id, TIMESTAMP '{_AUDIT_TS}' AS execution_date, q.status,
+       (SELECT count(*) FROM fx_ratings) AS seed_ratings_rows, (SELECT count(*) FROM fx_movies) AS seed_movies_rows,
+       (SELECT count(*) FROM fx_tags) AS seed_tags_rows, (SELECT count(*) FROM fx_user_captures) AS seed_users_rows,
+       (SELECT count(*) FROM mart) AS gold_mart_rows, q.status AS observe_status
+FROM (SELECT CASE WHEN count(*) BETWEEN 1 AND 200000 THEN 'pass' ELSE 'fail' END AS status FROM mart) q
+UNION ALL SELECT 'run-2', TIMESTAMP '{_AUDIT_TS}', 'unknown', 0, 0, 0, 0, 0, 'unknown'""",
+                                       "fx_ratings", "fx_movies", "fx_tags", "fx_user_captures", "mart"))
 def _audit(g: GoldBuild) -> DataFrame:
-    """Two runs appended to an audit table (rows-only: holds run times)."""
+    """A run with all its counts and one whose steps failed, appended to an audit table."""
     path = staging_dir(g, "audit")
-    report = quality.quality_report(g.mart, quality.gold_mart_checks())
-    cnt = g.raw_ratings.agg(F.count(F.lit(1)).alias("n")).select(F.lit("ratings").alias("source"), "n")
-    sinks.append_run_audit(g.spark, path, "run-1", cnt, report)
-    return sinks.append_run_audit(g.spark, path, "run-2", None, None)
+    report = quality.quality_report(g.mart, [quality.RowCountCheck(1, 200_000)])
+    counted = counts_src.source_row_counts(g.spark, {
+        name: (lambda _, df: df, df) for name, df in
+        (("ratings", g.raw_ratings), ("movies", g.raw_movies), ("tags", g.raw_tags), ("users", g.raw_user_captures))})
+    sinks.append_run_audit(g.spark, path, "run-1", counted, report, _AUDIT_TS)
+    return sinks.append_run_audit(g.spark, path, "run-2", None, None, _AUDIT_TS)
+
+
+_MART_TYPES = {"content_sk": "string", "movie_id": "string", "release_year": "int", "total_ratings": "bigint",
+               "avg_rating": "decimal(4,2)", "weighted_score": "double"}
+
+
+@register("check_schema", """
+SELECT * FROM (VALUES ('content_sk', 'string', 'string', 'pass'), ('movie_id', 'string', 'string', 'pass'),
+  ('release_year', 'int', 'int', 'pass'), ('total_ratings', 'bigint', 'bigint', 'pass'),
+  ('avg_rating', 'decimal(4,2)', 'decimal(4,2)', 'pass'), ('weighted_score', 'double', 'decimal(6,4)', 'fail'))
+  t("column", expected_type, actual_type, status)""")
+def _schema(g: GoldBuild) -> DataFrame:
+    """G10 on the mart, with one expectation that does not hold."""
+    return quality.check_schema(g.mart, _MART_TYPES)
+
+
+@register("bayesian_score", O.sql_with("""
+SELECT content_sk, round((p.prior_count * p.prior_mean + t.rating_sum) / (p.prior_count + t.total_ratings), 9) AS score
+FROM per_title t, prior p""", "per_title", "prior"))
+def _bayes(g: GoldBuild) -> DataFrame:
+    """E4 for every title."""
+    rows = mart_ops.with_prior(mart_ops.title_rating_stats(g.histogram), mart_ops.global_prior(g.histogram))
+    score = bayesian_score(F.col("total_ratings"), F.col("rating_sum"), F.col("prior_count"), F.col("prior_mean"))
+    return rows.select("content_sk", F.round(score, 9).alias("score"))
+
+
+@register("mart_cross_prior", O.sql_with("""
+SELECT content_sk, total_ratings, round(prior_mean, 9) AS prior_mean, round(prior_count, 9) AS prior_count
+FROM per_title, prior""", "per_title", "prior"))
+def _cross_prior(g: GoldBuild) -> DataFrame:
+    """The one-row prior beside every title."""
+    rows = mart_ops.with_prior(mart_ops.title_rating_stats(g.histogram), mart_ops.global_prior(g.histogram))
+    return rows.select("content_sk", "total_ratings", F.round("prior_mean", 9).alias("prior_mean"),
+                       F.round("prior_count", 9).alias("prior_count"))
+
+
+@register("global_prior_title", O.sql_with("""
+SELECT round(avg(m), 9) AS prior_mean, round(sum(n)::DOUBLE / count(*), 9) AS prior_count
+FROM (SELECT content_sk, sum(rating_value)::DOUBLE / count(*) AS m, count(*) AS n FROM fact GROUP BY content_sk) t""",
+                                         "fact"))
+def _prior_title(g: GoldBuild) -> DataFrame:
+    """E1 over titles instead of (title, value) groups."""
+    row = mart_ops.global_prior(g.histogram, "title")
+    return row.select(F.round("prior_mean", 9).alias("prior_mean"), F.round("prior_count", 9).alias("prior_count"))
 
 
 # --- streaming -------------------------------------------------------------------------------
 @register("stream_ratings", O.sql_with("SELECT * FROM stg_ratings", "stg_ratings"))
 def _stream_ratings(g: GoldBuild) -> DataFrame:
-    """Lineitem files streamed (stream-static join to orders), staged by
-    B1, de-duplicated within the watermark, written by an exactly-once file
-    sink; equals the batch silver ratings (the fixture has no replays)."""
+    """Lineitem files streamed (stream-static join to orders), staged by B1, compared with
+    the months they touch in the sink; equals the batch silver ratings (the fixture has no replays)."""
     root = staging_dir(g, "stream-ratings")
     orders = g.spark.read.parquet(f"{g.sf_dir}/orders.parquet")
     raw = ratings_stream.lineitem_ratings_stream(g.spark, g.sf_dir, orders)
-    ratings_stream.run_available_now(ratings_stream.silver_ratings_stream(raw), root + "/out", root + "/ckpt")
-    return g.spark.read.parquet(root + "/out")
+    return ratings_stream.run_silver_ratings(raw, root + "/out", root + "/ckpt")
+
+
+@register("stream_ratings_late", O.sql_with("SELECT * FROM stg_ratings", "stg_ratings"))
+def _stream_late(g: GoldBuild) -> DataFrame:
+    """I1 with a hashed tenth of all ratings delivered last and then delivered again."""
+    root = staging_dir(g, "stream-late")
+    late = F.pmod(F.xxhash64("userId", "movieId", "timestamp"), F.lit(10)) == 0
+    for i, part in enumerate((g.raw_ratings.filter(~late), g.raw_ratings.filter(late), g.raw_ratings.filter(late))):
+        part.coalesce(1).write.parquet(f"{root}/in/delivery={i}")
+    stream = (g.spark.readStream.schema(g.raw_ratings.schema).option("maxFilesPerTrigger", "1")
+              .option("recursiveFileLookup", "true").parquet(root + "/in"))
+    return ratings_stream.run_silver_ratings(stream, root + "/out", root + "/ckpt")
+
+
+def _incremental_from(g: GoldBuild, name: str, first) -> DataFrame:
+    """A fact of the ratings where ``first`` holds, then the whole source twice."""
+    path = staging_dir(g, name)
+    sinks.write_gold(facts.fact_viewership(g.stg_ratings.filter(first), g.dim_content, g.dim_user), path, "rating_year")
+    for _ in range(2):
+        incremental.incremental_fact(g.spark, path, g.stg_ratings, g.dim_content, g.dim_user)
+    return g.spark.read.parquet(path).select(*g.fact.columns)
 
 
 @register("incremental_fact", O.sql_with("SELECT * FROM fact", "fact"))
 def _incremental(g: GoldBuild) -> DataFrame:
-    """Load facts before 1999, then the rest incrementally; the table ends
-    equal to the full fact, and a second run adds nothing."""
-    root = staging_dir(g, "incremental")
-    first = facts.fact_viewership(g.stg_ratings.filter(F.col("rated_at") < F.lit("1999-01-01").cast("timestamp")),
-                                  g.dim_content, g.dim_user)
-    sinks.write_gold(first, root + "/fact", "rating_year")
-    incremental.incremental_fact(g.spark, root + "/fact", g.stg_ratings, g.dim_content, g.dim_user)
-    incremental.incremental_fact(g.spark, root + "/fact", g.stg_ratings, g.dim_content, g.dim_user)
-    return g.spark.read.parquet(root + "/fact").select(*g.fact.columns)
+    """Facts before 1999, then the rest; the table ends equal to the full fact, and a second
+    run adds nothing."""
+    return _incremental_from(g, "incremental", F.col("rated_at") < F.lit("1999-01-01").cast("timestamp"))
 
 
-@register("stream_scd2", O.sql_with("SELECT * FROM user_snapshot", "user_snapshot"))
-def _stream_scd2(g: GoldBuild) -> DataFrame:
-    """Captures arrive one file per capture; each micro-batch is merged by C1."""
-    root = staging_dir(g, "stream-scd2")
+@register("incremental_fact_late", O.sql_with("SELECT * FROM fact", "fact"))
+def _incremental_late(g: GoldBuild) -> DataFrame:
+    """I2 with a hashed tenth of the ratings of all years arriving late."""
+    return _incremental_from(g, "incremental-late", F.pmod(F.xxhash64("user_id", "movie_id", "rated_at"), F.lit(10)) != 0)
+
+
+def _captures_stream(g: GoldBuild, name: str, files_per_capture: int) -> DataFrame:
+    root = staging_dir(g, name)
     caps = g.stg_user_captures
-    caps.write.partitionBy("capture_ts").parquet(root + "/captures")
+    part = F.pmod(F.xxhash64("user_id"), F.lit(files_per_capture))
+    # file names sort by part first, so the captures arrive in turns, newest parts between older ones
+    (caps.withColumn("part", part).repartition("part", "capture_ts").write.partitionBy("part", "capture_ts")
+     .parquet(root + "/captures"))
     stream = (g.spark.readStream.schema(g.spark.read.parquet(root + "/captures").schema)
-              .option("maxFilesPerTrigger", "1").parquet(root + "/captures"))
-    hist = scd2_stream.run_scd2_stream(stream, root + "/target", root + "/ckpt")
-    return hist.select(*g.user_snapshot.columns)
+              .option("maxFilesPerTrigger", "1").parquet(root + "/captures")).drop("part")
+    return scd2_stream.run_scd2_stream(stream, root + "/target", root + "/ckpt").select(*g.user_snapshot.columns)
+
+
+@register("stream_scd2", O.sql_with("SELECT * FROM user_snapshot", "user_snapshot"))
+def _stream_scd2(g: GoldBuild) -> DataFrame:
+    """Captures arrive one file per capture."""
+    return _captures_stream(g, "stream-scd2", 1)
+
+
+@register("stream_scd2_split", O.sql_with("SELECT * FROM user_snapshot", "user_snapshot"))
+def _stream_scd2_split(g: GoldBuild) -> DataFrame:
+    """Each capture arrives in three files, one file per micro-batch, captures mixed."""
+    return _captures_stream(g, "stream-scd2-split", 3)
 
 
 @register("multi_partition_write", O.sql_with("SELECT * FROM fact", "fact"))
 def _multi_partition(g: GoldBuild) -> DataFrame:
     """I4: the fact partitioned by year and month, read back."""
-    path = incremental.multi_partition_write(g.fact, staging_dir(g, "fact-ym"), files_per_partition=2)
+    path = incremental.multi_partition_write(g.fact, staging_dir(g, "fact-ym"))
     return g.spark.read.parquet(path).select(*g.fact.columns)
 
 
@@ -661,11 +759,21 @@ def _synth(g: GoldBuild) -> DataFrame:
 
 @register("daily_pipeline", O.sql_with("SELECT * FROM mart", "mart"))
 def _daily(g: GoldBuild) -> DataFrame:
-    """L2: the whole run (gold written, checks, audit row); returns the mart
-    as read back from storage."""
-    from reelhouse.plans.pipeline import run_pipeline
-    out = run_pipeline(g.spark, g.sf_dir, staging_dir(g, "daily"), run_id="registry-run")
-    return out["tables"].read(g.spark, "mart_content_performance")
+    """L2 on delivered files: the users file changes twice before the run, so the mart is right only
+    if the stored history was kept; returns the mart of the published run."""
+    from reelhouse.plans import pipeline
+    root, out = staging_dir(g, "deliveries"), staging_dir(g, "daily")
+    for name, df in (("ratings", g.raw_ratings), ("movies", g.raw_movies), ("tags", g.raw_tags)):
+        files.write_csv(df, f"{root}/{name}")
+    for day in g.capture_dates:
+        users = g.raw_user_captures.filter(F.col("capture_ts") == F.lit(day).cast("timestamp")).drop("capture_ts")
+        files.write_csv(users, f"{root}/users-{day}")
+    *earlier, last = g.capture_dates
+    for day in earlier:
+        pipeline.update_user_history(g.spark, out, f"{root}/users-{day}", day)
+    src = pipeline.SourceFiles(*(f"{root}/{n}" for n in ("ratings", "movies", "tags", f"users-{last}")), last)
+    pipeline.run_pipeline(g.spark, src, out, run_id="registry-run")
+    return pipeline.current_gold(g.spark, out).read(g.spark, "mart_content_performance")
 
 
 _CONTRACT_TABLES = {"dim_content": "dim_content", "dim_user": "dim_user", "dim_date": "dim_date_default",

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.sources.tables import ensure_parallelism, read_table
+from reelhouse.sources.tables import read_table
 
 # Fixed values of the fixture mapping.
 CAPTURE_DATES = ("1996-01-01", "1998-01-01", "2000-01-01")
@@ -32,9 +32,9 @@ def _ntz_epoch(c: str):
 
 def fx_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """userId, movieId, rating (DOUBLE, 0.0..5.5 in 0.5 steps), timestamp (epoch s)."""
-    li = ensure_parallelism(
-        read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate"),
-        "l_orderkey")
+    # hashed on the join key at every size: a file of one row group is one task otherwise
+    li = (read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate")
+          .repartition("l_orderkey"))
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return (li.join(od, li.l_orderkey == od.o_orderkey)
             .select(F.col("o_custkey").alias("userId"),
@@ -79,9 +79,8 @@ def fx_user_captures(spark: SparkSession, sf_dir: str,
     aggregated per (customer, capture) before the shuffle.
     """
     caps = F.array(*[F.lit(d).cast("date").cast("timestamp") for d in capture_dates])
-    orders = ensure_parallelism(read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderpriority", F.col("o_orderdate").cast("timestamp").alias("od")),
-        "o_custkey")
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderpriority", F.col("o_orderdate").cast("timestamp").alias("od"))
     # latest order by (date, order key), packed into one long so the
     # aggregation keeps fixed-width buffers and stays hash-based
     order_rank = (F.unix_date(F.to_date("od")).cast("long") * F.lit(1 << 40) + F.col("o_orderkey"))

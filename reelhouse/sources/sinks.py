@@ -7,31 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-AUDIT_SCHEMA = ("run_id string, execution_date timestamp, status string, seed_ratings_rows int, "
-                "seed_movies_rows int, seed_tags_rows int, seed_users_rows int, gold_mart_rows int, "
-                "observe_status string")
-
-
 def write_gold(df: DataFrame, path: str, partition_by: Sequence[str] | str | None = None,
-               mode: str = "overwrite", dynamic: bool = False,
-               files_per_partition: int | None = None) -> str:
+               mode: str = "overwrite", dynamic: bool = False) -> str:
     """Write a gold table as Parquet, optionally partitioned (e.g. the fact
     by ``rating_year``, or by year and month, I4).  ``dynamic`` overwrites only
     the partitions present in ``df``.
 
-    Without ``files_per_partition`` no shuffle is added: each task sorts its
-    rows by the partition columns and writes one file per value it holds.
-    With it, rows are hashed to (partition value, one of k buckets), so a
-    large year is written by k tasks - never one task per year, which would
-    put a whole year (a third of the data, say) on one executor."""
+    A partitioned write is rebalanced on the partition columns: AQE joins small
+    partitions and splits large ones by bytes, so a value gets as many files as its size
+    asks for, neither one file per task nor one task per year."""
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
-    w = df
-    if cols and files_per_partition:
-        spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
-        w = df.repartition(*[F.col(c) for c in cols], spread)
-    elif cols:
-        w = df.sortWithinPartitions(*cols)
-    writer = w.write.mode(mode)
+    writer = (df.hint("rebalance", *cols) if cols else df).write.mode(mode)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if cols:
@@ -50,12 +36,13 @@ def read_gold_pruned(spark: SparkSession, path: str, years: Sequence[int] | None
 
 
 def audit_row(spark: SparkSession, run_id: str, counts: DataFrame | None, report: DataFrame | None,
-              execution_ts=None) -> DataFrame:
+              execution_ts=None, status: str | None = None) -> DataFrame:
     """The one audit row of a run as a DataFrame (lazy).
 
     ``counts`` is (source, n) from ``source_row_counts``; ``report`` a quality
-    report with an ``overall`` row whose message is ``rows=<n>``.  Missing
-    inputs (a failed upstream step) give 'unknown' and zeros."""
+    report with an ``overall`` row whose message is ``rows=<n>``; ``status``, if given, is
+    that of the whole run (more checks than the report's).  Missing inputs (a failed
+    upstream step) give 'unknown' and zeros."""
     ts = F.current_timestamp() if execution_ts is None else F.lit(execution_ts).cast("timestamp")
     base = spark.range(1).select(F.lit(None).cast("string").alias("source"), F.lit(None).cast("long").alias("n"),
                                  F.lit(None).cast("string").alias("check"),
@@ -69,22 +56,22 @@ def audit_row(spark: SparkSession, run_id: str, counts: DataFrame | None, report
                                   allowMissingColumns=True)
 
     def count_of(name):
-        return F.coalesce(F.max(F.when(F.col("source") == name, F.col("n"))), F.lit(0)).cast("int")
+        return F.coalesce(F.max(F.when(F.col("source") == name, F.col("n"))), F.lit(0)).cast("long")
 
-    status = F.coalesce(F.max(F.when(F.col("check") == "overall", F.col("status"))), F.lit("unknown"))
+    observed = F.coalesce(F.max(F.when(F.col("check") == "overall", F.col("status"))), F.lit("unknown"))
     rows = F.coalesce(F.max(F.when(F.col("check") == "overall",
-                                   F.regexp_extract("message", r"rows=(\d+)", 1).try_cast("int"))), F.lit(0))
-    return parts.agg(status.alias("status"), count_of("ratings").alias("seed_ratings_rows"),
+                                   F.regexp_extract("message", r"rows=(\d+)", 1).try_cast("long"))), F.lit(0).cast("long"))
+    return parts.agg(observed.alias("observe_status"), count_of("ratings").alias("seed_ratings_rows"),
                      count_of("movies").alias("seed_movies_rows"), count_of("tags").alias("seed_tags_rows"),
                      count_of("users").alias("seed_users_rows"), rows.alias("gold_mart_rows")).select(
-        F.lit(run_id).alias("run_id"), ts.alias("execution_date"), "status", "seed_ratings_rows",
-        "seed_movies_rows", "seed_tags_rows", "seed_users_rows", "gold_mart_rows",
-        F.col("status").alias("observe_status"))
+        F.lit(run_id).alias("run_id"), ts.alias("execution_date"),
+        (F.col("observe_status") if status is None else F.lit(status)).alias("status"), "seed_ratings_rows",
+        "seed_movies_rows", "seed_tags_rows", "seed_users_rows", "gold_mart_rows", "observe_status")
 
 
 def append_run_audit(spark: SparkSession, path: str, run_id: str, counts: DataFrame | None,
-                     report: DataFrame | None, execution_ts=None) -> DataFrame:
+                     report: DataFrame | None, execution_ts=None, status: str | None = None) -> DataFrame:
     """Append the run's audit row to the Parquet table at ``path``."""
-    row = audit_row(spark, run_id, counts, report, execution_ts)
+    row = audit_row(spark, run_id, counts, report, execution_ts, status)
     row.write.mode("append").parquet(path)
     return spark.read.parquet(path)

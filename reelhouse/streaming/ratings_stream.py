@@ -1,28 +1,65 @@
 """Continuous bronze -> silver ratings.
 
-The silver transformation is B1 unchanged.  Replays are removed with
-``dropDuplicatesWithinWatermark`` on (user, movie, second, value): the value
-is part of the key, otherwise two different ratings in one second (the known
-``rating_sk`` collision) would lose one at random.  State is bounded by the
-watermark: a replay arriving later than the bound after the newest event seen
-is no longer recognised, and an event older than the watermark is dropped -
-so the stream equals the batch result only while lateness stays within the
-bound.
+The silver transformation is B1 unchanged.  Replays are recognised by (user, movie,
+second, value): the value is part of the key, otherwise two different ratings in one
+second (the known ``rating_sk`` collision) would lose one at random.
+
+:func:`run_silver_ratings` keeps no state at all: each micro-batch is compared with the months
+of the sink that it touches (a left-anti join on their partitions) and
+only what they lack is appended, however late it arrives.  :func:`silver_ratings_stream` is the
+stateful form for sinks that cannot be read back: its state is bounded by the
+watermark, and rows older than that are returned by :func:`too_late`, not lost unseen.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from reelhouse.operators.silver import stage_ratings
 from reelhouse.sources.files import RATINGS_SCHEMA
+from reelhouse.sources.sinks import write_gold
 
 DEDUP_KEY = ("user_id", "movie_id", "rated_at", "rating_value")
 
 
-def silver_ratings_stream(raw_stream: DataFrame, lateness: str = "3650 days") -> DataFrame:
-    """Streaming DataFrame of staged, de-duplicated ratings."""
+def append_new(sink: str):
+    """The ``foreachBatch`` function: append the staged ratings that their months in the
+    sink do not hold yet.  Each batch has a folder named by its id and reads only earlier
+    ones, so a replay overwrites itself."""
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        new = batch.dropDuplicates(list(DEDUP_KEY)).withColumn("rated_month", F.trunc("rated_at", "month"))
+        columns = new.columns
+        if batch_id > 0:
+            # equality on the month prunes the sink's partitions to those of this batch
+            held = (spark.read.schema(StructType([*new.schema.fields, StructField("batch", LongType())]))
+                    .parquet(sink).filter(F.col("batch") < batch_id))
+            new = (new.join(held.select("rated_month", *DEDUP_KEY), ["rated_month", *DEDUP_KEY], "left_anti")
+                   .select(*columns))
+        write_gold(new, f"{sink}/batch={batch_id}", "rated_month")
+    return fn
+
+
+def run_silver_ratings(raw_stream: DataFrame, sink: str, checkpoint: str) -> DataFrame:
+    """Stage everything available and return the silver ratings in ``sink``."""
+    staged = stage_ratings(raw_stream)
+    q = (staged.writeStream.foreachBatch(append_new(sink)).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return staged.sparkSession.read.parquet(sink).select(*staged.columns)
+
+
+def too_late(staged: DataFrame, sink: DataFrame) -> DataFrame:
+    """Staged ratings (all that arrived, as a batch) that a watermarked sink does not hold."""
+    return staged.dropDuplicates(list(DEDUP_KEY)).join(sink.select(*DEDUP_KEY), list(DEDUP_KEY), "left_anti")
+
+
+def silver_ratings_stream(raw_stream: DataFrame, lateness: str = "2 days") -> DataFrame:
+    """Streaming DataFrame of staged, de-duplicated ratings, state bounded by ``lateness``."""
     return (stage_ratings(raw_stream)
             .withWatermark("rated_at", lateness)
             .dropDuplicatesWithinWatermark(list(DEDUP_KEY)))

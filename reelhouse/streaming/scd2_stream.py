@@ -1,10 +1,14 @@
-"""Continuous user history (I3): each micro-batch of captures is merged with
-C1 in ``foreachBatch``.
+"""Continuous user history.
 
-The history lives as immutable versions ``<target>/history/batch=<id>`` plus a
-commit log ``<target>/_commits`` (batch id, path).  A batch id already in the
-log is skipped, so a replayed micro-batch after a failure is a no-op; a batch
-that failed before its commit row was written is simply redone.
+A capture may arrive in any number of files and micro-batches and in any order.  So
+the stream keeps what it has seen, not a merged history: each micro-batch is
+written once as ``<target>/observations/batch=<id>`` (overwritten by a replay of the
+same batch, so a failed or repeated batch leaves no trace), and the history is the
+bulk build (C2) over all observations.  Nothing already written is copied; storage
+grows with the captures alone.
+
+An observation seen twice changes nothing.  Two different rows of one key with
+the same capture time contradict each other and are reported, as in C1.
 """
 
 from __future__ import annotations
@@ -12,48 +16,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.operators.history import scd2_capture
-
-COMMITS = "_commits"
-
+from reelhouse.operators.history import USER_CHECK_COLS, SnapshotError, scd2_from_captures
 
-def _latest(spark: SparkSession, target: str):
-    try:
-        log = spark.read.parquet(f"{target}/{COMMITS}")
-    except Exception:  # noqa: BLE001 - no commit yet
-        return None, -1
-    row = log.orderBy(F.col("batch_id").desc()).select("batch_id", "path").first()
-    return (row["path"], row["batch_id"]) if row else (None, -1)
+OBSERVATIONS = "observations"
 
 
-def merge_batch(target: str, key: str = "user_id"):
-    """The ``foreachBatch`` function: merge each capture of the batch in time order."""
+def store_batch(target: str):
+    """The ``foreachBatch`` function: keep the micro-batch under its id."""
     def fn(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        path, last = _latest(spark, target)
-        if batch_id <= last:
-            return
-        hist = spark.read.parquet(path) if path else None
-        # capture times in one micro-batch: a handful of values
-        for (ts,) in batch.select("capture_ts").distinct().orderBy("capture_ts").collect():
-            current = batch.filter(F.col("capture_ts") == F.lit(ts)).drop("capture_ts")
-            hist = scd2_capture(hist, current, ts, key=key).checkpoint()
-        if hist is None:
-            return
-        out = f"{target}/history/batch={batch_id}"
-        hist.write.mode("overwrite").parquet(out)
-        (spark.createDataFrame([(batch_id, out)], "batch_id long, path string")
-         .write.mode("append").parquet(f"{target}/{COMMITS}"))
+        batch.write.mode("overwrite").parquet(f"{target}/{OBSERVATIONS}/batch={batch_id}")
     return fn
 
 
+def observations(spark: SparkSession, target: str) -> DataFrame:
+    """All observations so far; an unreadable store raises, it never counts as empty."""
+    return spark.read.parquet(f"{target}/{OBSERVATIONS}").drop("batch")
+
+
+def contradictions(seen: DataFrame, key: str = "user_id", ts_col: str = "capture_ts") -> DataFrame:
+    """(key, capture time, n): keys with several different rows at one capture time."""
+    row = F.struct(*[F.col(c) for c in USER_CHECK_COLS])
+    return (seen.groupBy(key, ts_col).agg(F.count_distinct(F.to_json(row)).alias("n")).filter("n > 1"))
+
+
+def user_history(spark: SparkSession, target: str, key: str = "user_id", validate: bool = True) -> DataFrame:
+    """The history of everything seen; with ``validate`` (an action) contradictions raise."""
+    seen = observations(spark, target)
+    if validate and not contradictions(seen, key).isEmpty():
+        raise SnapshotError(f"one {key!r} has different rows at the same capture time")
+    return scd2_from_captures(seen, key)
+
+
 def run_scd2_stream(captures: DataFrame, target: str, checkpoint: str) -> DataFrame:
     """Run a capture stream to completion (availableNow) and return the history."""
-    q = (captures.writeStream.foreachBatch(merge_batch(target))
+    q = (captures.writeStream.foreachBatch(store_batch(target))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    spark = captures.sparkSession
-    path, _ = _latest(spark, target)
-    return spark.read.parquet(path)
+    return user_history(captures.sparkSession, target)

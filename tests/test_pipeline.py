@@ -3,7 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from reelhouse.plans import pipeline
+from reelhouse.plans.gold import GoldBuild
 from reelhouse.plans.pipeline import run_pipeline
+from reelhouse.sources import files
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,6 +25,8 @@ def test_pipeline_writes_gold_and_audit(spark, tmp_dir):
     audit = spark.read.parquet(tmp_dir + "/gold/_audit/runs").collect()
     assert len(audit) == 1 and audit[0].run_id == "r1" and audit[0].gold_mart_rows == 190
     assert audit[0].status == "fail" and audit[0].observe_status == "fail"
+    assert (audit[0].seed_ratings_rows, audit[0].seed_movies_rows, audit[0].seed_users_rows) == (6000, 200, 414)
+    assert pipeline.current_gold(spark, tmp_dir + "/gold").root == out["tables"].root
 
 
 def test_pipeline_failure_still_audited(spark, tmp_dir):
@@ -35,6 +40,35 @@ def test_pipeline_failure_still_audited(spark, tmp_dir):
     assert spark.read.parquet(tmp_dir + "/gold/_audit/runs").filter(F.col("run_id") == "r2").count() == 1
 
 
+def _deliver(spark, root):
+    g = GoldBuild(spark, SF)
+    for name, df in (("ratings", g.raw_ratings), ("movies", g.raw_movies), ("tags", g.raw_tags)):
+        files.write_csv(df, f"{root}/{name}")
+    for day in g.capture_dates:
+        files.write_csv(g.raw_user_captures.filter(F.col("capture_ts") == F.lit(day).cast("timestamp")).drop("capture_ts"),
+                        f"{root}/users-{day}")
+    return g
+
+
+def test_history_survives_runs_and_failures(spark, tmp_dir):
+    root, out = tmp_dir + "/in", tmp_dir + "/gold"
+    g = _deliver(spark, root)
+    for day in g.capture_dates[:2]:
+        src = pipeline.SourceFiles(f"{root}/ratings", f"{root}/movies", f"{root}/tags", f"{root}/users-{day}", day)
+        done = run_pipeline(spark, src, out, run_id=day)
+    want = pipeline.history.scd2_from_captures(
+        g.stg_user_captures.filter(F.col("capture_ts") <= F.lit(g.capture_dates[1]).cast("timestamp")))
+    got = done["tables"].read(spark, "user_snapshot")
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    audit = spark.read.parquet(out + "/_audit/runs").collect()
+    assert len(audit) == 2 and all(r.seed_ratings_rows == 6000 and r.seed_users_rows > 0 for r in audit)
+    with pytest.raises(Exception):   # the titles are missing: the run fails, the last gold layer stays
+        run_pipeline(spark, pipeline.SourceFiles(f"{root}/ratings", f"{root}/gone", f"{root}/tags",
+                                                 f"{root}/users-{g.capture_dates[2]}", g.capture_dates[2]), out, run_id="bad")
+    assert pipeline.current_gold(spark, out).root == done["tables"].root
+    assert pipeline.current_gold(spark, out).read(spark, "mart_content_performance").count() == 190
+
+
 def test_cli_runs_the_daily_pipeline(spark, tmp_dir, capsys):
     import json
 
@@ -42,4 +76,4 @@ def test_cli_runs_the_daily_pipeline(spark, tmp_dir, capsys):
     code = main(["--tables", SF, "--out", tmp_dir + "/cli", "--run-id", "cli-1"])
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert code == 0 and out["run_id"] == "cli-1" and out["report"][-1]["check"] == "overall"
-    assert spark.read.parquet(tmp_dir + "/cli/mart_content_performance").count() == 190
+    assert pipeline.current_gold(spark, tmp_dir + "/cli").read(spark, "mart_content_performance").count() == 190

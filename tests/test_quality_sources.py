@@ -98,7 +98,7 @@ def test_synthesize_users(spark):
 def test_write_gold_partition_pruning_and_audit(spark, tmp_dir):
     df = spark.createDataFrame([(i, 1995 + i % 5, float(i)) for i in range(50)],
                                "id long, rating_year int, v double")
-    path = sinks.write_gold(df, tmp_dir + "/fact", "rating_year", files_per_partition=2)
+    path = sinks.write_gold(df, tmp_dir + "/fact", "rating_year")
     pruned = sinks.read_gold_pruned(spark, path, [1996, 1997])
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [rating_year" in plan and "IN (1996,1997)" in plan
