@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelhouse.llm.chunks import free_name
 from reelhouse.llm.hilbert_pack import pack_along_curve
 from reelhouse.llm.line_dedup import remove_repeated_lines
 from reelhouse.llm.line_frequency import keep_good
@@ -44,9 +45,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: of each group of linked documents the one with the smallest id stays (rows that
     repeat an id stay or go together)."""
+    key = free_name(docs, "kept_id")
     first = (jaccard_components(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .select(F.col("doc_id").alias("kept_id")).distinct())
-    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+             .select(F.col("doc_id").alias(key)).distinct())
+    return docs.join(first, F.col("doc_id").eqNullSafe(F.col(key)), "left_semi")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,6 +40,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -92,10 +99,10 @@ def stage_chunks(docs: DataFrame, id_col: str, text_col: str, carry: list[str] |
     """Chunks (chunk, n_bytes, docs) of ``docs``, written once.
 
     Inside a chunk the documents are sorted by id (null first), so positions in it
-    follow document order.  Its columns: id, text, ROW (unique over the corpus),
-    then the carried ones.  Repeated ids stay separate rows."""
+    follow document order.  Its columns: _id, _text, ROW (unique over the corpus), then
+    the carried ones as c0, c1, ...  Repeated ids stay separate rows."""
     wanted = [F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text")]
-    wanted += [F.col(f"`{c}`") for c in carry or []]
+    wanted += [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry or [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 40

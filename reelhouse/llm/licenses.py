@@ -50,7 +50,8 @@ def _words(text: Column) -> Column:
 
 
 def _bigrams(words: Column) -> Column:
-    pairs = F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words) - 1),
+    n = F.greatest(F.size(words) - 1, F.lit(0))  # also evaluated for rows that a filter drops
+    pairs = F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n),
                        lambda a, b: F.concat(a, F.lit(" "), b))
     return F.array_distinct(pairs)
 

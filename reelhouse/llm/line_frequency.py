@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.llm.chunks import stage
+from reelhouse.llm.chunks import free_name, stage
 from reelhouse.llm.words import Words, combine, slices, window_hashes, words_of
 
 MIN_WORDS, MAX_REPEATED, MAX_SHARE, MIN_DOCS, MAX_REMOVED = 50, 50, 10, 10, 50
@@ -147,10 +147,11 @@ def without_lines(texts: pa.Array, removed: pa.Array) -> pa.Array:
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """``docs`` without the rejected documents, and their texts without the lines above the limits;
     the columns stay as they are.  Rows with equal ids go if one of them is rejected."""
-    verdict = (line_frequency_rules(docs, id_col, text_col, host_col).groupBy(F.col(id_col).alias("v_id"))
-               .agg(F.min("kept").alias("kept"), F.array_distinct(F.flatten(F.collect_list("removed_lines"))).alias("gone")))
-    rows = docs.join(verdict.filter("kept").drop("kept"), F.col(f"`{id_col}`").eqNullSafe(F.col("v_id"))).drop("v_id")
-    names = list(docs.columns)
+    key, gone, names = free_name(docs, "verdict_id"), free_name(docs, "removed_lines"), list(docs.columns)
+    verdict = (line_frequency_rules(docs, id_col, text_col, host_col).groupBy(F.col(id_col).alias(key))
+               .agg(F.min("kept").alias("kept"), F.array_distinct(F.flatten(F.collect_list("removed_lines"))).alias(gone))
+               .filter("kept").select(key, gone))
+    rows = docs.join(verdict, F.col(f"`{id_col}`").eqNullSafe(F.col(key)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,7 +160,7 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
             columns[at] = without_lines(columns[at], batch.columns[-1])
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return rows.select(*[F.col(f"`{c}`") for c in names], "gone").mapInArrow(run, docs.schema)
+    return rows.select(*[F.col(f"`{c}`") for c in names], gone).mapInArrow(run, docs.schema)
 
 
 def oracle_sql() -> str:

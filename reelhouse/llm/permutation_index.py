@@ -54,10 +54,23 @@ def _matrix(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, so that no square overflows; cosines stay exactly the same."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
+def _norms(x: np.ndarray) -> np.ndarray:
+    return np.sqrt((x * x).sum(axis=1))
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
-    scale = np.abs(x).max(axis=1, keepdims=True)
-    x = x / scale
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = _scaled(x)
+    return x / _norms(x)[:, None]
+
+
+def cosines(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Cosine of each row with ``q``, row by row: equal rows have equal cosines to the last bit."""
+    return (x * q).sum(axis=1) / (_norms(x) * np.sqrt((q * q).sum()))
 
 
 def nearest_pivots(x: np.ndarray, pivots: np.ndarray, posted: int) -> np.ndarray:
@@ -67,14 +80,14 @@ def nearest_pivots(x: np.ndarray, pivots: np.ndarray, posted: int) -> np.ndarray
 
 def build_index(rows: DataFrame, pivots: np.ndarray, posted: int = POSTED, block: int = BLOCK) -> DataFrame:
     """Inverted files: a row (block, pivot, members, places) per block and pivot, and a row with
-    pivot -1 that holds the block's ids (members) and unit vectors (places)."""
+    pivot -1 that holds the block's ids (members) and vectors (places)."""
     schema = pa.schema([("block", pa.int64()), ("pivot", pa.int32()), ("members", pa.binary()),
                         ("places", pa.binary())])
 
     def files(number: int, ids: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
         order = np.argsort(ids, kind="stable")  # member order is id order: ties go to smaller ids
-        ids, x = ids[order], _unit(x[order])
-        near = nearest_pivots(x, pivots, posted)
+        ids, x = ids[order], x[order].astype("<f8")
+        near = nearest_pivots(_unit(x), pivots, posted)
         member = np.repeat(np.arange(len(ids), dtype="<u2"), near.shape[1])
         place = np.tile(np.arange(near.shape[1], dtype="<u2"), len(ids))
         by = np.argsort(near.reshape(-1), kind="stable")
@@ -108,14 +121,14 @@ def _search_block(files: pd.DataFrame, queries: list[tuple[int, np.ndarray]], pi
                   k: int) -> pd.DataFrame:
     own = files["pivot"].to_numpy() == -1
     ids = np.frombuffer(files.loc[own, "members"].iloc[0], "<i8")
-    x = np.frombuffer(files.loc[own, "places"].iloc[0], "<f8").reshape(len(ids), -1)
+    x = _scaled(np.frombuffer(files.loc[own, "places"].iloc[0], "<f8").reshape(len(ids), -1))
     lists = {p: (np.frombuffer(m, "<u2"), np.frombuffer(s, "<u2").astype(np.int32)) for p, m, s in
              files.loc[~own, ["pivot", "members", "places"]].itertuples(index=False)}
     take = min(len(ids), max(LEAST, k + 1, int(np.ceil(SHARE * len(ids)))))
-    q = _unit(np.array([v for _, v in queries]))
-    near = nearest_pivots(q, pivots, posted)
+    q = _scaled(np.array([v for _, v in queries]))
+    near = nearest_pivots(_unit(q), pivots, posted)
     out = []
-    for (qid, _), unit, order in zip(queries, q, near):
+    for (qid, _), query, order in zip(queries, q, near):
         foot = np.full(len(ids), posted * len(order), dtype=np.int64)
         for place, pivot in enumerate(order):
             if pivot in lists:
@@ -125,7 +138,7 @@ def _search_block(files: pd.DataFrame, queries: list[tuple[int, np.ndarray]], pi
         ranked = foot * len(ids) + np.arange(len(ids))
         best = np.argpartition(ranked, take - 1)[:take]
         best = best[ids[best] != qid]
-        score = x[best] @ unit
+        score = cosines(x[best], query)
         best, score = (v[np.lexsort((ids[best], -score))[:k]] for v in (best, score))
         out.append(pd.DataFrame({"query_id": qid, "vec_id": ids[best], "score": score}))
     return pd.concat(out, ignore_index=True)

@@ -91,8 +91,8 @@ def _finished(table: pa.Table, words: Words, keep: np.ndarray | None, extra: lis
     where = np.arange(len(ids)) if pick is None else np.asarray(pick, dtype=np.int64)
     frame = {"id": pd.array([ids[d] for d in where], dtype="Int64"), "n_words": n[where],
              "n_removed": np.array(removed, dtype=np.int64), "text": pd.Series(out, dtype=object)}
-    for i, name in enumerate(extra):
-        values = table.column(name).to_pylist()
+    for i in range(len(extra)):
+        values = table.column(f"c{i}").to_pylist()
         frame[f"x{i}"] = pd.Series([values[d] for d in where], dtype=object)
     return pd.DataFrame(frame)
 
