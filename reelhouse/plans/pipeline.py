@@ -164,6 +164,8 @@ def run_pipeline(spark: SparkSession, sources: str | SourceFiles, out_root: str,
     ``input_bytes`` (size of the raw inputs, if known) sizes the initial shuffle partition
     count for AQE.  The status is ``pass`` only if both reports and all contracts pass; with
     ``raise_on_fail`` a failed run raises and is not published."""
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(initial, None)
     if input_bytes:
         size_shuffles_for(spark, input_bytes)
     out_root = out_root.rstrip("/")
@@ -194,6 +196,8 @@ def run_pipeline(spark: SparkSession, sources: str | SourceFiles, out_root: str,
                 "status": status}
     finally:
         sinks.append_run_audit(spark, f"{out_root}/_audit/runs", run_id, counts, report, status=status)
+        if input_bytes:  # leave the caller's session as it was
+            spark.conf.unset(initial) if before is None else spark.conf.set(initial, before)
 
 
 def current_gold(spark: SparkSession, out_root: str) -> GoldTables | None:

@@ -780,7 +780,7 @@ _CONTRACT_TABLES = {"dim_content": "dim_content", "dim_user": "dim_user", "dim_d
                     "fact_viewership": "fact", "mart_content_performance": "mart"}
 
 
-@register("contract_violations", O.sql_with(O.contracts_sql(quality.CONTRACTS, _CONTRACT_TABLES),
+@register("contract_violations", O.sql_with(O.contracts_sql(_CONTRACT_TABLES),
                                             *_CONTRACT_TABLES.values()))
 def _contracts(g: GoldBuild) -> DataFrame:
     """Column contracts of all gold tables: one aggregation per table plus a

@@ -15,21 +15,23 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings applied to any session handed to the library (cluster or test).
-SESSION_DEFAULTS = {
+# What results depend on: set on any session handed to the library.
+SEMANTICS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+}
+# What speed depends on: only for sessions built here, a cluster's own settings stay.
+SESSION_DEFAULTS = SEMANTICS | {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.localShuffleReader.enabled": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
 }
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings the operators assume."""
-    for key, value in SESSION_DEFAULTS.items():
+    """Set the SQL semantics the operators assume (UTC, ANSI)."""
+    for key, value in SEMANTICS.items():
         spark.conf.set(key, value)
     return spark
 
@@ -68,9 +70,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     try:
         sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the checkpoint folder
+    except Exception as e:  # noqa: BLE001 - Spark Connect: the server owns the checkpoint folder
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        return (configured or tempfile.mkdtemp(prefix="reelhouse-ckpt-")).rstrip("/")
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder the cluster can reach") from e
+        return configured.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
         if not sc.master.startswith("local"):
