@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from reelhouse.llm.words import slices
 from reelhouse.session import checkpoint_root
 
-CHUNK_BYTES = 8 << 20   # text per chunk; raise with the corpus (see README)
+CHUNK_BYTES = 5 << 20   # text per chunk; raise with the corpus (see README)
 BUCKETS_PER_TASK = 2    # buckets per shuffle partition: smaller groups, more even tasks
 
 
@@ -121,14 +121,15 @@ def stage_chunks(docs: DataFrame, id_col: str, text_col: str, carry: list[str] |
                                                                 ("docs", pa.binary())]))
 
         for batch in batches:
-            for part in slices(batch, 1, chunk_bytes):
+            for part in slices(batch, 1, chunk_bytes // 4):
                 held.append(part)
                 size += part.nbytes
-                if size >= chunk_bytes // 2:
+                if size >= chunk_bytes:
                     yield close()
                     held, size = [], 0
         if held:
             yield close()
+        pa.default_memory_pool().release_unused()
 
     return stage(docs.select(*wanted).mapInArrow(run, "chunk long, n_bytes long, docs binary"), "chunks")
 

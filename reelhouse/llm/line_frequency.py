@@ -35,7 +35,7 @@ SYMBOLS = b"#*$%&|<>"   # fixed value: the characters counted as symbols
 BLANKS = " \t\n\x0b\f\r"
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(SYMBOLS)] = True
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def _per_doc(marks: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -13,11 +13,12 @@ from __future__ import annotations
 import json
 
 import re
+from array import array
 
 import numpy as np
 from tokenizers import Tokenizer
 
-PIECE_CACHE = 1_000_000      # pieces kept per process; the table is emptied beyond
+PIECE_CACHE = 500_000      # pieces kept per process, those used last
 LONG_PIECE = 64            # longer pieces are encoded but not kept
 BATCH_CHARS = 4 << 20      # text encoded at a time
 
@@ -42,10 +43,11 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in own else chr(next(free)) for b in range(256)]
 
 
-def load(path: str) -> "Pieces":
-    """The encoder of a tokenizer file, one per process."""
+def load(path: str, keep: int = PIECE_CACHE) -> "Pieces":
+    """The encoder of a tokenizer file, one per process; it keeps about ``keep`` pieces."""
     if path not in _LOADED:
         _LOADED[path] = Pieces(path)
+    _LOADED[path].keep = keep
     return _LOADED[path]
 
 
@@ -60,7 +62,9 @@ class Pieces:
         self.lower = bool(spec["normalizer"])
         self.cut = re.compile(PATTERNS["lower_words" if self.lower else "byte_level"]).findall
         self.letters = dict(enumerate(byte_letters()))
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}     # pieces of this generation
+        self.older: dict[str, bytes] = {}     # and of the one before
+        self.keep = PIECE_CACHE
 
     def pieces(self, text: str) -> list[str] | None:
         """The text's pieces, or None where only the library cuts surely."""
@@ -75,7 +79,7 @@ class Pieces:
         mapped = "\0".join(new).encode("utf-8").decode("latin-1").translate(self.letters)
         merge, known = self.library.model.tokenize, self.known
         for piece, letters in zip(new, mapped.split(self.letters[0])):
-            known[piece] = np.array([t.id for t in merge(letters)], dtype="<u4").tobytes()
+            known[piece] = array("I", [t.id for t in merge(letters)]).tobytes()
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids (little-endian uint32) of each text, as the library's encode without
@@ -91,9 +95,13 @@ class Pieces:
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.pieces(t) for t in texts]
-        if len(self.known) > PIECE_CACHE:
-            self.known.clear()
+        if len(self.known) > self.keep // 2:
+            self.known, self.older = {}, self.known
         new = list(set().union(*(p for p in cut if p)).difference(self.known))
+        if new and self.older:
+            again = {p: self.older[p] for p in new if p in self.older}
+            self.known.update(again)
+            new = [p for p in new if p not in again]
         if new:
             self._learn(new)
         get = self.known.__getitem__

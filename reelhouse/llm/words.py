@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 _SEED = 0x5EED_1009  # every worker must draw the same tables
 
 _SPACE = np.zeros(256, dtype=bool)
