@@ -5,8 +5,12 @@ digits one blank) and compared with licence templates by the Dice coefficient ov
 bigrams: 2 * common / (bigrams of the text + bigrams of the template).  A set of size a can reach
 the coefficient t with one of size b only if t * b / (2 - t) <= a <= (2 - t) * b / t.  So a text is
 dropped before its bigrams are made when its number of words rules out every template, and a
-template is compared only with texts inside its bounds.  A text's first words already bound
-its set from below, so a long text is dropped by looking at these.
+template is compared only with texts inside its bounds.
+
+The lower bound also says how many of a template's bigrams a match has at least.  Of any
+b - lower + 1 of them it has one, and with it that bigram's longer word.  These few words are
+looked for first, in whole documents and then in lines; what has none of them is neither
+split nor normalised.
 
 Nothing is shuffled: templates are a parameter and are in the expression.
 
@@ -19,6 +23,8 @@ ignored.
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +51,12 @@ def _bounds(size: int, percent: int) -> tuple[int, int]:
     return -(-percent * size // (200 - percent)), (200 - percent) * size // percent
 
 
+def needed_words(grams: list[str], percent: int) -> set[str]:
+    """Words of which every text that reaches ``percent`` with the template has one."""
+    ranked = sorted(grams, key=lambda g: (-max(map(len, g.split())), g))
+    return {max(g.split(), key=len) for g in ranked[:len(grams) - _bounds(len(grams), percent)[0] + 1]}
+
+
 def _words(text: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
 
@@ -64,17 +76,22 @@ def license_matches(docs: DataFrame, templates: dict[str, str] | None = None, pe
     known = {name: grams for name, grams in known.items() if grams}
     low = min(_bounds(len(g), percent)[0] for g in known.values())
     high = max(_bounds(len(g), percent)[1] for g in known.values())
+    needed = sorted(set().union(*(needed_words(g, percent) for g in known.values())))
+
+    def may_match(text: Column) -> Column:
+        low = F.lower(text)
+        return reduce(or_, [F.contains(low, F.lit(w)) for w in needed])
+
     parts = F.split(F.col(f"`{text_col}`"), "\n")
     units = F.concat(F.transform(parts, lambda x, i: F.struct((i + 1).alias("line_no"), x.alias("unit"))),
                      F.when(F.size(parts) > 1, F.array(F.struct(F.lit(0).alias("line_no"),
                                                                 F.col(f"`{text_col}`").alias("unit"))))
                      .otherwise(F.array().cast("array<struct<line_no:int,unit:string>>")))
-    # a text of more than ``high`` bigrams may be dropped as soon as its first words show that many
-    head = 4 * (high + 2)
-    opening = F.size(F.array_distinct(F.slice(F.col("words"), 1, head)))
-    rows = (docs.select(F.col(f"`{id_col}`").alias("_id"), F.explode(units).alias("u"))
+    rows = (docs.filter(may_match(F.col(f"`{text_col}`")))
+            .select(F.col(f"`{id_col}`").alias("_id"), F.explode(units).alias("u")).filter(may_match(F.col("u.unit")))
             .select("_id", "u.line_no", _words(F.col("u.unit")).alias("words"))
-            .filter((F.size("words") > 1) & (F.size("words") - 1 >= low) & (opening - 1 <= high))
+            # d different words next to each other make d - 1 different bigrams at least
+            .filter((F.size("words") - 1 >= low) & (F.size(F.array_distinct("words")) - 1 <= high))
             .select("_id", "line_no", _bigrams(F.col("words")).alias("grams"))
             .filter(F.size("grams").between(low, high)))
     n = F.size("grams")
