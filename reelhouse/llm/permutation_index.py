@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 from reelhouse.llm.chunks import stage
 
 PIVOTS = 256
-POSTED = 128          # nearest pivots under which a vector is posted
+POSTED = 128          # nearest pivots under which a vector is posted, 255 at most
 BLOCK = 4096          # vectors per block of inverted files, and queries per query block
-SHARE = 0.08          # of a block that is ranked by cosine, at least LEAST
-LEAST = 128
+SHARE = 0.125         # of a block that is ranked by cosine, at least LEAST
+LEAST = 512
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -75,7 +75,7 @@ def cosines(x: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 def nearest_pivots(x: np.ndarray, pivots: np.ndarray, posted: int) -> np.ndarray:
     """Numbers of the nearest pivots of each unit vector, nearest first."""
-    return np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :posted]
+    return np.argsort(-(x @ pivots.T), axis=1)[:, :posted]
 
 
 def build_index(rows: DataFrame, pivots: np.ndarray, posted: int = POSTED, block: int = BLOCK) -> DataFrame:
@@ -122,26 +122,26 @@ def _search_block(files: pd.DataFrame, queries: list[tuple[int, np.ndarray]], pi
     own = files["pivot"].to_numpy() == -1
     ids = np.frombuffer(files.loc[own, "members"].iloc[0], "<i8")
     x = _scaled(np.frombuffer(files.loc[own, "places"].iloc[0], "<f8").reshape(len(ids), -1))
-    lists = {p: (np.frombuffer(m, "<u2"), np.frombuffer(s, "<u2").astype(np.int32)) for p, m, s in
-             files.loc[~own, ["pivot", "members", "places"]].itertuples(index=False)}
+    # the block's inverted files side by side: a row per pivot, ``posted`` for vectors not in its file
+    lists = np.full((len(pivots), len(ids)), posted, dtype=np.uint8)
+    for p, members, places in files.loc[~own, ["pivot", "members", "places"]].itertuples(index=False):
+        lists[p, np.frombuffer(members, "<u2")] = np.frombuffer(places, "<u2")
     take = min(len(ids), max(LEAST, k + 1, int(np.ceil(SHARE * len(ids)))))
     q = _scaled(np.array([v for _, v in queries]))
     near = nearest_pivots(_unit(q), pivots, posted)
+    own_place = np.arange(near.shape[1], dtype=np.uint8)[:, None]
     out = []
     for (qid, _), query, order in zip(queries, q, near):
-        foot = np.full(len(ids), posted * len(order), dtype=np.int64)
-        for place, pivot in enumerate(order):
-            if pivot in lists:
-                member, places = lists[pivot]
-                foot[member] += np.abs(places - place) - posted
+        opened = lists[order]
+        foot = (np.maximum(opened, own_place) - np.minimum(opened, own_place)).sum(axis=0, dtype=np.int64)
         foot[ids == qid] = np.iinfo(np.int32).max
-        ranked = foot * len(ids) + np.arange(len(ids))
+        ranked = foot * len(ids) + np.arange(len(ids))  # ties to smaller ids
         best = np.argpartition(ranked, take - 1)[:take]
         best = best[ids[best] != qid]
         score = cosines(x[best], query)
         best, score = (v[np.lexsort((ids[best], -score))[:k]] for v in (best, score))
-        out.append(pd.DataFrame({"query_id": qid, "vec_id": ids[best], "score": score}))
-    return pd.concat(out, ignore_index=True)
+        out.append((np.full(len(best), qid), ids[best], score))
+    return pd.DataFrame({c: np.concatenate(v) for c, v in zip(("query_id", "vec_id", "score"), zip(*out))})
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
