@@ -20,6 +20,7 @@ from reelhouse.llm.substring_dedup import remove_repeated_windows
 
 END_ID = 1
 SEQUENCE_TOKENS = 2048
+KEPT_PIECES = 300_000   # workers live on between stages: less memory than when packing alone
 
 
 def _like(out: DataFrame, docs: DataFrame) -> DataFrame:
@@ -58,7 +59,8 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: what is left, as pieces of sequences along the curve."""
-    return pack_along_curve(docs, tokenizer_path("word_bpe_49k.json"), END_ID, SEQUENCE_TOKENS).drop("token_ids")
+    return pack_along_curve(docs, tokenizer_path("word_bpe_49k.json"), END_ID, SEQUENCE_TOKENS,
+                            kept_pieces=KEPT_PIECES).drop("token_ids")
 
 
 STAGES = [("quality rules", quality_rules), ("line dedup", line_dedup), ("n-gram Jaccard join", near_duplicates),

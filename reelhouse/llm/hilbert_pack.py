@@ -32,6 +32,7 @@ from reelhouse.llm.tokens import load
 FEATURES = 512        # hashed counts per document
 DIMENSIONS = 4
 BITS = 10             # per dimension
+KEPT_PIECES = 1_000_000
 _SEED = 20_24_11
 
 
@@ -90,10 +91,11 @@ def _unpack_ids(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(unsqueeze(blob), np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
 
 
-def placed_documents(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
+def placed_documents(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str,
+                     kept_pieces: int) -> DataFrame:
     """(key, id, n, ids): each document's place on the curve and its packed token ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = load(tokenizer), np.array([end_id], dtype="<u4")
+        encoder, end = load(tokenizer, kept_pieces), np.array([end_id], dtype="<u4")
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
@@ -159,10 +161,11 @@ COLUMNS = pa.schema([("id", pa.int64()), ("start", pa.int64()), ("length", pa.in
 
 
 def pack_along_curve(docs: DataFrame, tokenizer: str, end_id: int, length: int = 2048, id_col: str = "doc_id",
-                     text_col: str = "text") -> DataFrame:
+                     text_col: str = "text", kept_pieces: int = KEPT_PIECES) -> DataFrame:
     """One row per piece of a document: (id, start, length, ids_crc32, doc_tokens, sequence_id,
-    offset, token_ids); token_ids are little-endian unsigned 32-bit."""
-    placed = placed_documents(docs, tokenizer, end_id, id_col, text_col)
+    offset, token_ids); token_ids are little-endian unsigned 32-bit.  ``kept_pieces``: the encoder's
+    table, some 150 bytes a piece and task."""
+    placed = placed_documents(docs, tokenizer, end_id, id_col, text_col, kept_pieces)
     order = [F.col("key"), F.col("id").asc_nulls_first(), F.col("n")]
     along = placed.repartitionByRange(shuffle_partitions(docs.sparkSession), *order)
 

@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,14 +30,29 @@ def kept_words_sha256(text: str) -> Column:
     return F.sha2(F.array_join(words, " "), 256)
 
 
-@F.pandas_udf(StringType())
-def decimal_sha256(blobs: pd.Series) -> pd.Series:
-    """Hash of token ids (little-endian uint32) written as decimals joined by commas."""
-    return blobs.map(lambda b: hashlib.sha256(
-        ",".join(map(str, np.frombuffer(b, "<u4").tolist())).encode()).hexdigest())
+def decimal_sha256(ids: str) -> Column:
+    """Hash of an array of token ids written as decimals joined by commas."""
+    return F.sha2(F.array_join(F.col(ids).cast("array<string>"), ","), 256)
 
 
-@register("op10_substring_dedup")
+_WINDOWS_SQL = r"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda s: s <> '') AS words
+           FROM documents),
+win AS (SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS body
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM w) x),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY body ORDER BY doc_id, i) AS k
+                                 FROM win) t WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM later),
+n_gone AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+kept AS (SELECT t.doc_id, string_agg(t.word, ' ' ORDER BY t.p) AS body
+         FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM w) t
+         LEFT JOIN gone ON gone.doc_id = t.doc_id AND gone.p = t.p WHERE gone.p IS NULL GROUP BY t.doc_id)
+SELECT w.doc_id, len(w.words)::BIGINT AS n_words, coalesce(n_gone.n, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept.body, '')) AS kept_sha256
+FROM w LEFT JOIN n_gone ON n_gone.doc_id = w.doc_id LEFT JOIN kept ON kept.doc_id = w.doc_id"""
+
+
+@register("op10_substring_dedup", _WINDOWS_SQL)
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelhouse.llm.substring_dedup import remove_repeated_windows
 
@@ -49,7 +60,23 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", kept_words_sha256("text").alias("kept_sha256"))
 
 
-@register("op5_ngram_jaccard_join")
+_JACCARD_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda s: s <> '') AS words FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS gram
+      FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM w WHERE len(words) > 0) x),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM g x JOIN g y ON x.gram = y.gram AND x.doc_id <> y.doc_id
+           GROUP BY x.doc_id, y.doc_id),
+link AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
+root AS (SELECT a, min(b) AS low FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(root.low, w.doc_id)) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN root ON root.a = w.doc_id"""
+
+
+@register("op5_ngram_jaccard_join", _JACCARD_SQL)
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelhouse.llm.ngram_join import jaccard_components
 
@@ -68,7 +95,7 @@ def op3_rans_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     files = rans.write_ids(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), 2,
                            shared_files.new_folder(spark, "rans"))
-    return rans.read_ids(files).select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+    return rans.read_ids(files, with_ids=False).select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
 @register("op1_hilbert_packing")
@@ -80,11 +107,10 @@ def op1_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op2_tree_bpe")
 def op2_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from reelhouse.llm.tree_bpe import decode_documents, encode_documents
+    from reelhouse.llm.tree_bpe import encode_documents
 
-    path = tokenizer_path("byte_bpe_50k.json")
-    out = decode_documents(encode_documents(table(spark, sf_dir, "documents"), path), path)
-    return out.select("doc_id", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
+    out = encode_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), decode=True)
+    return out.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
                       decimal_sha256("token_ids").alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 

@@ -38,10 +38,11 @@ from reelhouse.llm.tokens import load
 MAGIC = b"RLHRANS1"
 SCALE_BITS = 20
 LOW = np.uint64(1 << 31)
-LANES = 1024
+LANES = 2048
 SEGMENT_ROWS = 256
 BLOCK_IDS = 1 << 20
 GROUP_IDS = 1 << 23
+KEPT_PIECES = 1_000_000
 NO_ID = np.iinfo(np.int64).min
 
 
@@ -78,7 +79,7 @@ class Table:
 
     def decoder(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """By slot: index of the symbol; by index: frequency and start."""
-        return np.repeat(np.arange(len(self.symbols)), self.freqs.astype(np.int64)), self.freqs, self.starts
+        return np.repeat(np.arange(len(self.symbols), dtype=np.int32), self.freqs.astype(np.int64)), self.freqs, self.starts
 
 
 def encode_ids(ids: np.ndarray, table: Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -113,7 +114,7 @@ def decode_segment(words: np.ndarray, state: np.ndarray, place: int, n: int, dec
     for a in range(0, n, LANES):
         v = x[:min(LANES, n - a)]
         slot = v & mask
-        sym = by_slot[slot.astype(np.int64)]
+        sym = by_slot[slot.view(np.int64)]
         out[a:a + len(v)] = sym
         v = freqs[sym] * (v >> scale) + slot - starts[sym]
         low = v < LOW
@@ -214,7 +215,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int, folder: str, id_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         path = f"{folder}/part-{part:06d}.rans"
-        encoder, end = load(tokenizer), np.array([end_id], dtype="<u4")
+        encoder, end = load(tokenizer, KEPT_PIECES), np.array([end_id], dtype="<u4")
         with shared_files.whole_file(path) as out:
             writer = FileWriter(out)
             for batch in batches:
@@ -234,9 +235,9 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int, folder: str, id_col:
     return stage(parts.mapInArrow(run, "part long, path string, n_docs long, n_ids long"), "rans-files")
 
 
-def read_ids(files: DataFrame) -> DataFrame:
+def read_ids(files: DataFrame, with_ids: bool = True) -> DataFrame:
     """(id, start, n_tokens, ids_crc32, token_ids) per document, decoded from the files: block
-    by block, each where Spark puts it."""
+    by block, each where Spark puts it.  Without ``with_ids`` the ids end in the task."""
     spark = files.sparkSession
     before = F.coalesce(F.sum("n_ids").over(Window.orderBy("part").rowsBetween(
         Window.unboundedPreceding, -1)), F.lit(0))
@@ -259,11 +260,12 @@ def read_ids(files: DataFrame) -> DataFrame:
                 starts = np.concatenate([[0], np.cumsum(lengths)])
                 raw = ids.astype("<u4").tobytes()
                 cut = [raw[4 * a:4 * b] for a, b in zip(starts, starts[1:])]
-                yield pd.DataFrame({"id": pd.array([None if d == NO_ID else d for d in doc_ids], dtype="Int64"),
-                                    "start": r.first + starts[:-1], "n_tokens": lengths,
-                                    "ids_crc32": [zlib.crc32(c) for c in cut], "token_ids": cut})
+                out = {"id": pd.array([None if d == NO_ID else d for d in doc_ids], dtype="Int64"),
+                       "start": r.first + starts[:-1], "n_tokens": lengths, "ids_crc32": [zlib.crc32(c) for c in cut]}
+                yield pd.DataFrame(out | ({"token_ids": cut} if with_ids else {}))
 
     found = files.mapInPandas(blocks, "path string, first long, place long, size long, "
                                       "table_place long, table_size long")
-    return (found.repartition(4 * shuffle_partitions(spark), "path", "place")
-            .mapInPandas(decode, "id long, start long, n_tokens long, ids_crc32 long, token_ids binary"))
+    return (found.repartition(2 * shuffle_partitions(spark))
+            .mapInPandas(decode, "id long, start long, n_tokens long, ids_crc32 long"
+                         + ", token_ids binary" * with_ids))

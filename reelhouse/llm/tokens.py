@@ -20,7 +20,6 @@ from tokenizers import Tokenizer
 
 PIECE_CACHE = 500_000      # pieces kept per process, those used last
 LONG_PIECE = 64            # longer pieces are encoded but not kept
-BATCH_CHARS = 4 << 20      # text encoded at a time
 
 #: Characters whose classes are the same in every Unicode version, and these classes.
 _UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e¡-¬®-įı-ňŊ-ž]")
@@ -51,6 +50,16 @@ def load(path: str, keep: int = PIECE_CACHE) -> "Pieces":
     return _LOADED[path]
 
 
+class _Table(dict):
+    """Ids of pieces; a piece that is not there is asked for."""
+
+    def __init__(self, ask):
+        self.ask = ask
+
+    def __missing__(self, piece: str) -> bytes:
+        return self.ask(piece)
+
+
 class Pieces:
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
@@ -62,9 +71,10 @@ class Pieces:
         self.lower = bool(spec["normalizer"])
         self.cut = re.compile(PATTERNS["lower_words" if self.lower else "byte_level"]).findall
         self.letters = dict(enumerate(byte_letters()))
-        self.known: dict[str, bytes] = {}     # pieces of this generation
-        self.older: dict[str, bytes] = {}     # and of the one before
+        self.merge = self.library.model.tokenize
         self.keep = PIECE_CACHE
+        self.known = _Table(self._learn)         # pieces of this generation
+        self.older: dict[str, bytes] = {}        # and of the one before
 
     def pieces(self, text: str) -> list[str] | None:
         """The text's pieces, or None where only the library cuts surely."""
@@ -75,39 +85,23 @@ class Pieces:
             return None
         return self.cut(low if self.lower else text)
 
-    def _learn(self, new: list[str]) -> None:
-        mapped = "\0".join(new).encode("utf-8").decode("latin-1").translate(self.letters)
-        merge, known = self.library.model.tokenize, self.known
-        for piece, letters in zip(new, mapped.split(self.letters[0])):
-            known[piece] = array("I", [t.id for t in merge(letters)]).tobytes()
+    def _learn(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            letters = piece.encode("utf-8").decode("latin-1").translate(self.letters)
+            ids = array("I", [t.id for t in self.merge(letters)]).tobytes()
+        if len(piece) <= LONG_PIECE:
+            self.known[piece] = ids
+        return ids
+
+    def encode(self, text: str) -> np.ndarray:
+        """Token ids (little-endian uint32), as the library's encode without added tokens."""
+        pieces = self.pieces(text)
+        if pieces is None:
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        if len(self.known) > self.keep // 2:
+            self.known, self.older = _Table(self._learn), self.known
+        return np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), dtype="<u4")
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
-        """Token ids (little-endian uint32) of each text, as the library's encode without
-        added tokens."""
-        out: list[np.ndarray] = []
-        a = size = 0
-        for b, text in enumerate(texts, 1):
-            size += len(text)
-            if size >= BATCH_CHARS or b == len(texts):
-                out += self._encode(texts[a:b])
-                a, size = b, 0
-        return out
-
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.pieces(t) for t in texts]
-        if len(self.known) > self.keep // 2:
-            self.known, self.older = {}, self.known
-        new = list(set().union(*(p for p in cut if p)).difference(self.known))
-        if new and self.older:
-            again = {p: self.older[p] for p in new if p in self.older}
-            self.known.update(again)
-            new = [p for p in new if p not in again]
-        if new:
-            self._learn(new)
-        get = self.known.__getitem__
-        out = [np.array(self.library.encode(t, add_special_tokens=False).ids, dtype="<u4") if p is None
-               else np.frombuffer(b"".join(map(get, p)), dtype="<u4") for t, p in zip(texts, cut)]
-        for p in new:
-            if len(p) > LONG_PIECE:
-                del self.known[p]
-        return out
+        return [self.encode(t) for t in texts]

@@ -27,6 +27,8 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -34,11 +36,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from reelhouse.llm.chunks import shuffle_partitions, squeeze, unsqueeze
 from reelhouse.llm.tokens import _L, _N, byte_letters, load
+from reelhouse.llm.words import slices
 
 LEAF_CHARS = 16384
+SLICE_BYTES = 4 << 20   # text encoded at a time
+KEPT_PIECES = 300_000
 FIRST_WINDOW = 64
 _P = r"!-/:-@\[-`{-~"
 _BORDER = re.compile(rf"(?<=[{_L}{_N}{_P}])(?=[ \t\n\r])|(?<=[{_L}])(?=[{_N}])|(?<=[{_N}])(?=[{_L}])"
@@ -145,59 +151,70 @@ def _unpack(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(unsqueeze(blob), np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
 
 
+def decoded(ids: np.ndarray, vocab: Vocabulary) -> str:
+    """The text of token ids, special tokens included; bytes that are no UTF-8 become U+FFFD, as
+    the library's decode has them."""
+    return vocab.text(ids).decode("utf-8", "replace")
+
+
 def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-                     leaf_chars: int = LEAF_CHARS) -> DataFrame:
-    """(id, token_ids): little-endian unsigned 32-bit ids of every document."""
+                     leaf_chars: int = LEAF_CHARS, decode: bool = False) -> DataFrame:
+    """(id, token_ids): the ids of every document as an array; with ``decode`` also the text decoded
+    from them, in the same pass."""
+    fields = "token_ids array<int>" + (f", `{text_col}` string" if decode else "")
+    plain = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"),
+                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    special = reduce(or_, [F.contains(F.lower("text"), F.lit(s)) for s in load(tokenizer, KEPT_PIECES).specials], F.lit(False))
+    cut = (F.length("text") > leaf_chars) & ~special
     schema = pa.schema([("row", pa.int64()), ("id", pa.int64()), ("leaf", pa.int32()), ("text", pa.string())])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
-        specials = load(tokenizer).specials
         for batch in batches:
-            out = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).fill_null("").to_pylist()):
-                whole = len(text) <= leaf_chars or any(s in text.lower() for s in specials)
-                parts = [text] if whole else leaves(text, leaf_chars)
-                out += [(row, doc, i if len(parts) > 1 else -1, p) for i, p in enumerate(parts)]
-                row += 1
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-
-    def encode(batches: Iterator[pa.RecordBatch], pack) -> Iterator[pa.RecordBatch]:
-        encoder = load(tokenizer)
+            for part in slices(batch, 1, SLICE_BYTES):
+                out = []
+                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    out += [(row, doc, i, p) for i, p in enumerate(leaves(text, leaf_chars))]
+                    row += 1
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+
+    def encode(batches: Iterator[pa.RecordBatch], outputs) -> Iterator[pa.RecordBatch]:
+        encoder = load(tokenizer, KEPT_PIECES)
         for batch in batches:
-            ids = encoder.encode_batch(batch.column("text").to_pylist())
             kept = [c for c in batch.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept]
-                                             + [pa.array([pack(x) for x in ids], pa.binary())],
-                                             names=[*kept, "token_ids"])
+            for part in slices(batch, batch.schema.names.index("text"), SLICE_BYTES):
+                ids = encoder.encode_batch(part.column("text").to_pylist())
+                columns = [part.column(c) for c in kept] + outputs(ids)
+                yield pa.RecordBatch.from_arrays(columns, names=[*kept, "token_ids", text_col][:len(columns)])
+
+    def whole(ids: list[np.ndarray]) -> list[pa.Array]:
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+        out = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids).astype(np.int32)))]
+        return out + [pa.array([decoded(x, vocabulary(tokenizer)) for x in ids], pa.string())] * decode
+
+    def packed(ids: list[np.ndarray]) -> list[pa.Array]:
+        return [pa.array([_pack(x) for x in ids], pa.binary())]
 
     def join_leaves(pdf: pd.DataFrame) -> pd.DataFrame:
-        encoder, vocab = load(tokenizer), vocabulary(tokenizer)
+        encoder, vocab = load(tokenizer, KEPT_PIECES), vocabulary(tokenizer)
         parts = [_unpack(b) for b in pdf.sort_values("leaf")["token_ids"]]
         ids = join_all(parts, lambda text: encoder.encode_batch([text])[0], vocab)
-        return pd.DataFrame({"id": pdf["id"].iloc[:1].astype("Int64"), "token_ids": [ids.astype("<u4").tobytes()]})
-
-    plain = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"),
-                        F.col(f"`{text_col}`").cast("string").alias("text"))
-    cut = plain.mapInArrow(split, "row long, id long, leaf int, text string")
-    short = (cut.filter("leaf < 0").select("id", "text")
-             .mapInArrow(lambda it: encode(it, lambda x: x.tobytes()), "id long, token_ids binary"))
-    long = (cut.filter("leaf >= 0").repartition(shuffle_partitions(docs.sparkSession), "row", "leaf")
-            .mapInArrow(lambda it: encode(it, _pack), "row long, id long, leaf int, token_ids binary")
-            .groupBy("row").applyInPandas(join_leaves, "id long, token_ids binary"))
+        row = pd.DataFrame({"id": pdf["id"].iloc[:1].astype("Int64"), "token_ids": [ids.astype(np.int32)]})
+        return row.assign(**{text_col: [decoded(ids, vocab)]}) if decode else row
+
+    short = plain.filter(~cut).mapInArrow(lambda it: encode(it, whole), f"id long, {fields}")
+    long = (plain.filter(cut).mapInArrow(split, "row long, id long, leaf int, text string")
+            .repartition(shuffle_partitions(docs.sparkSession), "row", "leaf")
+            .mapInArrow(lambda it: encode(it, packed), "row long, id long, leaf int, token_ids binary")
+            .groupBy("row").applyInPandas(join_leaves, f"id long, {fields}"))
     return short.unionByName(long).withColumnRenamed("id", id_col)
 
 
 def decode_documents(encoded: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
-    """``encoded`` (with a column token_ids) and the decoded text, special tokens included;
-    bytes that are no UTF-8 become U+FFFD, as the library's decode has them."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``encoded`` (with a column token_ids) and the decoded text; null ids decode to the empty text."""
+    @F.pandas_udf(StringType())
+    def decode(ids: pd.Series) -> pd.Series:
         vocab = vocabulary(tokenizer)
-        for batch in batches:
-            texts = [vocab.text(np.frombuffer(b or b"", "<u4")).decode("utf-8", "replace")
-                     for b in batch.column("token_ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
-                                             names=[*batch.schema.names, text_col])
+        return ids.map(lambda x: decoded(np.asarray(x), vocab))
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
-    return encoded.mapInArrow(run, f"{schema}, `{text_col}` string")
+    return encoded.withColumn(text_col, decode(F.coalesce("token_ids", F.array().cast("array<int>"))))
