@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.llm import shared_files
-from reelhouse.llm.chunks import stage
+from reelhouse.llm.chunks import shuffle_partitions, stage
 
 # The skippable frame that carries a dictionary, and the revisit profile.
 DICTIONARY_FRAME = 0x184D2A5D
@@ -44,12 +44,16 @@ LEVEL = 3
 RUN_RECORDS = 256               # records per index row
 
 
-def marked(pages: DataFrame, min_bytes: int, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """(page_id, url, payload, digest, refers_to)."""
+def payloads(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    """(page_id, url, payload, digest)."""
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"),
                         F.coalesce(F.col(f"`{url_col}`").cast("string"), F.lit("")).alias("url"),
                         F.encode(F.coalesce(F.col(f"`{html_col}`"), F.lit("")), "UTF-8").alias("payload"))
-    rows = rows.withColumn("digest", F.sha2("payload", 256))
+    return rows.withColumn("digest", F.sha2("payload", 256))
+
+
+def marked(rows: DataFrame, min_bytes: int) -> DataFrame:
+    """``payloads`` with refers_to, the page whose payload a revisit repeats."""
     first = (rows.filter(F.octet_length("payload") >= min_bytes).groupBy("digest")
              .agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
              .filter((F.col("n") > 1) & F.col("first").isNotNull()).drop("n"))
@@ -58,11 +62,13 @@ def marked(pages: DataFrame, min_bytes: int, id_col: str, url_col: str, html_col
 
 
 def build_dictionary(rows: DataFrame, sample_records: int = SAMPLE_RECORDS, size: int = DICTIONARY_BYTES) -> bytes:
-    """A dictionary from the ``sample_records`` responses of smallest id hash (bounded in
-    number and in bytes); empty if they are too few."""
-    sample = (rows.filter("refers_to IS NULL").filter(F.octet_length("payload").between(1, SAMPLE_BYTES))
-              .select("page_id", "url", "payload", "digest")
-              .orderBy(F.xxhash64("page_id", "digest")).limit(sample_records).collect())
+    """A dictionary from at most ``sample_records`` pages of no more than SAMPLE_BYTES, drawn by
+    the hash of their ids (so bounded in number and in bytes); empty if they are too few."""
+    share = max(1, rows.count() // sample_records)
+    drawn = F.xxhash64("page_id", "digest")
+    sample = (rows.filter(F.pmod(drawn, F.lit(share)) == 0)
+              .filter(F.octet_length("payload").between(1, SAMPLE_BYTES))
+              .select("page_id", "url", "payload", "digest").orderBy(drawn).limit(sample_records).collect())
     records = [record(r["page_id"], r["url"], bytes(r["payload"]), r["digest"], None) for r in sample]
     if sum(map(len, records)) < 8 * 1024 or len(records) < 16:
         return b""
@@ -156,7 +162,9 @@ def write_archives(rows: DataFrame, dictionary: bytes, folder: str) -> DataFrame
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in index], f.type) for i, f in enumerate(schema)],
                                          schema=schema)
 
-    return stage(rows.mapInArrow(run, "path string, place long, size long, records long"), "warc-index")
+    # a fixed order, so that a second attempt of a task writes the same file
+    ordered = rows.sortWithinPartitions("page_id", "digest", "url")
+    return stage(ordered.mapInArrow(run, "path string, place long, size long, records long"), "warc-index")
 
 
 def read_archives(index: DataFrame) -> DataFrame:
@@ -189,8 +197,8 @@ def read_archives(index: DataFrame) -> DataFrame:
                     raise ValueError(f"{r['path']}: records are missing")
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
-    # runs are few and small rows: spread them over all tasks
-    return index.repartition(max(1, index.sparkSession.sparkContext.defaultParallelism * 4), "path", "place").mapInArrow(
+    # runs are few and small rows: dealt round to the tasks
+    return index.repartition(shuffle_partitions(index.sparkSession)).mapInArrow(
         run, "page_id long, url string, record_type string, payload binary, payload_bytes long, payload_digest string, "
              "refers_to long")
 
@@ -198,5 +206,5 @@ def read_archives(index: DataFrame) -> DataFrame:
 def archive(pages: DataFrame, folder: str, min_bytes: int = 100, id_col: str = "page_id", url_col: str = "url",
             html_col: str = "html") -> DataFrame:
     """Write ``pages`` to ``folder`` and return the index of what was written."""
-    rows = marked(pages, min_bytes, id_col, url_col, html_col)
-    return write_archives(rows, build_dictionary(rows), folder)
+    rows = payloads(pages, id_col, url_col, html_col)
+    return write_archives(marked(rows, min_bytes), build_dictionary(rows), folder)
