@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelhouse.llm import shared_files
 from reelhouse.llm.words import slices
 from reelhouse.session import checkpoint_root
 
@@ -33,11 +34,22 @@ CHUNK_BYTES = 5 << 20   # text per chunk; raise with the corpus (see README)
 BUCKETS_PER_TASK = 2    # buckets per shuffle partition: smaller groups, more even tasks
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: computed once, lineage cut."""
+def stage(df: DataFrame, name: str, shrink: int = 1) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: computed once, lineage cut.
+    ``shrink``: how many times fewer files than shuffle partitions, for rows of a few ids."""
+    if shrink > 1:
+        df = df.coalesce(max(1, shuffle_partitions(df.sparkSession) // shrink))
     path = f"{checkpoint_root(df.sparkSession)}/reelhouse-llm/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged.staged_at = path
+    return staged
+
+
+def discard(*staged: DataFrame) -> None:
+    """Remove what :func:`stage` wrote, once nothing still to be computed reads it."""
+    for df in staged:
+        shared_files.remove_folder(df.staged_at)
 
 
 def free_name(df: DataFrame, name: str) -> str:

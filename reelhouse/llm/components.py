@@ -10,7 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.llm.chunks import stage
+from reelhouse.llm.chunks import discard, stage
+
+
+ID_ROWS = 8   # an edge is that much smaller than what shuffle partitions are sized for, at least
 
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -18,7 +21,7 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     Nulls and loops count as no edge; repeated edges as one."""
     now = (edges.filter(F.col(a) != F.col(b))
            .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
-    now, seen = stage(now, "edges"), None
+    now, seen = stage(now, "edges", ID_ROWS), None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("low"))
@@ -26,9 +29,10 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
                  .distinct())
         low = large.groupBy("u").agg(F.min("v").alias("low"))
         moved = large.join(low, "u")
-        now = stage(moved.select("u", F.col("low").alias("v"))
+        before, now = now, stage(moved.select("u", F.col("low").alias("v"))
                     .unionByName(moved.filter("v != low").select(F.col("v").alias("u"), F.col("low").alias("v")))
-                    .distinct(), "edges")
+                    .distinct(), "edges", ID_ROWS)
+        discard(before)
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             break

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.llm import chunks as C
-from reelhouse.llm.components import connected_components
+from reelhouse.llm.components import ID_ROWS, connected_components
 from reelhouse.llm.words import Words, mix, window_hashes, words_of
 
 RANGES = 512         # hash ranges of the suffix filter
@@ -152,6 +152,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     bits = C.key_bits(chunks)
     bounds = C.bucket_bounds(C.BUCKETS_PER_TASK * C.shuffle_partitions(docs.sparkSession), bits)
     sets = C.stage(_sets(chunks, _count(chunks, shingle, bits, bounds), shingle, bits, percent), "sets")
+    C.discard(chunks)
     able = sets.filter("items IS NOT NULL")
     classes = able.groupBy("sig_a", "sig_b").agg(F.min("row").alias("rep"))
     reps = C.stage(able.join(classes.select(F.col("rep").alias("row")), "row", "left_semi")
@@ -171,14 +172,14 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     first = C.stage(banded.join(pivots, ["key", "band"])
                     .filter((F.col("row") != F.col("pivot"))
                             & (100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n")))
-                    .select(F.col("pivot").alias("a"), F.col("row").alias("b")).distinct(), "pairs-1")
+                    .select(F.col("pivot").alias("a"), F.col("row").alias("b")).distinct(), "pairs-1", ID_ROWS)
     links = C.stage(_verified(first, reps, percent), "links-1")
 
     # second round: the pairs of a list between different groups
     label = links.groupBy(F.col("b").alias("row")).agg(F.min("a").alias("label"))
     second_hop = label.select(F.col("row").alias("label"), F.col("label").alias("up"))
     label = label.join(second_hop, "label", "left").select("row", F.coalesce("up", "label").alias("label"))
-    posted = C.stage(lists.drop("core").join(label, "row", "left").withColumn("label", F.coalesce("label", "row")), "postings")
+    posted = posted_table = C.stage(lists.drop("core").join(label, "row", "left").withColumn("label", F.coalesce("label", "row")), "postings")
     sizes = (posted.groupBy("key", "label").agg(F.count("*").alias("size"))
              .groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("main"),
                                  F.sum("size").alias("size"), F.count("*").alias("groups"))
@@ -196,8 +197,9 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
              .select(F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b")).distinct())
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     second = _verified(pairs.join(tested, ["a", "b"], "left_anti"), reps, percent)
-    return (sets.select("row", "id", "n", "sig_a", "sig_b"), classes,
-            C.stage(links.unionByName(second), "links"))
+    found = C.stage(links.unionByName(second), "links")
+    C.discard(reps, first, links, posted_table)
+    return sets.select("row", "id", "n", "sig_a", "sig_b"), classes, found
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,

@@ -36,6 +36,11 @@ def read_range(uri: str, offset: int, length: int) -> bytes:
         return f.read_at(length, offset)
 
 
+def remove_folder(uri: str) -> None:
+    store, path = fs.FileSystem.from_uri(uri)
+    store.delete_dir(path)
+
+
 def file_size(uri: str) -> int:
     store, path = fs.FileSystem.from_uri(uri)
     return store.get_file_info(path).size

@@ -221,7 +221,7 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     extra_schema = "".join(f", x{i} {types[c]}" for i, c in enumerate(extra))
 
-    level = C.stage_chunks(docs, id_col, text_col, extra, chunk_bytes)
+    level = whole = C.stage_chunks(docs, id_col, text_col, extra, chunk_bytes)
     bits = C.key_bits(level)
     bounds = C.bucket_bounds(C.BUCKETS_PER_TASK * C.shuffle_partitions(docs.sparkSession), bits)
     level = level.withColumn("alive", F.lit(None).cast("binary"))
@@ -229,6 +229,9 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     while length < window:
         replies = _count_level(level, length, bits, bounds)
         step = C.stage(_next_level(level, replies, length, bits, extra, extra_schema), f"windows-{length}")
+        if whole is not None:  # every document is now in the step
+            C.discard(whole)
+            whole = None
         done.append(step.filter("chunk IS NULL").drop("chunk", "docs", "alive"))
         level = step.filter("chunk IS NOT NULL").select("chunk", "docs", "alive")
         length *= 2
