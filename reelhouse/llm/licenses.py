@@ -79,8 +79,8 @@ def license_matches(docs: DataFrame, templates: dict[str, str] | None = None, pe
     needed = sorted(set().union(*(needed_words(g, percent) for g in known.values())))
 
     def may_match(text: Column) -> Column:
-        low = F.lower(text)
-        return reduce(or_, [F.contains(low, F.lit(w)) for w in needed])
+        # as an array's element the lower-cased text is made once, not for every word
+        return F.exists(F.array(F.lower(text)), lambda low: reduce(or_, [F.contains(low, F.lit(w)) for w in needed]))
 
     parts = F.split(F.col(f"`{text_col}`"), "\n")
     units = F.concat(F.transform(parts, lambda x, i: F.struct((i + 1).alias("line_no"), x.alias("unit"))),
