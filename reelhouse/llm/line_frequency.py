@@ -8,6 +8,10 @@ distinct documents that have a line are counted.  A line in more than ``max_shar
 of its host's documents, and in ``min_docs`` at least, is furniture: it is removed.  A document that
 loses more than ``max_removed`` percent of its words is depleted and rejected.
 
+Documents are rows, so exact copies count each, unless ``copies_once``: then the documents of a host are
+its different texts, in a line's count and in the host's total alike.  ``keep_good`` counts so,
+because copies would else push their own lines over the limit and all of them be rejected.
+
 Each (host, line, document) is one small row; counts are partial sums, so a line in a third of
 all documents costs one row per task.  Texts move only when cleaned texts are asked for.
 
@@ -75,12 +79,12 @@ def text_lines(text: str) -> tuple[int, dict[bytes, int]]:
 
 
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-_SCHEMA = pa.schema([("row", pa.int64()), ("id", pa.int64()), ("host", pa.string()), *((c, pa.int64()) for c in STATS),
+_SCHEMA = pa.schema([("row", pa.int64()), ("id", pa.int64()), ("host", pa.string()), ("text", pa.binary()), *((c, pa.int64()) for c in STATS),
                      ("lines", pa.list_(pa.struct([("line", pa.binary()), ("words", pa.int64())])))])
 
 
 def document_statistics(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
-    """(row, id, host, statistics, lines) per document, written once."""
+    """(row, id, host, 128-bit hash of the text, statistics, lines) per document, written once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
@@ -90,13 +94,15 @@ def document_statistics(docs: DataFrame, id_col: str, text_col: str, host_col: s
                 inside[words.starts] += 1
                 inside[words.ends] -= 1  # a word may begin where another document's ends
                 letters = (np.cumsum(inside[:-1], dtype=np.int8) > 0) & ((words.data & 0xC0) != 0x80)
-                lines = [text_lines(t) for t in part.column(2).fill_null("").to_pylist()]
+                texts = part.column(2).fill_null("").to_pylist()
+                lines = [text_lines(t) for t in texts]
                 stats = [words.n_words, _per_doc(letters, words.doc_bytes),
                          _per_doc(_SYMBOL[words.data], words.doc_bytes), [d for d, _ in lines],
                          repeated_window_words(words)]
                 n = part.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(row, row + n)), part.column(0), part.column(1),
+                     pa.array([xxhash.xxh3_128_digest(t.encode()) for t in texts], pa.binary()),
                      *(pa.array(s, pa.int64()) for s in stats),
                      pa.array([[{"line": k, "words": w} for k, w in found.items()] for _, found in lines],
                               _SCHEMA.field("lines").type)], schema=_SCHEMA)
@@ -104,31 +110,37 @@ def document_statistics(docs: DataFrame, id_col: str, text_col: str, host_col: s
 
     plain = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{host_col}`").cast("string").alias("host"),
                         F.col(f"`{text_col}`").cast("string").alias("text"))
-    return stage(plain.mapInArrow(run, "row long, id long, host string, " + "".join(f"{c} long, " for c in STATS)
+    return stage(plain.mapInArrow(run, "row long, id long, host string, text binary, " + "".join(f"{c} long, " for c in STATS)
                                   + "lines array<struct<line:binary,words:long>>"), "statistics")
 
 
-def frequent_lines(stats: DataFrame, max_share: int = MAX_SHARE, min_docs: int = MIN_DOCS) -> DataFrame:
+def frequent_lines(stats: DataFrame, max_share: int = MAX_SHARE, min_docs: int = MIN_DOCS,
+                   copies_once: bool = False) -> DataFrame:
     """(host, line): the lines above their host's limit."""
-    hosts = stats.groupBy(F.col("host").alias("h")).agg(F.count("*").alias("host_docs"))
-    counts = stats.select("host", F.explode("lines.line").alias("line")).groupBy("host", "line").agg(F.count("*").alias("docs"))
+    docs = stats.select("host", "text")
+    each = stats.select("host", "text", F.explode("lines.line").alias("line"))
+    if copies_once:  # grouped, not gathered: a text's copies become one row before they move
+        docs, each = docs.distinct(), each.distinct()
+    hosts = docs.groupBy(F.col("host").alias("h")).agg(F.count("*").alias("host_docs"))
+    counts = each.groupBy("host", "line").agg(F.count("*").alias("docs"))
     return (counts.filter(F.col("docs") >= min_docs).join(hosts, F.col("host").eqNullSafe(F.col("h")))
             .filter(100 * F.col("docs") > max_share * F.col("host_docs")).select("host", "line"))
 
 
 def line_frequency_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
                          min_words: int = MIN_WORDS, max_repeated: int = MAX_REPEATED, max_share: int = MAX_SHARE,
-                         min_docs: int = MIN_DOCS, max_removed: int = MAX_REMOVED) -> DataFrame:
+                         min_docs: int = MIN_DOCS, max_removed: int = MAX_REMOVED,
+                         copies_once: bool = False) -> DataFrame:
     """(id, statistics, base_failed, n_removed_words, removed_lines, kept) per document;
     removed_lines are the 128-bit hashes of its lines above the limit."""
     stats = document_statistics(docs, id_col, text_col, host_col)
-    limits = frequent_lines(stats, max_share, min_docs).select(F.col("host").alias("h"), F.col("line").alias("l"))
+    limits = frequent_lines(stats, max_share, min_docs, copies_once).select(F.col("host").alias("h"), F.col("line").alias("l"))
     each = stats.select("row", "host", F.explode("lines").alias("x")).select("row", "host", "x.line", "x.words")
     hits = each.join(limits, F.col("host").eqNullSafe(F.col("h")) & (F.col("line") == F.col("l")), "left_semi")
     lost = hits.groupBy("row").agg(F.sum("words").alias("lost"), F.collect_set("line").alias("removed_lines"))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeated * F.col("n_words"))
     removed = F.coalesce("lost", F.lit(0))
-    return (stats.drop("lines", "host").join(lost, "row", "left")
+    return (stats.drop("lines", "host", "text").join(lost, "row", "left")
             .select(F.col("id").alias(id_col), *STATS, failed.alias("base_failed"), removed.alias("n_removed_words"),
                     "removed_lines", (~failed & (100 * removed <= max_removed * F.col("n_words"))).alias("kept")))
 
@@ -146,9 +158,9 @@ def without_lines(texts: pa.Array, removed: pa.Array) -> pa.Array:
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """``docs`` without the rejected documents, and their texts without the lines above the limits;
-    the columns stay as they are.  Rows with equal ids go if one of them is rejected."""
+    the columns stay as they are.  Rows with equal ids go if one of them is rejected.  Copies count once."""
     key, gone, names = free_name(docs, "verdict_id"), free_name(docs, "removed_lines"), list(docs.columns)
-    verdict = (line_frequency_rules(docs, id_col, text_col, host_col).groupBy(F.col(id_col).alias(key))
+    verdict = (line_frequency_rules(docs, id_col, text_col, host_col, copies_once=True).groupBy(F.col(id_col).alias(key))
                .agg(F.min("kept").alias("kept"), F.array_distinct(F.flatten(F.collect_list("removed_lines"))).alias(gone))
                .filter("kept").select(key, gone))
     rows = docs.join(verdict, F.col(f"`{id_col}`").eqNullSafe(F.col(key)))

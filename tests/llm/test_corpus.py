@@ -163,6 +163,22 @@ def test_frequent_lines_and_depleted_documents(spark):
     assert not out[0].base_failed and not out[0].kept and out[20].kept and out[0].n_removed_words == 54
 
 
+def test_copies_of_a_clean_text_stay_for_the_near_duplicate_stage(spark):
+    body, foot = "\n".join(prose(9, 500 + k) for k in range(6)), "Subscribe to our newsletter now"
+    for host in (None, "h"):
+        rows = [(i, body) for i in range(30)] + [(30 + i, f"{prose(60, 600 + i)}\n{foot}") for i in range(12)]
+        rows += [(50 + i, prose(60, 700 + i)) for i in range(40)]   # 53 different texts, 12 of them with the line
+        docs = documents(spark, rows).withColumn("source", F.lit(host).cast("string"))
+        kept = line_frequency.keep_good(docs).cache()
+        out = {r.doc_id: r.text for r in kept.collect()}
+        assert set(out) == {i for i, _ in rows} and out[0] == body and out[30] == prose(60, 600)
+        left = corpus_pipeline.near_duplicates(spark, kept, SF)
+        assert {r.doc_id for r in left.collect()} == {0} | set(out) - set(range(30))
+        kept.unpersist()
+    by_row = {r.doc_id: r.kept for r in line_frequency.line_frequency_rules(docs).collect()}
+    assert not by_row[0] and by_row[30]   # the operator alone counts rows, as its SQL does
+
+
 # --- 9: licences ---------------------------------------------------------------------------------
 def brute_licenses(rows, percent=80):
     import re
