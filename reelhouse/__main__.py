@@ -36,6 +36,7 @@ def main(argv=None) -> int:
     out = run_pipeline(spark, args.tables or SourceFiles(*delivered), args.out.rstrip("/"), args.run_id,
                        raise_on_fail=args.raise_on_fail, input_bytes=args.input_bytes)
     print(json.dumps({"run_id": args.run_id, "status": out["status"],
+                      "sources": [r.asDict() for r in out["source_report"].collect()] if out["source_report"] else [],
                       "report": [r.asDict() for r in out["report"].collect()]}))
     return 0 if out["status"] == "pass" or not args.raise_on_fail else 1
 

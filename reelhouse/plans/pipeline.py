@@ -11,6 +11,9 @@ Gold tables are written once, to a folder of the run, and read back, so the fact
 scanned from storage (column-pruned) by the mart and the checks instead of being
 recomputed from its lineage.  A run becomes visible when its folder is appended to
 the log of the gold layer; a run that fails midway leaves the last one in place.
+
+Lines of the delivered files that do not fit their schema are in no table: they are kept in the run's
+folder and counted per source, and a run with any has the status ``fail``.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +52,18 @@ class SourceFiles:
             "ratings": (files.scan_ratings, self.ratings), "movies": (files.scan_movies, self.movies),
             "tags": (files.scan_tags, self.tags), "users": (files.scan_users, self.users)})
 
+    def rejected(self, spark: SparkSession) -> DataFrame:
+        """(source, file, line): the lines that the scans leave out; a missing path has none."""
+        parts = [spark.createDataFrame([], "source string, file string, line string")]
+        for name, path, schema in (("ratings", self.ratings, files.RATINGS_SCHEMA), ("movies", self.movies, files.MOVIES_SCHEMA),
+                                   ("tags", self.tags, files.TAGS_SCHEMA), ("users", self.users, files.USERS_SCHEMA)):
+            try:
+                parts.append(files.rejected(spark, path, schema).select(F.lit(name).alias("source"), "file", "line"))
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+        return reduce(DataFrame.unionByName, parts)
+
 
 @dataclass
 class GoldTables:
@@ -93,6 +109,19 @@ def update_user_history(spark: SparkSession, out_root: str, users: str, captured
     return spark.read.parquet(fresh)
 
 
+def check_sources(spark: SparkSession, src: SourceFiles, root: str) -> DataFrame:
+    """A report row per source, ``fail`` if lines were rejected; these and the report are kept under ``root``."""
+    sinks.write_gold(src.rejected(spark), f"{root}/rejected_lines")
+    counts = spark.read.parquet(f"{root}/rejected_lines").groupBy(F.col("source").alias("column")).agg(F.count("*").alias("n"))
+    names = spark.range(1).select(F.explode(F.array(*map(F.lit, ("ratings", "movies", "tags", "users")))).alias("column"))
+    n = F.coalesce("n", F.lit(0))
+    report = names.join(counts, "column", "left").select(
+        F.lit("RejectedLines").alias("check"), F.when(n == 0, quality.PASS).otherwise(quality.FAIL).alias("status"),
+        "column", F.concat(F.lit("rejected="), n.cast("string")).alias("message"))
+    sinks.write_gold(report, f"{root}/quality_sources")
+    return spark.read.parquet(f"{root}/quality_sources")
+
+
 def gold_of_files(spark: SparkSession, src: SourceFiles, snapshot: DataFrame) -> GoldBuild:
     """The lazy gold build over delivered files and a user history."""
     return GoldBuild(spark, "", overrides={
@@ -162,18 +191,25 @@ def run_pipeline(spark: SparkSession, sources: str | SourceFiles, out_root: str,
 
     ``sources`` names delivered files, or a folder with the driver's tables.
     ``input_bytes`` (size of the raw inputs, if known) sizes the initial shuffle partition
-    count for AQE.  The status is ``pass`` only if both reports and all contracts pass; with
-    ``raise_on_fail`` a failed run raises and is not published."""
+    count for AQE.  The status is ``pass`` only if the reports and all contracts pass; with
+    ``raise_on_fail`` a failed run raises and is not published (with rejected lines, before the
+    stored user history is touched).  ``source_report`` is None for a folder of tables."""
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     before = spark.conf.get(initial, None)
     if input_bytes:
         size_shuffles_for(spark, input_bytes)
     out_root = out_root.rstrip("/")
-    counts = report = None
+    root = f"{out_root}/runs/{run_id}-{uuid.uuid4().hex[:8]}"
+    counts = report = source_report = None
     status = None
     try:
         if isinstance(sources, SourceFiles):
             counts = sources.counts(spark)
+            source_report = check_sources(spark, sources, root)
+            if not source_report.filter(F.col("status") != quality.PASS).isEmpty():
+                status = "fail"
+            if raise_on_fail:
+                quality.raise_on_fail(source_report)
             snapshot = update_user_history(spark, out_root, sources.users, sources.captured_at)
             g = gold_of_files(spark, sources, snapshot)
         else:
@@ -182,10 +218,10 @@ def run_pipeline(spark: SparkSession, sources: str | SourceFiles, out_root: str,
                 name: (lambda _, df: df, df) for name, df in
                 (("ratings", g.raw_ratings), ("movies", g.raw_movies), ("tags", g.raw_tags),
                  ("users", g.raw_user_captures))})
-        tables = materialize_gold(g, f"{out_root}/runs/{run_id}-{uuid.uuid4().hex[:8]}")
+        tables = materialize_gold(g, root)
         report, fact_report, contracts = check_gold(spark, tables)
         bad = report.filter("status <> 'pass'").count() + fact_report.filter("status <> 'pass'").count()
-        status = "fail" if bad or not contracts.filter("violations > 0").isEmpty() else "pass"
+        status = "fail" if status or bad or not contracts.filter("violations > 0").isEmpty() else "pass"
         if raise_on_fail:
             quality.raise_on_fail(report)
             quality.raise_on_fail(fact_report)
@@ -193,7 +229,7 @@ def run_pipeline(spark: SparkSession, sources: str | SourceFiles, out_root: str,
                 raise AssertionError("column contracts are violated")
         publish(spark, out_root, "gold", tables.root)
         return {"tables": tables, "report": report, "fact_report": fact_report, "contracts": contracts,
-                "status": status}
+                "source_report": source_report, "status": status}
     finally:
         sinks.append_run_audit(spark, f"{out_root}/_audit/runs", run_id, counts, report, status=status)
         if input_bytes:  # leave the caller's session as it was

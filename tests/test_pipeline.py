@@ -69,6 +69,36 @@ def test_history_survives_runs_and_failures(spark, tmp_dir):
     assert pipeline.current_gold(spark, out).read(spark, "mart_content_performance").count() == 190
 
 
+def test_rejected_lines_are_kept_counted_and_fail_the_run(spark, tmp_dir, monkeypatch):
+    for checks in ("gold_mart_checks", "fact_checks"):   # the small tables pass but for the lines
+        monkeypatch.setattr(pipeline.quality, checks, lambda: [pipeline.quality.RowCountCheck(1)])
+    root, out = tmp_dir + "/in", tmp_dir + "/gold"
+    day = _deliver(spark, root).capture_dates[0]
+    src = pipeline.SourceFiles(*(f"{root}/{n}" for n in ("ratings", "movies", "tags", f"users-{day}")), day)
+    clean = run_pipeline(spark, src, out, run_id="clean")
+    assert clean["status"] == "pass" and {r.message for r in clean["source_report"].collect()} == {"rejected=0"}
+    lines = {"ratings": ["1,2,good,4", "1,2"], "tags": ["1,x,fine,4"], f"users-{day}": ["u,basic,NA,tv,1999-01-01"]}
+    for name, bad in lines.items():
+        header = {"ratings": "userId,movieId,rating,timestamp", "tags": "userId,movieId,tag,timestamp"}.get(
+            name, "user_id,membership_tier,region,device_preference,created_at")
+        with open(f"{root}/{name}/bad.csv", "w") as f:
+            f.write("\n".join([header, *bad]) + "\n")
+    stored = pipeline.current(spark, out, "user_snapshot")
+    with pytest.raises(AssertionError, match="RejectedLines"):
+        run_pipeline(spark, src, out, run_id="strict", raise_on_fail=True)
+    assert pipeline.current(spark, out, "user_snapshot") == stored
+    assert pipeline.current_gold(spark, out).root == clean["tables"].root
+    dirty = run_pipeline(spark, src, out, run_id="dirty")
+    assert dirty["status"] == "fail" and all(r.status == "pass" for r in dirty["report"].collect())
+    assert {r.column: r.message for r in dirty["source_report"].collect()} == {
+        "ratings": "rejected=2", "movies": "rejected=0", "tags": "rejected=1", "users": "rejected=1"}
+    kept = dirty["tables"].read(spark, "rejected_lines").collect()
+    assert sorted(r.line for r in kept) == sorted(x for bad in lines.values() for x in bad)
+    assert all(r.file.endswith("bad.csv") for r in kept)
+    audit = {r.run_id: r for r in spark.read.parquet(out + "/_audit/runs").collect()}
+    assert audit["strict"].status == audit["dirty"].status == "fail" and audit["clean"].status == "pass"
+
+
 def test_cli_runs_the_daily_pipeline(spark, tmp_dir, capsys):
     import json
 
