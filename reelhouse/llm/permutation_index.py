@@ -8,8 +8,8 @@ The vectors of least footrule are ranked again by the exact cosine.
 
 The files are built per block of vectors, so neither a file nor a task grows with the corpus;
 queries are met block by block.  Pivots are a bounded sample (the rows of smallest hash),
-every row is indexed, and of every block the same share is ranked exactly, so recall does not
-fall as the table grows.
+every row is indexed, and of every block the same share is ranked exactly (at least k + 1 vectors): a
+small block is not searched more closely than a full one.
 
 Defined cases: vectors that are null, empty, zero, of another length than most, or hold a
 null or non-finite component are neither indexed nor searched; a query's own row (and any row
@@ -33,8 +33,7 @@ from reelhouse.llm.chunks import stage
 PIVOTS = 256
 POSTED = 128          # nearest pivots under which a vector is posted, 255 at most
 BLOCK = 4096          # vectors per block of inverted files, and queries per query block
-SHARE = 0.125         # of a block that is ranked by cosine, at least LEAST
-LEAST = 512
+SHARE = 0.375         # of a block that is ranked by cosine
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -117,6 +116,11 @@ def build_index(rows: DataFrame, pivots: np.ndarray, posted: int = POSTED, block
     return stage(rows.mapInArrow(run, "block long, pivot int, members binary, places binary"), "inverted-files")
 
 
+def ranked_exactly(size: int, k: int) -> int:
+    """How many vectors of a block of ``size`` are ranked by cosine: the same share of every block, k + 1 at least."""
+    return min(size, max(k + 1, int(np.ceil(SHARE * size))))
+
+
 def _search_block(files: pd.DataFrame, queries: list[tuple[int, np.ndarray]], pivots: np.ndarray, posted: int,
                   k: int) -> pd.DataFrame:
     own = files["pivot"].to_numpy() == -1
@@ -126,7 +130,7 @@ def _search_block(files: pd.DataFrame, queries: list[tuple[int, np.ndarray]], pi
     lists = np.full((len(pivots), len(ids)), posted, dtype=np.uint8)
     for p, members, places in files.loc[~own, ["pivot", "members", "places"]].itertuples(index=False):
         lists[p, np.frombuffer(members, "<u2")] = np.frombuffer(places, "<u2")
-    take = min(len(ids), max(LEAST, k + 1, int(np.ceil(SHARE * len(ids)))))
+    take = ranked_exactly(len(ids), k)
     q = _scaled(np.array([v for _, v in queries]))
     near = nearest_pivots(_unit(q), pivots, posted)
     own_place = np.arange(near.shape[1], dtype=np.uint8)[:, None]

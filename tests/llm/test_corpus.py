@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from reelhouse.llm import licenses, line_frequency, queries, shared_files, warc_dict
+from reelhouse.llm import licenses, line_frequency, permutation_index, queries, shared_files, warc_dict
 from reelhouse.llm.permutation_index import nearest
 from reelhouse.llm.words import words_of
 
@@ -121,6 +121,24 @@ def test_recall_on_the_given_table(spark):
     assert len(got) == len(want) and len(got & want) >= 0.95 * len(want)
 
 
+def test_recall_over_full_blocks(spark):
+    n = permutation_index.BLOCK
+    assert permutation_index.ranked_exactly(512, 5) / 512 == permutation_index.ranked_exactly(n, 5) / n
+    table = spark.read.parquet("/root/testdata/check_l/embeddings.parquet").dropDuplicates(["vec_id"]).coalesce(4)
+    pdf = table.toPandas()
+    ids, x = pdf.vec_id.to_numpy(), np.stack(pdf.embedding).astype(np.float64)
+    assert len(ids) >= 8 * n
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    q = np.flatnonzero(ids % 200 == 0)
+    s = x[q] @ x.T
+    s[np.arange(len(q)), q] = -2
+    fifth = dict(zip(ids[q], np.partition(s, -5, axis=1)[:, -5]))   # vectors as near as the fifth are as right
+    got = nearest(table, F.col("id") % 200 == 0).collect()
+    recall = sum(r.score >= fifth[r.query_id] - 1e-9 for r in got) / (5 * len(q))
+    print("recall", recall, len(ids), len(q))
+    assert len(got) == 5 * len(q) and recall >= 0.97
+
+
 # --- 8: line frequency ------------------------------------------------------------------------
 def test_base_statistics_by_brute_force(spark):
     got = line_frequency.line_frequency_rules(documents(spark)).collect()
