@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, and DuckDB SQL where SQL can say it."""
+"""Registered queries of the operators, and DuckDB SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -178,3 +178,29 @@ def op8_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelhouse.llm.line_frequency import line_frequency_rules
 
     return line_frequency_rules(table(spark, sf_dir, "documents")).drop("n_removed_words", "removed_lines")
+
+
+def _search_sql() -> str:
+    from reelhouse.llm.lexical_search import oracle_sql
+
+    return oracle_sql()
+
+
+@register("op11_automaton_search", _search_sql())
+def op11_automaton_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelhouse.llm.lexical_search import ranked_search
+
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
+
+
+def _trie_sql() -> str:
+    from reelhouse.llm.conversation_trie import oracle_sql
+
+    return oracle_sql()
+
+
+@register("op13_block_trie", _trie_sql())
+def op13_block_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelhouse.llm.conversation_trie import prefix_trie, regrafted
+
+    return prefix_trie(*regrafted(table(spark, sf_dir, "conversations")))
