@@ -217,3 +217,24 @@ def with_replies(chunks: DataFrame, replies: DataFrame, columns: list[str],
 
     names = [x.split()[0] for x in schema.split(",")]
     return left.unionByName(right).groupBy("chunk").applyInPandas(run, schema)
+
+
+def meet(chunks: DataFrame, replies: DataFrame, columns: list[str],
+         fn: Callable[[dict, list[bytes]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """As :func:`with_replies`, in Arrow: ``fn`` yields record batches, each of which leaves the
+    task before the next is made, so a chunk's results are never held together."""
+    left = chunks.select("chunk", F.lit(-1).alias("bucket"), F.lit(None).cast("binary").alias("reply"), *columns)
+    right = replies.select("chunk", "bucket", "reply",
+                           *[F.lit(None).cast(dict(chunks.dtypes)[c]).alias(c) for c in columns])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches)).sort_by("bucket")
+        if table["bucket"][0].as_py() != -1:
+            raise RuntimeError("replies without their chunk")
+        row = {c: table[c][0].as_py() for c in ["chunk", *columns]}
+        reply = table["reply"][1:].to_pylist()
+        del table, batches
+        yield from fn(row, reply)
+        pa.default_memory_pool().release_unused()
+
+    return left.unionByName(right).groupBy("chunk").applyInArrow(run, schema)

@@ -204,3 +204,17 @@ def op13_block_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelhouse.llm.conversation_trie import prefix_trie, regrafted
 
     return prefix_trie(*regrafted(table(spark, sf_dir, "conversations")))
+
+
+def _suffix_sql() -> str:
+    from reelhouse.llm.suffix_dedup import oracle_sql
+
+    return oracle_sql()
+
+
+@register("op12_interval_expansion", _suffix_sql())
+def op12_interval_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelhouse.llm.suffix_dedup import remove_repeated_bytes
+
+    out = remove_repeated_bytes(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
