@@ -35,7 +35,7 @@ def sorted_suffixes(text: np.ndarray, length: int) -> np.ndarray:
     del key, on, sorted_key
     rank = np.empty(n, dtype=np.int64)
     slot = np.flatnonzero(head)
-    rank[order] = np.repeat(slot, np.diff([*slot, n]))
+    rank[order] = np.repeat(slot, np.diff(slot, append=n))
     while h < length:
         tied = ~head
         tied[:-1] |= ~head[1:]
@@ -51,7 +51,7 @@ def sorted_suffixes(text: np.ndarray, length: int) -> np.ndarray:
         new[1:] = pair[1:] != pair[:-1]
         head[slots] = new
         first = np.flatnonzero(new)
-        rank[at] = np.repeat(slots[first], np.diff([*first, len(at)]))
+        rank[at] = np.repeat(slots[first], np.diff(first, append=len(at)))
         h *= 2
     return order
 
@@ -80,39 +80,43 @@ def unsettled(order: np.ndarray, text: np.ndarray, length: int) -> np.ndarray:
             break
         known[high] = True
         size = high - low
-        one = low[size == 1]
-        one = step[one[before[one] > 0]]
-        lows, highs = [one], [one + 1]
-        many = size > 1
+        # suffixes of an interval with the same symbol before them stay neighbours
+        one, two = low[size == 1], low[size == 2]
+        same = before[two] == before[two + 1]
+        pair, one = two[same], np.concatenate([one, two[~same], two[~same] + 1])
+        one, pair = step[one[before[one] > 0]], step[pair[before[pair] > 0]]
+        lows, highs = [one, pair], [one + 1, pair + 2]
+        many = size > 2
         if many.any():
             low, high, size = low[many], high[many], size[many]
-            narrow = np.flatnonzero(size <= WIDE)
-            wide = np.flatnonzero(size > WIDE)
+            narrow, wide = np.flatnonzero(size <= WIDE), np.flatnonzero(size > WIDE)
             ends = np.cumsum(size[narrow])
             member = np.arange(ends[-1] if len(ends) else 0) + np.repeat(low[narrow] - ends + size[narrow], size[narrow])
-            pairs = np.unique(np.repeat(narrow, size[narrow]) * 512 + before[member])
-            who, symbol = np.divmod(pairs, 512)
-            who = np.concatenate([who, np.repeat(wide, len(used))])
-            symbol = np.concatenate([symbol, np.tile(used, len(wide))])
-            who, symbol = who[symbol > 0], symbol[symbol > 0]
-            a, b = np.searchsorted(ranked, symbol * n + low[who]), np.searchsorted(ranked, symbol * n + high[who])
-            lows.append(a[a < b])
-            highs.append(b[a < b])
+            symbols, first, n_same = np.unique(np.repeat(narrow, size[narrow]) * 512 + before[member],
+                                               return_index=True, return_counts=True)
+            on = symbols & 511 > 0
+            a = step[member[first[on]]]
+            lows.append(a)
+            highs.append(a + n_same[on])
+            if len(wide):
+                symbol = np.tile(used, len(wide)) * n
+                a = np.searchsorted(ranked, symbol + np.repeat(low[wide], len(used)))
+                b = np.searchsorted(ranked, symbol + np.repeat(high[wide], len(used)))
+                lows.append(a[a < b])
+                highs.append(b[a < b])
         low, high = np.concatenate(lows), np.concatenate(highs)
     return np.flatnonzero(~known)
 
 
-def repeated_starts(strings: list[bytes], copies: list[int], length: int) -> list[np.ndarray]:
+def repeated_starts(strings: list[bytes], length: int) -> list[np.ndarray]:
     """For each string, a mask over its first ``len - length + 1`` positions: whether the
-    ``length`` bytes there start anywhere else in the strings, each taken ``copies`` times."""
-    taken = [s for s, c in zip(strings, copies) for _ in range(c)]
-    sizes = np.array([len(s) + 1 for s in taken], dtype=np.int64)
+    ``length`` bytes there start anywhere else in the strings."""
+    sizes = np.array([len(s) + 1 for s in strings], dtype=np.int64)
     starts = np.cumsum(sizes) - sizes
-    text = np.frombuffer(b"\0".join(taken) + b"\0", dtype=np.uint8).astype(np.int16) + 1
+    text = np.frombuffer(b"\0".join(strings) + b"\0", dtype=np.uint8).astype(np.int16) + 1
     text[starts + sizes - 1] = 0
     order = sorted_suffixes(text, length)
     known = unsettled(order, text, length)
     repeated = np.zeros(len(text), dtype=bool)
     repeated[order[known]] = repeated[order[known - 1]] = True
-    firsts = starts[np.cumsum(copies) - copies]
-    return [repeated[a:a + len(s) - length + 1] for a, s in zip(firsts, strings)]
+    return [repeated[a:a + len(s) - length + 1] for a, s in zip(starts, strings)]

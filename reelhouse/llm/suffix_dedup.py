@@ -12,11 +12,13 @@ of the corpus fits no task; what follows deals the text out so that equal string
    anchor, of 32, then of 4 positions; all windows of a block share a core of bytes, so
    where the core's hash is unique in the corpus, none of them repeats (``chunks`` counts
    the hashes).  Documents without a surviving window are done.
-3. Equal runs of the corpus are one string; the first chunk that holds it sends its bytes, and
-   whether it stands more than once.
+3. Equal runs of the corpus are one string with its number.  Where an anchor has one string only,
+   no interval can hold another: its windows repeat if it stands more than once.  The
+   others' bytes are sent once each, by the first chunk that holds them.
 4. Strings meet by anchor.  A group of anchors of about ``BATCH_BYTES`` is transformed and
-   expanded; a string that stands more than once is in it twice.  All chunks that hold a
-   string are answered which of its positions repeat, and cut what these cover.
+   expanded; a window repeats if its interval holds another suffix, or its string stands more than
+   once.  All chunks that hold a string are answered which of its positions repeat, and
+   cut what these cover.
 
 Copies cost one entry per chunk, not one per copy, and are never gathered.  What has one
 anchor is bounded by its different surroundings, of which the blocks of 4 leave at most three
@@ -46,6 +48,7 @@ GRAM = 16
 PIECE_BYTES = 1 << 18     # text hashed at a time
 BATCH_BYTES = 1 << 20     # strings transformed together, more only if they share one anchor
 RESULT_BYTES = 1 << 20    # text per returned batch
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _POS = np.uint64((1 << 20) - 1)
 
 
@@ -62,21 +65,20 @@ class _Spans:
         return (self.sums[start + size] - self.sums[start]) * self.down[start]
 
 
-def _anchors(spans: _Spans, n: int, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each window of a part of ``n`` bytes: where its anchor is, and the anchor's hash."""
-    at = np.arange(n - gram + 1)
-    hashes = spans.of(at, gram) * np.uint64(0x9E3779B97F4A7C15)
-    key = (hashes & ~_POS) | at.astype(np.uint64)
-    wide = length - gram + 1
-    padded = np.full(-(-len(key) // wide) * wide, np.iinfo(np.uint64).max, dtype=np.uint64)
-    padded[:len(key)] = key
+def _anchors(spans: _Spans, n: int, length: int, gram: int) -> np.ndarray:
+    """Where the anchor of each window of a part of ``n`` bytes is."""
+    n_grams, wide, n_windows = n - gram + 1, length - gram + 1, n - length + 1
+    key = (spans.sums[gram:] - spans.sums[:n_grams]) * spans.down[:n_grams] * SPREAD
+    key &= ~_POS
+    key |= np.arange(n_grams, dtype=np.uint64)
+    padded = np.full(-(-n_grams // wide) * wide, np.iinfo(np.uint64).max, dtype=np.uint64)
+    padded[:n_grams] = key
     rows = padded.reshape(-1, wide)
     ahead = np.minimum.accumulate(rows, axis=1).reshape(-1)
     behind = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    n_windows = n - length + 1
     least = np.minimum(behind[:n_windows], ahead[wide - 1:wide - 1 + n_windows])
-    where = (least & _POS).astype(np.int64)
-    return where, hashes[where]
+    least &= _POS
+    return least.view(np.int64)
 
 
 class _Text:
@@ -85,7 +87,7 @@ class _Text:
     def __init__(self, table: pa.Table, length: int, alive: bytes | None = None):
         self.data, self.at = W.text_bytes(table["_text"])
         self.length, self.gram = length, min(GRAM, max(1, length // 2))
-        self.mask = np.zeros(len(self.data), dtype=bool)
+        self.mask, self.cut_down = np.zeros(len(self.data), dtype=bool), alive is not None
         if alive is None:
             for a, b in zip(self.at[:-1], self.at[1:] - length + 1):
                 self.mask[a:max(a, b)] = True
@@ -95,34 +97,43 @@ class _Text:
                 self.mask[a:b] = True
 
     def pieces(self) -> Iterator[tuple]:
-        """(offset, part, spans, windows, anchors, anchor hashes) of each piece; positions are relative to it."""
-        for a in range(0, len(self.data), PIECE_BYTES):
-            at = np.flatnonzero(self.mask[a:a + PIECE_BYTES])
+        """(place, part, spans, windows, anchors) of each piece of the bytes that windows in question
+        cover; ``place`` maps positions of the part, as windows and anchors are, to the text."""
+        data, mask, place = self.data, self.mask, None
+        if self.cut_down:
+            edge = np.flatnonzero(np.diff(np.concatenate([[False], self.mask, [False]]).astype(np.int8)))
+            cover = np.zeros(len(self.data) + 1, dtype=np.int32)
+            np.add.at(cover, edge[::2], 1)
+            np.add.at(cover, edge[1::2] + self.length - 1, -1)
+            place = np.flatnonzero(np.cumsum(cover[:-1]))
+            data, mask = self.data[place], self.mask[place]
+        for a in range(0, len(data), PIECE_BYTES):
+            at = np.flatnonzero(mask[a:a + PIECE_BYTES])
             if len(at):
-                part = self.data[a:a + PIECE_BYTES + self.length - 1]
+                part = data[a:a + PIECE_BYTES + self.length - 1]
                 spans = _Spans(part, 0)
-                where, hashes = _anchors(spans, len(part), self.length, self.gram)
-                yield a, part, spans, at, where[at], hashes[at]
+                where = _anchors(spans, len(part), self.length, self.gram)
+                yield (np.arange(a, a + len(part)) if place is None else place[a:]), part, spans, at, where[at]
 
     def cores(self, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First window, number of windows and core hash of each block."""
         out = []
-        for a, _, spans, at, where, _ in self.pieces():
-            number = (where - at) // block
-            head = np.flatnonzero(_changes(at - np.arange(len(at)), where, number))
-            core = where[head] - block * number[head]
-            out.append((a + at[head], np.diff([*head, len(at)]), W.mix(spans.of(core, self.length - block + 1))))
+        for place, _, spans, at, where in self.pieces():
+            core = where - ((where - at) & -block)   # blocks are powers of two
+            head = np.flatnonzero(_changes(core) | _gaps(place[at]))
+            out.append((place[at[head]], np.diff(head, append=len(at)),
+                        W.mix(spans.of(core[head], self.length - block + 1))))
         return _joined(out, [np.int64, np.int64, np.uint64])
 
     def runs(self) -> tuple[np.ndarray, ...]:
         """First window, number of windows, two hashes of the bytes and the anchor's hash of each run."""
         out = []
-        for a, part, spans, at, where, hashes in self.pieces():
-            head = np.flatnonzero(_changes(at - np.arange(len(at)), where))
-            n = np.diff([*head, len(at)])
+        for place, part, spans, at, where in self.pieces():
+            head = np.flatnonzero(_changes(where) | _gaps(place[at]))
+            n = np.diff(head, append=len(at))
             size, second = n + self.length - 1, _Spans(part, 1)
             keys = [W.mix(s.of(at[head], size) + size.astype(np.uint64)) for s in (spans, second)]
-            out.append((a + at[head], n, *keys, W.mix(hashes[head])))
+            out.append((place[at[head]], n, *keys, W.mix(spans.of(where[head], self.gram) * SPREAD)))
         return _joined(out, [np.int64, np.int64] + [np.uint64] * 3)
 
 
@@ -132,6 +143,12 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
     return new
 
 
+def _gaps(at: np.ndarray) -> np.ndarray:
+    new = np.ones(len(at), dtype=bool)
+    new[1:] = np.diff(at) != 1
+    return new
+
+
 def _joined(parts: list[tuple], types: list) -> tuple[np.ndarray, ...]:
     if not parts:
         return tuple(np.zeros(0, dtype=t) for t in types)
@@ -225,55 +242,66 @@ class _DistinctRuns:
         self.text = _Text(C.unpack_table(row["docs"]), length, row["alive"])
         first, n, high, low, anchor = self.text.runs()
         bucket = ((anchor >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)
-        order = np.lexsort((low, high, bucket))
-        new = _changes(bucket[order], high[order], low[order])
+        order = np.lexsort((low, high, anchor))   # buckets ascend with the anchor
+        new = _changes(anchor[order], high[order], low[order])
         head = order[new]
         #: of every run of the chunk, in this order: first window, and which different run it is
         self.starts, self.which = first[order], np.cumsum(new) - 1
         self.first, self.n, self.high, self.low, self.anchor = first[head], n[head], high[head], low[head], anchor[head]
-        self.times = np.diff([*np.flatnonzero(new), len(order)])
+        self.times = np.diff(np.flatnonzero(new), append=len(order))
         cuts = np.searchsorted(bucket[head], np.arange(n_buckets + 1))
         self.parts = [(i, a, b) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
 
+    def ids(self, parts: list[tuple]) -> dict[str, list[bytes]]:
+        return {"high": [C.pack_ints(self.high[a:b]) for _, a, b in parts],
+                "low": [C.pack_ints(self.low[a:b]) for _, a, b in parts],
+                "anchors": [C.pack_sorted(self.anchor[a:b]) for _, a, b in parts]}
+
+
+# What a chunk learns of a run: another chunk sends it, send it (it stands once, more often), or
+# its anchor has no other (it stands once, more often).
+ELSEWHERE, ONCE, OFTEN, ALONE_ONCE, ALONE_OFTEN = range(5)
+_IDS = [("high", pa.binary()), ("low", pa.binary()), ("anchors", pa.binary())]
+
 
 def _elect(level: DataFrame, length: int, n_buckets: int) -> DataFrame:
-    """For each chunk and different run of it, one byte: 0 if another chunk sends it, else 1, or 2
-    if it stands more than once in the corpus."""
+    """For each chunk and different run of it, one byte: what to do with it."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 r = _DistinctRuns(row, length, n_buckets)
                 yield pa.RecordBatch.from_pydict(
-                    {"chunk": [row["chunk"]] * len(r.parts), "bucket": [i for i, _, _ in r.parts],
-                     "high": [C.pack_sorted(r.high[a:b]) for _, a, b in r.parts],
-                     "low": [C.pack_ints(r.low[a:b]) for _, a, b in r.parts],
-                     "times": [C.squeeze((r.times[a:b] > 1).tobytes()) for _, a, b in r.parts]},
-                    schema=pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("high", pa.binary()),
-                                      ("low", pa.binary()), ("times", pa.binary())]))
+                    {"chunk": [row["chunk"]] * len(r.parts), "bucket": [i for i, _, _ in r.parts]}
+                    | r.ids(r.parts) | {"often": [C.squeeze((r.times[a:b] > 1).tobytes()) for _, a, b in r.parts]},
+                    schema=pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), *_IDS, ("often", pa.binary())]))
 
     def run(pdf):
         import pandas as pd
 
-        high, low, sizes = _keys(pdf)
-        more = np.concatenate([np.frombuffer(C.unsqueeze(b), dtype=bool) for b in pdf["times"]])
+        high, low, anchor, sizes = _ids(pdf)
+        often = np.concatenate([np.frombuffer(C.unsqueeze(b), dtype=bool) for b in pdf["often"]])
         chunk = np.repeat(pdf["chunk"].to_numpy(), sizes)
-        order = np.lexsort((chunk, low, high))
-        new = _changes(high[order], low[order])
+        order = np.lexsort((chunk, low, high, anchor))
+        new = _changes(anchor[order], high[order], low[order])
         group = np.cumsum(new) - 1
-        often = np.bincount(group, weights=1 + more[order]) > 1
+        more = np.bincount(group, weights=1 + often[order]) > 1
+        family = np.cumsum(_changes(anchor[order[new]])) - 1   # of each group
+        alone = np.bincount(family)[family] == 1
         code = np.zeros(len(order), dtype=np.uint8)
-        code[order[new]] = 1 + often
+        code[order[new]] = np.where(more, OFTEN, ONCE)
+        code[order[alone[group]]] = np.where(more, ALONE_OFTEN, ALONE_ONCE)[group[alone[group]]]
         return pd.DataFrame({"chunk": pdf["chunk"], "bucket": pdf["bucket"],
                              "reply": [C.squeeze(p.tobytes()) for p in np.split(code, np.cumsum(sizes)[:-1])]})
 
     blobs = level.select("chunk", "docs", "alive").mapInArrow(
-        emit, "chunk long, bucket int, high binary, low binary, times binary")
+        emit, "chunk long, bucket int, high binary, low binary, anchors binary, often binary")
     return blobs.groupBy("bucket").applyInPandas(run, "chunk long, bucket int, reply binary")
 
 
-def _keys(pdf) -> tuple[np.ndarray, np.ndarray, list[int]]:
-    high = [C.unpack_sorted(b) for b in pdf["high"]]
-    return np.concatenate(high), np.concatenate([C.unpack_ints(b) for b in pdf["low"]]), [len(h) for h in high]
+def _ids(pdf) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    anchors = [C.unpack_sorted(b) for b in pdf["anchors"]]
+    return (np.concatenate([C.unpack_ints(b) for b in pdf["high"]]), np.concatenate([C.unpack_ints(b) for b in pdf["low"]]),
+            np.concatenate(anchors), [len(a) for a in anchors])
 
 
 def _repeats(level: DataFrame, elected: DataFrame, length: int, n_buckets: int) -> DataFrame:
@@ -281,47 +309,49 @@ def _repeats(level: DataFrame, elected: DataFrame, length: int, n_buckets: int)
     each run, then their ends."""
     def emit(row: dict, reply: list[bytes]) -> Iterator[pa.RecordBatch]:
         r = _DistinctRuns(row, length, n_buckets)
-        for (i, a, b), blob in zip(r.parts, reply, strict=True):
+        for part, blob in zip(r.parts, reply, strict=True):
+            i, a, b = part
             code = np.frombuffer(C.unsqueeze(blob), dtype=np.uint8)
-            sent = a + np.flatnonzero(code)
+            sent = a + np.flatnonzero((code == ONCE) | (code == OFTEN))
             body = b"".join(r.text.data[s:s + n + length - 1].tobytes() for s, n in zip(r.first[sent], r.n[sent]))
             yield pa.RecordBatch.from_pydict(
-                {"chunk": [row["chunk"]], "bucket": [i], "high": [C.pack_sorted(r.high[a:b])],
-                 "low": [C.pack_ints(r.low[a:b])], "code": [C.squeeze(code.tobytes())],
-                 "sizes": [C.pack_ints(r.n[sent])], "anchors": [C.pack_ints(r.anchor[sent])], "body": [C.squeeze(body)]},
-                schema=pa.schema([("chunk", pa.int64()), ("bucket", pa.int32())]
-                                 + [(c, pa.binary()) for c in ("high", "low", "code", "sizes", "anchors", "body")]))
+                {"chunk": [row["chunk"]], "bucket": [i]} | r.ids([part])
+                | {"code": [blob], "n": [C.pack_ints(r.n[a:b][code != ELSEWHERE])], "body": [C.squeeze(body)]},
+                schema=pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), *_IDS]
+                                 + [(c, pa.binary()) for c in ("code", "n", "body")]))
 
     def run(pdf):
         import pandas as pd
 
-        high, low, sizes = _keys(pdf)
-        order = np.lexsort((low, high))
+        high, low, anchor, sizes = _ids(pdf)
+        order = np.lexsort((low, high, anchor))
         group = np.empty(len(order), dtype=np.int64)
-        group[order] = np.cumsum(_changes(high[order], low[order])) - 1
-        codes = np.concatenate([np.frombuffer(C.unsqueeze(b), dtype=np.uint8) for b in pdf["code"]])
-        sent = np.flatnonzero(codes)
-        n = np.concatenate([C.unpack_ints(b, np.int64) for b in pdf["sizes"]])
-        anchors = np.concatenate([C.unpack_ints(b) for b in pdf["anchors"]])
-        bodies = b"".join(C.unsqueeze(b) for b in pdf["body"])
-        ends = np.cumsum(n + length - 1)
-        by_anchor = np.argsort(anchors, kind="stable")
-        weight = np.cumsum(((n + length) * codes[sent])[by_anchor])
-        found: list = [None] * (int(group.max()) + 1)
+        group[order] = np.cumsum(_changes(anchor[order], high[order], low[order])) - 1
+        code = np.concatenate([np.frombuffer(C.unsqueeze(b), dtype=np.uint8) for b in pdf["code"]])
+        n = np.zeros(len(code), dtype=np.int64)
+        n[code != ELSEWHERE] = np.concatenate([C.unpack_ints(b, np.int64) for b in pdf["n"]])
+        stretches: list = [()] * (int(group.max()) + 1)
+        for k in np.flatnonzero(code == ALONE_OFTEN):
+            stretches[group[k]] = (0, n[k])
+        sent = np.flatnonzero((code == ONCE) | (code == OFTEN))
+        bodies, ends = b"".join(C.unsqueeze(b) for b in pdf["body"]), np.cumsum(n[sent] + length - 1)
+        by_anchor = np.argsort(anchor[sent], kind="stable")
+        weight = np.cumsum((n[sent] + length)[by_anchor])
+        # a batch takes whole anchors
+        last = np.append(np.flatnonzero(_changes(anchor[sent[by_anchor]]))[1:], len(sent))
         a = 0
         while a < len(by_anchor):
-            b = int(np.searchsorted(weight, (weight[a - 1] if a else 0) + BATCH_BYTES, side="right"))
-            # whole anchors only, one at least
-            b = max(b, a + 1)
-            while b < len(by_anchor) and anchors[by_anchor[b]] == anchors[by_anchor[b - 1]]:
-                b += 1
+            reach = np.searchsorted(weight, (weight[a - 1] if a else 0) + BATCH_BYTES, side="right")
+            b = int(last[max(np.searchsorted(last, reach, side="right") - 1, np.searchsorted(last, a, side="right"))])
             some = by_anchor[a:b]
-            strings = [bodies[ends[k] - n[k] - length + 1:ends[k]] for k in some]
-            for k, mask in zip(some, repeated_starts(strings, codes[sent[some]].tolist(), length)):
-                found[group[sent[k]]] = np.flatnonzero(np.diff(np.concatenate([[False], mask, [False]]).astype(np.int8)))
+            strings = [bodies[ends[k] - n[sent[k]] - length + 1:ends[k]] for k in some]
+            for k, mask in zip(sent[some], repeated_starts(strings, length)):
+                if code[k] == OFTEN:
+                    mask[:] = True
+                stretches[group[k]] = np.flatnonzero(np.diff(np.concatenate([[False], mask, [False]]).astype(np.int8)))
             a = b
-        count = np.array([len(f) // 2 for f in found], dtype=np.int64)
-        flat = np.concatenate(found).astype(np.int64)
+        count = np.array([len(x) // 2 for x in stretches], dtype=np.int64)
+        flat = np.concatenate(stretches).astype(np.int64)
         first = np.cumsum(2 * count) - 2 * count
         replies = []
         for g in np.split(group, np.cumsum(sizes)[:-1]):
@@ -331,7 +361,9 @@ def _repeats(level: DataFrame, elected: DataFrame, length: int, n_buckets: int)
         return pd.DataFrame({"chunk": pdf["chunk"], "bucket": pdf["bucket"], "reply": replies})
 
     blobs = C.meet(level, elected, ["docs", "alive"], emit,
-                   "chunk long, bucket int, high binary, low binary, code binary, sizes binary, anchors binary, body binary")
+                   "chunk long, bucket int, high binary, low binary, anchors binary, code binary, n binary, body binary")
+    # a fixed number: bytes are few for the work they make, so buckets are not to be joined by bytes
+    blobs = blobs.repartition(C.shuffle_partitions(level.sparkSession), "bucket")
     return blobs.groupBy("bucket").applyInPandas(run, "chunk long, bucket int, reply binary")
 
 
