@@ -12,8 +12,9 @@ Rare-first prefix filtering, exact:
 3. equal sets are one class, represented by one document;
 4. representatives are posted under the shared shingles of their prefix and joined on
    them with the length filter, the positional filter (what two prefixes and the rest
-   can still share) and the suffix filter (the sets are cut into 512 hash ranges; a range
-   whose parity differs holds at least one shingle that only one of the two has);
+   can still share) and the suffix filter: shingles that stand in one document only are
+   not common, and the others are cut into 1024 hash ranges, of which one whose parity differs
+   holds at least one shingle that only one of the two has;
 5. each pair that is left is verified once, on the exact sets.
 
 A large group of near copies would make the square of its size in pairs.  So a first
@@ -42,7 +43,8 @@ from reelhouse.llm import chunks as C
 from reelhouse.llm.components import ID_ROWS, connected_components
 from reelhouse.llm.words import Words, mix, window_hashes, words_of
 
-RANGES = 512         # hash ranges of the suffix filter
+RANGES = 1024        # hash ranges of the suffix filter
+SALTS = 16           # parts in which the copies of one set are looked up
 LIST_BLOCK = 4096    # members of a posting list that meet in one block
 
 
@@ -81,7 +83,7 @@ def _count(chunks: DataFrame, size: int, bits: int, bounds: np.ndarray) -> DataF
 
 
 SET_SCHEMA = ("row long, id long, n long, sig_a long, sig_b long, items binary, "
-              "core double, prefix array<long>, places array<int>, parity array<long>")
+              "core double, lone long, prefix array<long>, places array<int>, parity array<long>")
 
 
 def _sets(chunks: DataFrame, replies: DataFrame, size: int, bits: int, percent: int) -> DataFrame:
@@ -98,16 +100,16 @@ def _sets(chunks: DataFrame, replies: DataFrame, size: int, bits: int, percent:
         sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(key + np.uint64(k)), dtype=np.uint64)])
                 for k in (1, 2)]
         sig = [(s[first[1:]] - s[first[:-1]]).view(np.int64) for s in sums]
-        out = {c: [None] * len(table) for c in ("items", "core", "prefix", "places", "parity", "sig_a", "sig_b")}
+        out = {c: [None] * len(table) for c in ("items", "core", "lone", "prefix", "places", "parity", "sig_a", "sig_b")}
         for d in np.flatnonzero(going):
             k, c = key[first[d]:first[d + 1]], count[first[d]:first[d + 1]]
             order = np.lexsort((k, c))[:n[d] - need[d] + 1]
             place = np.flatnonzero(c[order] > 1)
-            odd = np.bincount((k >> np.uint64(55)).astype(np.int64), minlength=RANGES) & 1
+            odd = np.bincount((k[c > 1] & np.uint64(RANGES - 1)).astype(np.int64), minlength=RANGES) & 1
             out["items"][d] = C.pack_sorted(k[c > 1])
             out["prefix"][d] = k[order[place]].view(np.int64)
             out["places"][d] = place.astype(np.int32)
-            out["core"][d] = shared[d] / n[d]
+            out["core"][d], out["lone"][d] = shared[d] / n[d], n[d] - shared[d]
             out["parity"][d] = np.packbits(odd.astype(np.uint8)).view(np.int64)
             out["sig_a"][d], out["sig_b"][d] = int(sig[0][d]), int(sig[1][d])
         yield pd.DataFrame({"row": table[C.ROW].to_numpy(), "id": table["_id"].to_pylist(), "n": n} | out)
@@ -136,8 +138,10 @@ def _may_link(x: str, y: str, percent: int):
     n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
     i, j = F.col(f"{x}.place"), F.col(f"{y}.place")
     # overlap o reaches the threshold when (100 + t) * o >= t * (n + m)
-    reach = F.least(i, j) + F.least(n - i, m - j)
-    apart = sum((F.bit_count(F.col(f"{x}.p{i}").bitwiseXOR(F.col(f"{y}.p{i}"))) for i in range(RANGES // 64)), F.lit(0))
+    # lone shingles come first in the order, so a posted one has all of its set's before it
+    lone_x, lone_y = F.col(f"{x}.lone"), F.col(f"{y}.lone")
+    reach = F.least(i - lone_x, j - lone_y) + F.least(n - i, m - j)
+    apart = lone_x + lone_y + sum((F.bit_count(F.col(f"{x}.p{i}").bitwiseXOR(F.col(f"{y}.p{i}"))) for i in range(RANGES // 64)), F.lit(0))
     return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
             & ((100 + percent) * reach >= percent * (n + m))
             & ((100 + percent) * apart <= (100 - percent) * (n + m)))
@@ -156,10 +160,10 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     able = sets.filter("items IS NOT NULL")
     classes = able.groupBy("sig_a", "sig_b").agg(F.min("row").alias("rep"))
     reps = C.stage(able.join(classes.select(F.col("rep").alias("row")), "row", "left_semi")
-                   .select("row", "n", "items", "core", "prefix", "places", "parity"), "representatives")
+                   .select("row", "n", "items", "core", "lone", "prefix", "places", "parity"), "representatives")
     parity = [F.col("parity")[i].alias(f"p{i}") for i in range(RANGES // 64)]
-    lists = (reps.select("row", "n", "core", *parity, F.explode(F.arrays_zip("prefix", "places")).alias("p"))
-             .select(F.col("p.prefix").alias("key"), "row", "n", F.col("p.places").alias("place"), "core",
+    lists = (reps.select("row", "n", "core", "lone", *parity, F.explode(F.arrays_zip("prefix", "places")).alias("p"))
+             .select(F.col("p.prefix").alias("key"), "row", "n", F.col("p.places").alias("place"), "core", "lone",
                      *[f"p{i}" for i in range(RANGES // 64)]))
 
     # first round: members against the pivot of their list and length band
@@ -209,8 +213,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sets, classes, links = jaccard_links(docs, id_col, text_col, shingle, percent, chunk_bytes)
     roots = connected_components(links, "a", "b")
     grouped = (classes.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
-               .select("sig_a", "sig_b", F.coalesce("root", "rep").alias("root")))
-    member = C.stage(sets.filter("sig_a IS NOT NULL").join(grouped, ["sig_a", "sig_b"])
+               .select("sig_a", "sig_b", F.coalesce("root", "rep").alias("root"),
+                       F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
+    able = sets.filter("sig_a IS NOT NULL").withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
+    member = C.stage(able.join(grouped, ["sig_a", "sig_b", "salt"])
                      .select("row", "id", "n", "root"), "members")
     smallest = member.groupBy("root").agg(F.min("id").alias("component_id"))
     linked = member.join(smallest, "root").select("id", "n", "component_id")
