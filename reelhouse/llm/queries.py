@@ -24,12 +24,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def kept_words_sha256(text: str) -> Column:
-    """Hash of a text's words joined by one space."""
-    words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    return F.sha2(F.array_join(words, " "), 256)
-
-
 def decimal_sha256(ids: str) -> Column:
     """Hash of an array of token ids written as decimals joined by commas."""
     return F.sha2(F.array_join(F.col(ids).cast("array<string>"), ","), 256)
@@ -56,8 +50,7 @@ FROM w LEFT JOIN n_gone ON n_gone.doc_id = w.doc_id LEFT JOIN kept ON kept.doc_i
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelhouse.llm.substring_dedup import remove_repeated_windows
 
-    out = remove_repeated_windows(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_words", "n_removed", kept_words_sha256("text").alias("kept_sha256"))
+    return remove_repeated_windows(table(spark, sf_dir, "documents"), digest="kept_sha256").drop("text")
 
 
 _JACCARD_SQL = r"""

@@ -19,6 +19,9 @@ table gives an empty result; other columns are ignored unless named in ``carry``
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -29,6 +32,8 @@ from reelhouse.llm import chunks as C
 from reelhouse.llm.words import Words, window_hashes, words_of
 
 NO_ID = np.iinfo(np.int64).min
+RESULT_BYTES = 1 << 20   # text per returned batch
+RESULT = "id long, n_words long, n_removed long, text string, sha string"
 
 
 def _windows(words: Words, length: int, alive: np.ndarray | None, stream: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -69,39 +74,41 @@ def _count_level(level: DataFrame, length: int, bits: int, bounds: np.ndarray) -
     return C.answers(blobs)
 
 
-def _finished(table: pa.Table, words: Words, keep: np.ndarray | None, extra: list[str], pick=None) -> pd.DataFrame:
-    """Result rows of the documents ``pick`` (all by default); ``keep`` marks kept words."""
-    ids, texts = table["_id"].to_pylist(), table["_text"].to_pylist()
-    n, out, removed = words.n_words, [], []
-    for d in range(len(ids)) if pick is None else pick:
-        a, b = words.doc_words[d], words.doc_words[d + 1]
-        kept = None if keep is None else keep[a:b]
-        if kept is None or kept.all():
-            out.append(texts[d])
-            removed.append(0)
-            continue
-        removed.append(int((~kept).sum()))
-        edges = np.flatnonzero(np.diff(np.concatenate([[False], kept, [False]]).astype(np.int8)))
-        end = words.doc_bytes[d + 1]
-        pieces = []
-        for s, e in zip(edges[::2], edges[1::2]):
-            right = words.starts[a + e] if a + e < b else end
-            pieces.append(words.data[words.starts[a + s]:right].tobytes())
-        out.append(b"".join(pieces).decode("utf-8"))
-    where = np.arange(len(ids)) if pick is None else np.asarray(pick, dtype=np.int64)
-    frame = {"id": pd.array([ids[d] for d in where], dtype="Int64"), "n_words": n[where],
-             "n_removed": np.array(removed, dtype=np.int64), "text": pd.Series(out, dtype=object)}
-    for i in range(len(extra)):
-        values = table.column(f"c{i}").to_pylist()
-        frame[f"x{i}"] = pd.Series([values[d] for d in where], dtype=object)
-    return pd.DataFrame(frame)
+def _finished(table: pa.Table, words: Words, keep: np.ndarray | None, extra: list[str],
+              pick: np.ndarray | None = None) -> Iterator[dict]:
+    """Columns of the result rows of the documents ``pick`` (all by default), a slice of about
+    RESULT_BYTES at a time; ``keep`` marks kept words.  The digest is of the kept words joined by one space."""
+    if pick is None:
+        pick = np.arange(len(table))
+    n, sizes, a = words.n_words, np.cumsum(np.diff(words.doc_bytes)[pick]), 0
+    while a < len(pick):
+        z = max(a + 1, int(np.searchsorted(sizes, (sizes[a - 1] if a else 0) + RESULT_BYTES, side="right")))
+        rows = table.take(pick[a:z])
+        texts, removed, digests = rows["_text"].to_pylist(), [], []
+        for k, d in enumerate(pick[a:z]):
+            first, last = words.doc_words[d], words.doc_words[d + 1]
+            kept = np.ones(last - first, dtype=bool) if keep is None else keep[first:last]
+            at = np.flatnonzero(kept) + first
+            digests.append(hashlib.sha256(b" ".join(
+                words.data[x:y].tobytes() for x, y in zip(words.starts[at], words.ends[at]))).hexdigest())
+            removed.append(int(len(kept) - len(at)))
+            if removed[-1]:
+                edges = np.flatnonzero(np.diff(np.concatenate([[False], kept, [False]]).astype(np.int8)))
+                end = words.doc_bytes[d + 1]
+                texts[k] = b"".join(
+                    words.data[words.starts[first + x]:words.starts[first + y] if first + y < last else end].tobytes()
+                    for x, y in zip(edges[::2], edges[1::2])).decode("utf-8")
+        yield {"id": rows["_id"].combine_chunks(), "n_words": pa.array(n[pick[a:z]]),
+               "n_removed": pa.array(removed, pa.int64()), "text": pa.array(texts, pa.string()),
+               "sha": pa.array(digests, pa.string())} | {f"x{i}": rows[f"c{i}"].combine_chunks() for i in range(len(extra))}
+        a = z
 
 
 def _next_level(level: DataFrame, replies: DataFrame, length: int, bits: int, extra: list[str],
                 extra_schema: str) -> DataFrame:
     """Rows of finished documents (chunk null) and of chunks cut down to the documents
     that still have a candidate window of twice the length (docs, alive)."""
-    def run(row, reply):
+    def run(row: dict, reply: list[bytes]) -> Iterator[pa.RecordBatch]:
         table = C.unpack_table(row["docs"])
         words = words_of(table["_text"])
         at, keys = _windows(words, length, _alive(row))
@@ -112,17 +119,22 @@ def _next_level(level: DataFrame, replies: DataFrame, length: int, bits: int, ex
         doc = np.searchsorted(words.doc_words, grown, side="right") - 1
         going = np.unique(doc)
         over = np.setdiff1d(np.arange(len(table)), going)
-        yield _finished(table, words, None, extra, over).assign(chunk=None, docs=None, alive=None)
+        for columns in _finished(table, words, None, extra, over):
+            none = len(columns["id"])
+            yield pa.RecordBatch.from_pydict({"chunk": pa.nulls(none, pa.int64()), "docs": pa.nulls(none, pa.binary()),
+                                              "alive": pa.nulls(none, pa.binary())} | columns)
         if len(going):
             n = words.n_words
             shift = words.doc_words[:-1].copy()
             shift[going] -= np.concatenate([[0], np.cumsum(n[going])[:-1]])
-            yield pd.DataFrame({"chunk": [row["chunk"]], "docs": [C.pack_table(table.take(going))],
-                                "alive": [_pack_positions(grown - shift[doc])], "id": [None]})
+            yield pa.RecordBatch.from_pydict({
+                "chunk": pa.array([row["chunk"]], pa.int64()), "docs": pa.array([C.pack_table(table.take(going))], pa.binary()),
+                "alive": pa.array([_pack_positions(grown - shift[doc])], pa.binary()),
+                **{c: pa.nulls(1, pa.int64()) for c in ("id", "n_words", "n_removed")},
+                **{c: pa.nulls(1, pa.string()) for c in ("text", "sha")},
+                **{f"x{i}": pa.nulls(1, table[f"c{i}"].type) for i in range(len(extra))}})
 
-    schema = ("chunk long, docs binary, alive binary, id long, n_words long, n_removed long, text string"
-              + extra_schema)
-    return C.with_replies(level, replies, ["docs", "alive"], run, schema)
+    return C.meet(level, replies, ["docs", "alive"], run, "chunk long, docs binary, alive binary, " + RESULT + extra_schema)
 
 
 def _first_occurrences(level: DataFrame, length: int, wide_bits: int, bounds: np.ndarray) -> DataFrame:
@@ -187,7 +199,7 @@ def _cut(level: DataFrame, replies: DataFrame, length: int, wide_bits: int, extr
          extra_schema: str) -> DataFrame:
     second = np.uint64(64 - min(64, wide_bits - 64))
 
-    def run(row, reply):
+    def run(row: dict, reply: list[bytes]) -> Iterator[pa.RecordBatch]:
         table = C.unpack_table(row["docs"])
         words = words_of(table["_text"])
         (at, _, _), group, head = _distinct(words, length, _alive(row), second)
@@ -199,20 +211,21 @@ def _cut(level: DataFrame, replies: DataFrame, length: int, wide_bits: int, extr
             np.add.at(edge, at[later], 1)
             np.add.at(edge, at[later] + length, -1)
             keep = np.cumsum(edge[:-1]) == 0
-        yield _finished(table, words, keep, extra)
+        for columns in _finished(table, words, keep, extra):
+            yield pa.RecordBatch.from_pydict(columns)
 
-    return C.with_replies(level, replies, ["docs", "alive"], run,
-                          "id long, n_words long, n_removed long, text string" + extra_schema)
+    return C.meet(level, replies, ["docs", "alive"], run, RESULT + extra_schema)
 
 
 def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20,
                             base_words: int = 10, carry: list[str] | None = None,
-                            chunk_bytes: int = C.CHUNK_BYTES) -> DataFrame:
+                            chunk_bytes: int = C.CHUNK_BYTES, digest: str | None = None) -> DataFrame:
     """(id, n_words, n_removed, text, carried columns) per document; see the module.
 
-    ``window`` must be ``base_words`` doubled some number of times."""
+    ``window`` must be ``base_words`` doubled some number of times.  ``digest`` names a column
+    with the SHA-256 of the kept words joined by one space, made where the words are."""
     extra = list(carry or [])
-    out_names = [id_col, "n_words", "n_removed", text_col]
+    out_names = [id_col, "n_words", "n_removed", text_col] + ([digest] if digest else [])
     if set(extra) & set(out_names):
         raise ValueError(f"carried columns clash with the result's: {sorted(set(extra) & set(out_names))}")
     doublings = (window // base_words).bit_length() - 1
@@ -247,4 +260,5 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     for part in done[1:]:
         out = out.unionByName(part)
     return out.select(F.col("id").alias(id_col), "n_words", "n_removed", F.col("text").alias(text_col),
+                      *([F.col("sha").alias(digest)] if digest else []),
                       *[F.col(f"x{i}").alias(c) for i, c in enumerate(extra)])
