@@ -826,6 +826,10 @@ for _name in ("top_titles", "rating_trend_yoy", "genre_popularity", "tier_behavi
     register(f"sql_{_name}", REGISTRY[_name][1])(_sql_builder(_name))
 
 
+# more queries register themselves with the names above
+from reelhouse.plans import registry_windows  # noqa: E402,F401
+
+
 def queries() -> dict[str, Builder]:
     return {name: b for name, (b, _) in REGISTRY.items()}
 

@@ -109,3 +109,42 @@ def fx_user_captures(spark: SparkSession, sf_dir: str,
                     "region",
                     device.alias("device_preference"),
                     F.to_date("first_order").alias("created_at")))
+
+
+# Fixed values of the licence fixture: contracts per (title, region) and the day they count from.
+LICENCE_SLOTS = 4
+LICENCE_EPOCH = "1994-01-01"
+
+
+def fx_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """movie_id, region, available_from, available_to: invented licence contracts of every title, drawn
+    from an MD5 of (title, region, slot).  Contracts overlap; the last one touches the one before; some have no
+    end, some are missing."""
+    titles = read_table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("movie_id"))
+    slots = (titles.withColumn("region", F.explode(F.array(*[F.lit(r) for r in ("NA", "EU", "APAC", "LATAM")])))
+             .withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(LICENCE_SLOTS - 1)))))
+
+    def digits(slot, first, n):
+        text = F.concat_ws("-", "movie_id", "region", slot.cast("string"))
+        return F.conv(F.substring(F.md5(text), first, n), 16, 10).cast("int")
+
+    def start(slot):
+        return F.date_add(F.lit(LICENCE_EPOCH).cast("date"), digits(slot, 2, 3) % 2600)
+
+    def end(slot):
+        return F.date_add(start(slot), digits(slot, 5, 3) % 700 + 1)
+
+    slot = F.col("slot")
+    touching = slot == LICENCE_SLOTS - 1
+    before = end(slot - 1)
+    return slots.select(
+        "movie_id", "region", F.when(touching, before).otherwise(start(slot)).cast("timestamp").alias("available_from"),
+        F.when(digits(slot, 8, 1) > 0, F.when(touching, F.date_add(before, digits(slot, 5, 3) % 700 + 1)).otherwise(end(slot)))
+         .cast("timestamp").alias("available_to"), digits(slot, 1, 1).alias("_draw")).filter("_draw < 10").drop("_draw")
+
+
+def with_recording(captures: DataFrame) -> DataFrame:
+    """User captures with the time they became known: at once, or, drawn from an MD5 of (user, capture), three
+    years later, after newer captures."""
+    late = F.substring(F.md5(F.concat_ws("-", F.col("user_id").cast("string"), F.date_format("capture_ts", "yyyy-MM-dd"))), 1, 1) < "4"
+    return captures.withColumn("recorded_ts", F.when(late, F.col("capture_ts") + F.expr("INTERVAL 1095 DAYS")).otherwise(F.col("capture_ts")))

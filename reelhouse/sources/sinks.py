@@ -35,6 +35,12 @@ def read_gold_pruned(spark: SparkSession, path: str, years: Sequence[int] | None
     return df if years is None else df.filter(F.col(column).isin(list(years)))
 
 
+def drop_partition(spark: SparkSession, path: str, column: str, value) -> None:
+    """Remove one partition of a partitioned table (an overwrite leaves partitions it has no rows for)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def audit_row(spark: SparkSession, run_id: str, counts: DataFrame | None, report: DataFrame | None,
               execution_ts=None, status: str | None = None) -> DataFrame:
     """The one audit row of a run as a DataFrame (lazy).

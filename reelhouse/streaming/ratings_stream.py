@@ -5,7 +5,7 @@ second, value): the value is part of the key, otherwise two different ratings in
 second (the known ``rating_sk`` collision) would lose one at random.
 
 :func:`run_silver_ratings` keeps no state at all: each micro-batch is compared with the months
-of the sink that it touches (a left-anti join on their partitions) and
+of the sink that it touches (a left-anti join; only these months' files are read) and
 only what they lack is appended, however late it arrives.  :func:`silver_ratings_stream` is the
 stateful form for sinks that cannot be read back: its state is bounded by the
 watermark, and rows older than that are returned by :func:`too_late`, not lost unseen.
@@ -24,21 +24,34 @@ from reelhouse.sources.sinks import write_gold
 DEDUP_KEY = ("user_id", "movie_id", "rated_at", "rating_value")
 
 
+def batch_months(batch: DataFrame) -> list:
+    """The months a batch touches (a value per month of the calendar at most)."""
+    return sorted(r[0] for r in batch.select("rated_month").distinct().collect())
+
+
+def held_before(spark: SparkSession, sink: str, schema: StructType, batch_id: int, months: list) -> DataFrame:
+    """What earlier batches wrote of these months.  The months are literals, so they are partition filters
+    of the scan: files of other months are not opened."""
+    return (spark.read.schema(StructType([*schema.fields, StructField("batch", LongType())])).parquet(sink)
+            .filter((F.col("batch") < batch_id) & F.col("rated_month").isin(months)))
+
+
 def append_new(sink: str):
     """The ``foreachBatch`` function: append the staged ratings that their months in the
     sink do not hold yet.  Each batch has a folder named by its id and reads only earlier
     ones, so a replay overwrites itself."""
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        new = batch.dropDuplicates(list(DEDUP_KEY)).withColumn("rated_month", F.trunc("rated_at", "month"))
-        columns = new.columns
-        if batch_id > 0:
-            # equality on the month prunes the sink's partitions to those of this batch
-            held = (spark.read.schema(StructType([*new.schema.fields, StructField("batch", LongType())]))
-                    .parquet(sink).filter(F.col("batch") < batch_id))
-            new = (new.join(held.select("rated_month", *DEDUP_KEY), ["rated_month", *DEDUP_KEY], "left_anti")
-                   .select(*columns))
-        write_gold(new, f"{sink}/batch={batch_id}", "rated_month")
+        new = batch.dropDuplicates(list(DEDUP_KEY)).withColumn("rated_month", F.trunc("rated_at", "month")).persist()
+        try:
+            columns, months = new.columns, batch_months(new)
+            if batch_id > 0 and months:
+                held = held_before(spark, sink, new.schema, batch_id, months)
+                new = (new.join(held.select("rated_month", *DEDUP_KEY), ["rated_month", *DEDUP_KEY], "left_anti")
+                       .select(*columns))
+            write_gold(new, f"{sink}/batch={batch_id}", "rated_month")
+        finally:
+            new.unpersist()
     return fn
 
 
