@@ -190,11 +190,16 @@ class SchemaCheck:
 
 
 def check_schema(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
-    """G10 as a DataFrame: one row per expected column with its actual type."""
+    """G10 as a DataFrame: one row per expected column with its actual type (null: missing), the rows
+    of the table and the column's nulls, from one aggregation over the expected columns."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    rows = [(c, t, actual.get(c), PASS if actual.get(c) == t else FAIL) for c, t in expected.items()]
-    return df.sparkSession.createDataFrame(
-        rows, "column string, expected_type string, actual_type string, status string")
+    there = [c for c in expected if c in actual]
+    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(f"`{c}`")).alias(f"_n{i}") for i, c in enumerate(there)])
+    rows = [F.struct(F.lit(c).alias("column"), F.lit(t).alias("expected_type"), F.lit(actual.get(c)).cast("string").alias("actual_type"),
+                     F.lit(PASS if actual.get(c) == t else FAIL).alias("status"), F.col("_rows").alias("n_rows"),
+                     (F.col("_rows") - F.col(f"_n{there.index(c)}") if c in actual else F.lit(None)).cast("long").alias("n_nulls"))
+            for c, t in expected.items()]
+    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def check_row_count(df: DataFrame, min: int = 0, max: int | None = None) -> DataFrame:

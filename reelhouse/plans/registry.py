@@ -603,13 +603,13 @@ SELECT 'run-1' AS run_id, TIMESTAMP '{_AUDIT_TS}' AS execution_date, q.status,
        (SELECT count(*) FROM fx_ratings) AS seed_ratings_rows, (SELECT count(*) FROM fx_movies) AS seed_movies_rows,
        (SELECT count(*) FROM fx_tags) AS seed_tags_rows, (SELECT count(*) FROM fx_user_captures) AS seed_users_rows,
        (SELECT count(*) FROM mart) AS gold_mart_rows, q.status AS observe_status
-FROM (SELECT CASE WHEN count(*) BETWEEN 1 AND 200000 THEN 'pass' ELSE 'fail' END AS status FROM mart) q
+FROM (SELECT status FROM ({report_sql(_MART_CHECK_ROWS)}) r WHERE "check" = 'overall') q
 UNION ALL SELECT 'run-2', TIMESTAMP '{_AUDIT_TS}', 'unknown', 0, 0, 0, 0, 0, 'unknown'""",
                                        "fx_ratings", "fx_movies", "fx_tags", "fx_user_captures", "mart"))
 def _audit(g: GoldBuild) -> DataFrame:
     """A run with all its counts and one whose steps failed, appended to an audit table."""
     path = staging_dir(g, "audit")
-    report = quality.quality_report(g.mart, [quality.RowCountCheck(1, 200_000)])
+    report = quality.quality_report(g.mart, quality.gold_mart_checks())
     counted = counts_src.source_row_counts(g.spark, {
         name: (lambda _, df: df, df) for name, df in
         (("ratings", g.raw_ratings), ("movies", g.raw_movies), ("tags", g.raw_tags), ("users", g.raw_user_captures))})
@@ -621,11 +621,16 @@ _MART_TYPES = {"content_sk": "string", "movie_id": "string", "release_year": "in
                "avg_rating": "decimal(4,2)", "weighted_score": "double"}
 
 
-@register("check_schema", """
-SELECT * FROM (VALUES ('content_sk', 'string', 'string', 'pass'), ('movie_id', 'string', 'string', 'pass'),
-  ('release_year', 'int', 'int', 'pass'), ('total_ratings', 'bigint', 'bigint', 'pass'),
-  ('avg_rating', 'decimal(4,2)', 'decimal(4,2)', 'pass'), ('weighted_score', 'double', 'decimal(6,4)', 'fail'))
-  t("column", expected_type, actual_type, status)""")
+_MART_TYPE_ROWS = "\nUNION ALL ".join(
+    f"""SELECT '{c}' AS "column", '{t}' AS expected_type, '{actual}' AS actual_type, '{status}' AS status,
+       count(*) AS n_rows, count(*) - count({c}) AS n_nulls FROM mart"""
+    for c, t, actual, status in (
+        ("content_sk", "string", "string", "pass"), ("movie_id", "string", "string", "pass"),
+        ("release_year", "int", "int", "pass"), ("total_ratings", "bigint", "bigint", "pass"),
+        ("avg_rating", "decimal(4,2)", "decimal(4,2)", "pass"), ("weighted_score", "double", "decimal(6,4)", "fail")))
+
+
+@register("check_schema", O.sql_with(_MART_TYPE_ROWS, "mart"))
 def _schema(g: GoldBuild) -> DataFrame:
     """G10 on the mart, with one expectation that does not hold."""
     return quality.check_schema(g.mart, _MART_TYPES)
