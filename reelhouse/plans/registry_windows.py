@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.functions.keys import surrogate_key
-from reelhouse.operators import bitemporal, comparison, facts, history, intervals, rollups
+from reelhouse.operators import bitemporal, comparison, drift, facts, history, intervals, rollups
 from reelhouse.plans import oracle as O
 from reelhouse.plans.gold import GoldBuild
 from reelhouse.plans.registry import register, staging_dir
-from reelhouse.sources import fixtures, sinks
-from reelhouse.streaming import incremental, sessions
+from reelhouse.sources import fixtures, semistructured, sinks
+from reelhouse.streaming import incremental, interval_join, ratings_stream, sessions
 
 # Fixed values.
 KNOWN_AT = "1999-06-01 00:00:00"
@@ -238,3 +238,83 @@ def _corrected(g: GoldBuild) -> DataFrame:
     for _ in range(2):
         incremental.incremental_fact(g.spark, path, g.stg_ratings, g.dim_content, g.dim_user)
     return g.spark.read.parquet(path).select(*g.fact.columns)
+
+
+# --- two streams, semi-structured fields, drift -------------------------------------------------------------
+@register("stream_interval_join", """
+SELECT v.user_id, v.event_id AS view_id, v.ts AS viewed_at, p.event_id AS purchase_id, p.ts AS bought_at, p.value
+FROM events v JOIN events p ON p.user_id = v.user_id AND p.ts BETWEEN v.ts AND v.ts + INTERVAL 1 DAY
+WHERE v.event_type = 'view' AND p.event_type = 'purchase'""")
+def _interval_join(g: GoldBuild) -> DataFrame:
+    """Purchases within a day after a view by the same user: two streams of the events, four files each that mix
+    the whole month, joined under watermarks."""
+    root = staging_dir(g, "interval-join")
+    events = g.spark.read.parquet(f"{g.sf_dir}/events.parquet")
+    events.withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(4))).repartition("part").write.partitionBy("part").parquet(f"{root}/in")
+
+    def stream(kind: str, event_id: str, at: str, *more: str) -> DataFrame:
+        raw = (g.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").option("recursiveFileLookup", "true")
+               .parquet(f"{root}/in"))
+        return raw.filter(F.col("event_type") == kind).select("user_id", F.col("event_id").alias(event_id), F.col("ts").alias(at), *more)
+
+    joined = interval_join.interval_join(stream("view", "view_id", "viewed_at"), stream("purchase", "purchase_id", "bought_at", "value"),
+                                         ["user_id"], "viewed_at", "bought_at", "1 DAY", "40 days")
+    ratings_stream.run_available_now(joined, f"{root}/out", f"{root}/ckpt")
+    return g.spark.read.parquet(f"{root}/out").select(*joined.columns)
+
+
+def _changing_props(events: DataFrame) -> DataFrame:
+    """Events whose JSON has changed over time: another type, new and nested fields, broken and missing objects."""
+    kind = F.col("event_id") % 10
+    return events.withColumn("props", F.when(kind == 0, F.lit('{"k": "many", "extra": 1}')).when(kind == 1, F.lit('{"k": 5, "nested": {"a": [1, 2]}}'))
+                             .when(kind == 2, F.lit('{"k": ')).when(kind == 3, F.lit(None)).otherwise(F.col("props")))
+
+
+O.cte("changing_props", (), """
+  SELECT * REPLACE (CASE event_id % 10 WHEN 0 THEN '{"k": "many", "extra": 1}' WHEN 1 THEN '{"k": 5, "nested": {"a": [1, 2]}}'
+                                       WHEN 2 THEN '{"k": ' WHEN 3 THEN NULL ELSE props END AS props) FROM events""")
+
+
+@register("event_props", O.sql_with("""
+SELECT event_type, count(*) AS n_events, CAST(sum(k) AS BIGINT) AS sum_k, count(*) FILTER (NOT valid) AS n_malformed,
+       count(*) FILTER (valid AND (k IS NULL OR props LIKE '%nested%')) AS n_rescued
+FROM (SELECT event_type, props, json_valid(props) AS valid,
+             CASE WHEN json_valid(props) THEN try_cast(json_extract_string(props, '$.k') AS INTEGER) END AS k FROM changing_props) p
+GROUP BY event_type""", "changing_props"))
+def _props(g: GoldBuild) -> DataFrame:
+    """JSON objects with a declared field and others that come and go: parsed, rescued and marked."""
+    events = _changing_props(g.spark.read.parquet(f"{g.sf_dir}/events.parquet"))
+    parsed = semistructured.parse_object(events, "props", {"k": "int"})
+    return parsed.groupBy("event_type").agg(
+        F.count("*").alias("n_events"), F.sum("k").alias("sum_k"), F.count_if(semistructured.MALFORMED).alias("n_malformed"),
+        F.count(semistructured.RESCUED).alias("n_rescued"))
+
+
+def _drift_sql(buckets: int = 20) -> str:
+    numbers = ("created_day",)
+    other = ("membership_tier", "region", "device_preference")
+    cells = [f"""SELECT '{c}' AS "column", CAST(least(floor(({c} - min({c}) OVER ())::DOUBLE * {buckets} / (max({c}) OVER () - min({c}) OVER ())), {buckets - 1}) AS INTEGER) AS at_,
+       NULL AS v, side FROM sample""" for c in numbers]
+    cells += [f"""SELECT '{c}', NULL, {c}, side FROM sample""" for c in other]
+    return f"""
+WITH RECURSIVE users AS ({O.sql_with("SELECT * FROM stg_user_captures", "stg_user_captures")}),
+sample AS (SELECT if(capture_ts = TIMESTAMP '1996-01-01', 0, 1) AS side, CAST(date_diff('day', DATE '1970-01-01', created_at) AS DOUBLE) AS created_day,
+                  membership_tier, region, device_preference FROM users WHERE capture_ts IN (TIMESTAMP '1996-01-01', TIMESTAMP '2000-01-01')),
+cell AS ({" UNION ALL ".join(cells)}),
+n AS (SELECT "column", at_, v, count(*) FILTER (side = 0) AS b, count(*) FILTER (side = 1) AS a FROM cell GROUP BY ALL),
+t AS (SELECT "column", sum(b) AS n_before, sum(a) AS n_after, count(*) AS cells FROM n GROUP BY "column"),
+c AS (SELECT n.*, t.n_before, t.n_after, (n.b + 0.5)::DOUBLE / (t.n_before + t.cells * 0.5)::DOUBLE AS p, (n.a + 0.5)::DOUBLE / (t.n_after + t.cells * 0.5)::DOUBLE AS q,
+             abs((sum(n.b) OVER w)::DOUBLE / t.n_before::DOUBLE - (sum(n.a) OVER w)::DOUBLE / t.n_after::DOUBLE) AS apart
+      FROM n JOIN t ON t."column" = n."column" WINDOW w AS (PARTITION BY n."column" ORDER BY n.at_))
+SELECT "column", CAST(n_before AS BIGINT) AS n_before, CAST(n_after AS BIGINT) AS n_after, round(sum((q - p) * ln(q / p)), 9) AS psi,
+       round(max(apart) FILTER ("column" = 'created_day'), 9) AS ks, if(sum((q - p) * ln(q / p)) > 0.2, 'fail', 'pass') AS status
+FROM c GROUP BY "column", n_before, n_after"""
+
+
+@register("capture_drift", _drift_sql())
+def _drift(g: GoldBuild) -> DataFrame:
+    """How the users of the last capture differ from those of the first, column by column."""
+    users = g.stg_user_captures.withColumn("created_day", F.unix_date("created_at"))
+    first, last = (users.filter(F.col("capture_ts") == F.lit(d).cast("timestamp")) for d in (g.capture_dates[0], g.capture_dates[-1]))
+    out = drift.drift(first, last, ["created_day"], ["membership_tier", "region", "device_preference"])
+    return out.withColumns({"psi": F.round("psi", 9), "ks": F.round("ks", 9)})
