@@ -180,9 +180,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     links = C.stage(_verified(first, reps, percent), "links-1")
 
     # second round: the pairs of a list between different groups
-    label = links.groupBy(F.col("b").alias("row")).agg(F.min("a").alias("label"))
-    second_hop = label.select(F.col("row").alias("label"), F.col("label").alias("up"))
-    label = label.join(second_hop, "label", "left").select("row", F.coalesce("up", "label").alias("label"))
+    label = connected_components(links, "a", "b").withColumnsRenamed({"node": "row", "root": "label"})
     posted = posted_table = C.stage(lists.drop("core").join(label, "row", "left").withColumn("label", F.coalesce("label", "row")), "postings")
     sizes = (posted.groupBy("key", "label").agg(F.count("*").alias("size"))
              .groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("main"),

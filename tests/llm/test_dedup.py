@@ -149,3 +149,37 @@ def test_words_and_window_hashes():
         assert len(keys) == len(x.starts) - n + 1
         assert all((keys[a] == keys[a + 22]) for a in range(len(keys) - 22))
         assert len(set(keys.tolist())) == 22
+
+
+def straddling_family(members, n_words, seed):
+    """Copies of one text that is not among them, each with edits of its own: their pairs lie around the threshold."""
+    r = random.Random(seed)
+    base = [f"w{r.randint(0, 10**9)}" for _ in range(n_words)]
+    rows = []
+    for i in range(members):
+        w = list(base)
+        for k in range(0, n_words, n_words // max(1, n_words // 100 + i % (n_words // 50))):
+            w[r.randint(k, min(n_words - 1, k + 9))] = f"own{r.randint(0, 10**9)}"
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+def test_family_around_the_threshold(spark):
+    rows = straddling_family(45, 300, 3) + straddling_family(12, 1500, 4)
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(documents(spark, rows)).collect()}
+    want = brute_components(rows)
+    assert got == {r[0]: (r[1], r[2]) for r in want} if not isinstance(want, dict) else got == want
+
+
+def test_candidates_do_not_grow_with_the_square_of_a_family(spark, monkeypatch):
+    from reelhouse.llm import ngram_join
+    tested, verified = [], ngram_join._verified
+    monkeypatch.setattr(ngram_join, "_verified", lambda pairs, reps, percent: (tested.append(pairs.count()), verified(pairs, reps, percent))[1])
+    counts = []
+    for members in (60, 300):
+        tested.clear()
+        ngram_join.jaccard_links(documents(spark, straddling_family(members, 300, 5)))
+        counts.append(sum(tested))
+    print("pairs tested", counts)
+    assert counts[1] <= 7 * counts[0]
