@@ -274,7 +274,7 @@ def test_pipeline_on_an_empty_table(spark):
 
 def test_entry_has_all_queries():
     names = set(entry.queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
 
 
@@ -282,7 +282,7 @@ def test_entry_has_all_queries():
 def duck():
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return con
 
