@@ -204,39 +204,65 @@ def test_copies_of_a_clean_text_stay_for_the_near_duplicate_stage(spark):
 # --- 9: licences ---------------------------------------------------------------------------------
 def brute_licenses(rows, percent=80):
     import re
+    known = [(kind, name, licenses.template_words(text), set(licenses.template_bigrams(text)))
+             for kind, texts in licenses.TEMPLATES.items() for name, text in texts.items()]
     out = []
     for i, t in rows:
-        if t is None:
-            continue
-        parts = t.split("\n")
-        units = [(k + 1, x) for k, x in enumerate(parts)] + ([(0, t)] if len(parts) > 1 else [])
-        for no, unit in units:
-            w = [x for x in re.sub(r"[\W_]+", " ", unit.lower()).split(" ") if x]
-            grams = {f"{a} {b}" for a, b in zip(w, w[1:])}
-            best = []
-            for name, text in licenses.NOTICES.items():
-                b = set(licenses.template_bigrams(text))
-                c = len(grams & b)
-                if grams and 200 * c >= percent * (len(grams) + len(b)):
-                    best.append((-round(2 * c / (len(grams) + len(b)), 6), name, c, len(grams), len(b)))
-            if best:
-                d, name, c, n, m = min(best)
-                out.append((i, no, name, c, n, m, -d))
+        w = [x for x in re.sub(r"[\W_]+", " ", (t or "").lower()).split(" ") if x]
+        grams = [f"{a} {b}" for a, b in zip(w, w[1:])]
+        found = []
+        for kind, name, template, b in known:
+            for s in range(len(grams)):
+                if grams[s] in b:
+                    g = set(grams[s:s + len(template) - 1])
+                    c = len(g & b)
+                    if 200 * c >= percent * (len(g) + len(b)):
+                        found.append((-round(2 * c / (len(g) + len(b)), 6), -len(b), s, name, kind, c, len(g), w[s:s + len(template)]))
+        for m in found:
+            if not any(o[:5] < m[:5] and o[2] < m[2] + len(m[7]) and m[2] < o[2] + len(o[7]) for o in found):
+                out.append((i, m[2], len(m[7]), m[3], m[4], m[5], m[6], -m[1], -m[0], " ".join(m[7])))
     return sorted(out, key=str)
 
 
 def test_licences(spark):
-    mit, apache = licenses.NOTICES["MIT"], licenses.NOTICES["Apache-2.0"]
-    rows = ROWS + [(30, mit.upper() + "\n\n"), (31, "* " + apache.replace(" ", "   ") + " *"), (32, f"x {mit} y z"), (33, mit + " " + LONG),
-                   (34, "released under\nthe mit license"), (None, mit), (30, mit), (35, "a " * 3000 + mit)]
+    mit, apache, body = licenses.NOTICES["MIT"], licenses.NOTICES["Apache-2.0"], licenses.TEXTS
+    commented = "\n".join(" * " + x.strip() for x in licenses.HEADERS["Apache-2.0"].split("\n"))
+    edited = body["MIT"].replace("Software", "Program").replace("to deal in", "to handle").replace("FREE", "no")
+    rows = ROWS + [
+        (30, mit.upper() + "\n\n"), (31, "* " + apache.replace(" ", "   ") + " *"), (32, f"x {mit} y z"), (33, mit + " " + LONG),
+        (34, "released under\nthe mit license"), (None, mit), (30, mit), (35, "a " * 3000 + mit),
+        (36, prose(50, 90) + "\nThis file is released under\n# the MIT License. See there.\n" + prose(50, 91)),
+        (37, f"/*\n{commented}\n */\n" + prose(60, 92)), (38, "Copyright someone\n\n" + body["BSD-3-Clause"]),
+        (39, body["BSD-2-Clause"]), (40, edited), (41, f"{mit} {apache} {mit} {mit}"), (42, body["MIT"][:1100]),
+        (43, body["MIT"][:400]), (44, "// SPDX-License-Identifier: BSD-3-Clause\n" + prose(30, 93)),
+        (45, "the license of the software and the copyright of the holders " * 40), (46, licenses.HEADERS["GPL-3.0"] + body["ISC"]),
+        (47, licenses.HEADERS["GPL-2.0"]), (48, " ".join([mit, "and"] * 700))]
     plan = licenses.license_matches(documents(spark, rows).select("doc_id", "text"))._jdf.queryExecution().optimizedPlan().toString()
-    assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Join"))
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Join", "Exchange")) and plan.count("split(") == 1
     got = licenses.license_matches(documents(spark, rows)).collect()
     assert sorted(map(tuple, got), key=str) == brute_licenses(rows)
-    assert {(r.doc_id, r.line_no) for r in got} >= {(30, 1), (31, 1), (34, 0), (None, 1), (18, 1)}
+    found = defaultdict(list)
+    for r in sorted(got, key=lambda r: r.start):
+        found[r.doc_id].append((r.license, r.kind))
+    assert found[30] == [("MIT", "notice")] * 2 and found[34] == found[36] == found[32] == found[None] == [("MIT", "notice")]
+    assert found[37] == [("Apache-2.0", "header")] and found[38] == [("BSD-3-Clause", "text")]
+    assert found[39] == [("BSD-2-Clause", "text")] and found[40] == found[42] == [("MIT", "text")] and 43 not in found
+    assert found[41] == [("MIT", "notice"), ("Apache-2.0", "notice"), ("MIT", "notice"), ("MIT", "notice")]
+    assert found[44] == [("BSD-3-Clause", "tag")] and 45 not in found and len(found[48]) == 700
+    assert found[46] == [("GPL-3.0", "header"), ("ISC", "text")] and found[47] == [("GPL-2.0", "header")]
     assert licenses.license_matches(empty(spark)).isEmpty()
 
 
+def test_licences_of_own_templates(spark):
+    rows = [(1, "one two three four five six"), (2, "zero one two THREE, four\nfive six"), (3, "one three two")]
+    own = {"house": {"A": "one two three four", "B": "one two three four five six", "none": "single"}}
+    got = licenses.license_matches(documents(spark, rows), own).collect()
+    assert sorted((r.doc_id, r.start, r.license, r.run) for r in got) == [
+        (1, 0, "B", "one two three four five six"), (2, 1, "B", "one two three four five six")]
+    with pytest.raises(ValueError):
+        licenses.license_matches(documents(spark, rows), {"house": {"none": "single", "empty": " - "}})
+
+
 # --- the pipeline and the registered queries ----------------------------------------------------
 def test_pipeline_equals_its_stages_by_brute_force(spark):
     """Each stage judged on its own input, over all rows."""
