@@ -12,6 +12,10 @@ scanned from storage (column-pruned) by the mart and the checks instead of being
 recomputed from its lineage.  A run becomes visible when its folder is appended to
 the log of the gold layer; a run that fails midway leaves the last one in place.
 
+With ``incremental`` the delivered ratings are what is new (or late, or delivered again): the fact of
+the last run is taken over year by year, only touched years are written (``streaming.fact_parts``),
+and changed titles and users are carried into the rows that have them.
+
 Lines of the delivered files that do not fit their schema are in no table: they are kept in the run's
 folder and counted per source, and a run with any has the status ``fail``.
 """
@@ -34,6 +38,7 @@ from reelhouse.plans.gold import GoldBuild
 from reelhouse.session import size_shuffles_for
 from reelhouse.sources import counts as counts_src
 from reelhouse.sources import files, sinks
+from reelhouse.streaming import fact_parts
 
 LOG = "_log"
 
@@ -75,7 +80,25 @@ class GoldTables:
         return f"{self.root}/{name}"
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.parquet(self.path(name))
+        parts = self.parts(spark) if name == "fact_viewership" else None
+        if parts is None:
+            return spark.read.parquet(self.path(name))
+        return fact_parts.read_parts(spark, parts, self.read(spark, "fact_schema").schema)
+
+    def parts(self, spark: SparkSession) -> fact_parts.Parts | None:
+        """Where the years of an incremental run's fact lie; None after a full run."""
+        rows = read_or_none(spark, self.path("fact_parts"), "year int, folder string")
+        return None if rows is None else [tuple(r) for r in rows.collect()]
+
+
+def read_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """The Parquet table at ``path``; None if there is none."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def publish(spark: SparkSession, out_root: str, name: str, path: str) -> None:
@@ -87,12 +110,9 @@ def publish(spark: SparkSession, out_root: str, name: str, path: str) -> None:
 
 def current(spark: SparkSession, out_root: str, name: str) -> str | None:
     """Path of the current version of ``name``; None if there has been none."""
-    try:
-        log = spark.read.schema("name string, path string, at long").parquet(f"{out_root}/{LOG}")
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    log = read_or_none(spark, f"{out_root}/{LOG}", "name string, path string, at long")
+    if log is None:
+        return None
     row = log.filter(F.col("name") == name).agg(F.max_by("path", "at").alias("path")).first()
     return row["path"]
 
@@ -137,8 +157,28 @@ def run_concurrently(*steps) -> list:
         return [f.result() for f in futures]
 
 
-def materialize_gold(g: GoldBuild, root: str, fact_partition_by=("rating_year",)) -> GoldTables:
-    """Write dims, fact (partitioned by year), histogram and mart under ``root``."""
+def advance_fact(spark: SparkSession, last: GoldTables | None, out: GoldTables, arrived: DataFrame, schema) -> None:
+    """Write the fact of an incremental run: its touched years, its pending ratings and the list of all parts."""
+    def was(name):
+        return last.read(spark, name) if last else None
+
+    parts, pending = [], None
+    if last:
+        parts = last.parts(spark)
+        if parts is None:
+            parts = fact_parts.parts_of(spark, last.path("fact_viewership"))
+        events = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in arrived.select(*fact_parts.EVENT).schema)
+        pending = read_or_none(spark, last.path("pending_ratings"), events)
+    parts = fact_parts.advance_fact(spark, parts, out.path("fact_viewership"), out.path("pending_ratings"), arrived, pending,
+                                    out.read(spark, "dim_content"), out.read(spark, "dim_user"), was("dim_content"), was("dim_user"))
+    sinks.write_gold(spark.createDataFrame([], schema), out.path("fact_schema"))
+    sinks.write_gold(spark.createDataFrame(parts, "year int, folder string").coalesce(1), out.path("fact_parts"))
+
+
+def materialize_gold(g: GoldBuild, root: str, fact_partition_by=("rating_year",), last: GoldTables | None = None,
+                     incremental: bool = False) -> GoldTables:
+    """Write dims, fact (partitioned by year), histogram and mart under ``root``; with ``incremental`` the
+    fact is that of the run ``last`` (None: there was none) with the ratings of ``g`` brought in."""
     spark = g.spark
     out = GoldTables(root.rstrip("/"))
 
@@ -161,7 +201,8 @@ def materialize_gold(g: GoldBuild, root: str, fact_partition_by=("rating_year",)
     gf = GoldBuild(spark, g.sf_dir, g.current_year, g.capture_dates, g.prior,
                    overrides={**g.overrides, "dim_user": dim_user, "dim_content": dim_content,
                               "raw_ratings": g.raw_ratings})
-    timed("fact_build", lambda: sinks.write_gold(gf.fact, out.path("fact_viewership"), list(fact_partition_by)))
+    timed("fact_build", lambda: advance_fact(spark, last, out, gf.stg_ratings, gf.fact.schema) if incremental else
+          sinks.write_gold(gf.fact, out.path("fact_viewership"), list(fact_partition_by)))
     fact = out.read(spark, "fact_viewership")
 
     def build_mart():
@@ -189,9 +230,13 @@ def check_gold(spark: SparkSession, tables: GoldTables) -> tuple[DataFrame, Data
 
 
 def run_pipeline(spark: SparkSession, sources: str | SourceFiles, out_root: str, run_id: str,
-                 raise_on_fail: bool = False, input_bytes: int | None = None) -> dict:
+                 raise_on_fail: bool = False, input_bytes: int | None = None, incremental: bool = False) -> dict:
     """Build, check and publish the gold layer; append the audit row in any case.
 
+    ``incremental``: the ratings are a delivery to bring into the last published fact (titles and users
+    are delivered whole).  Ratings without a title or user wait for one from run to run; a full run
+    starts anew from its own sources and leaves none waiting.
+
     ``sources`` names delivered files, or a folder with the driver's tables.
     ``input_bytes`` (size of the raw inputs, if known) sizes the initial shuffle partition
     count for AQE.  The status is ``pass`` only if the reports and all contracts pass; with
@@ -221,7 +266,7 @@ def run_pipeline(spark: SparkSession, sources: str | SourceFiles, out_root: str,
                 name: (lambda _, df: df, df) for name, df in
                 (("ratings", g.raw_ratings), ("movies", g.raw_movies), ("tags", g.raw_tags),
                  ("users", g.raw_user_captures))})
-        tables = materialize_gold(g, root)
+        tables = materialize_gold(g, root, last=current_gold(spark, out_root) if incremental else None, incremental=incremental)
         report, fact_report, contracts = check_gold(spark, tables)
         bad = report.filter("status <> 'pass'").count() + fact_report.filter("status <> 'pass'").count()
         status = "fail" if status or bad or not contracts.filter("violations > 0").isEmpty() else "pass"

@@ -13,7 +13,7 @@ from reelhouse.operators import bitemporal, comparison, drift, facts, history, i
 from reelhouse.plans import oracle as O
 from reelhouse.plans.gold import GoldBuild
 from reelhouse.plans.registry import register, staging_dir
-from reelhouse.sources import fixtures, semistructured, sinks
+from reelhouse.sources import files, fixtures, semistructured, sinks
 from reelhouse.streaming import incremental, interval_join, ratings_stream, sessions
 
 # Fixed values.
@@ -240,6 +240,28 @@ def _corrected(g: GoldBuild) -> DataFrame:
     return g.spark.read.parquet(path).select(*g.fact.columns)
 
 
+@register("hourly_pipeline", O.sql_with("SELECT * FROM fact", "fact"))
+def _hourly(g: GoldBuild) -> DataFrame:
+    """L2 by increments: three deliveries of ratings in no order of time, each repeating a third of the last; titles
+    come first with wrong years (a tenth) or not at all (a ninth), users with a new capture each.  Returns the fact."""
+    from reelhouse.plans import pipeline
+    root, out = staging_dir(g, "hourly-deliveries"), staging_dir(g, "hourly")
+    files.write_csv(g.raw_tags, f"{root}/tags")
+    key = F.pmod(F.xxhash64("title"), F.lit(90))
+    wrong = F.when(key < 9, F.regexp_replace("title", r"\(\d{4}\)", "(1931)")).otherwise(F.col("title"))
+    files.write_csv(g.raw_movies.filter(key < 80).withColumn("title", wrong), f"{root}/movies-0")
+    files.write_csv(g.raw_movies, f"{root}/movies-1")
+    names = g.raw_ratings.columns
+    lot = F.pmod(F.xxhash64(*names), F.lit(9))
+    for i, day in enumerate(g.capture_dates):
+        files.write_csv(g.raw_ratings.filter(lot.between(3 * i - 1, 3 * i + 2)), f"{root}/ratings-{i}")
+        users = g.raw_user_captures.filter(F.col("capture_ts") == F.lit(day).cast("timestamp")).drop("capture_ts")
+        files.write_csv(users, f"{root}/users-{i}")
+        src = pipeline.SourceFiles(f"{root}/ratings-{i}", f"{root}/movies-{min(i, 1)}", f"{root}/tags", f"{root}/users-{i}", day)
+        pipeline.run_pipeline(g.spark, src, out, run_id=f"hour-{i}", incremental=True)
+    return pipeline.current_gold(g.spark, out).read(g.spark, "fact_viewership").select(*g.fact.columns)
+
+
 # --- two streams, semi-structured fields, drift -------------------------------------------------------------
 @register("stream_interval_join", """
 SELECT v.user_id, v.event_id AS view_id, v.ts AS viewed_at, p.event_id AS purchase_id, p.ts AS bought_at, p.value
