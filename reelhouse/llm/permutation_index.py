@@ -2,14 +2,15 @@
 
 A vector is represented by its nearest pivots in order of nearness.  It is posted, with
 the pivot's place in that order, in the inverted file of each of these pivots.  A query opens
-the files of its own nearest pivots and adds up Spearman's footrule: the distance
-between the two places of a pivot, or the full length where the vector is not in the file.
-The vectors of least footrule are ranked again by the exact cosine.
+the files of a few of its own nearest pivots only and adds up, over the vectors posted there, how far
+Spearman's footrule falls short of its largest value: the posted length less the distance between the
+two places of the pivot.  Vectors in none of the opened files cost nothing.  Those of least footrule are
+ranked again by the exact cosine.
 
-The files are built per block of vectors, so neither a file nor a task grows with the corpus;
-queries are met block by block.  Pivots are a bounded sample (the rows of smallest hash),
-every row is indexed, and of every block the same share is ranked exactly (at least k + 1 vectors): a
-small block is not searched more closely than a full one.
+The files are built per block of vectors, so neither a file nor a task grows with the corpus.  A block is
+read once and the query blocks stream past it.  Pivots are a bounded sample (of the rows of smallest hash, the
+first different vectors), every row is indexed, and of every block the same share is ranked exactly (at least
+k + 1 vectors): a small block is not searched more closely than a full one.
 
 Defined cases: vectors that are null, empty, zero, of another length than most, or hold a
 null or non-finite component are neither indexed nor searched; a query's own row (and any row
@@ -22,7 +23,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -30,10 +30,14 @@ from pyspark.sql import functions as F
 
 from reelhouse.llm.chunks import stage
 
-PIVOTS = 256
-POSTED = 128          # nearest pivots under which a vector is posted, 255 at most
-BLOCK = 4096          # vectors per block of inverted files, and queries per query block
-SHARE = 0.375         # of a block that is ranked by cosine
+PIVOTS = 1024
+POSTED = 192          # nearest pivots under which a vector is posted, 256 at most
+OPENED = 64           # nearest pivots whose files a query opens
+BLOCK = 4096          # vectors per block of inverted files, 65536 at most
+QUERIES = 512         # queries per query block
+SHARE = 3 / 32        # of a block that is ranked by cosine
+SAMPLED = 4           # rows drawn per pivot, so that copies of one vector do not use the pivots up
+BROADCAST_BLOCKS = 1_000_000   # block numbers, 8 bytes each, that are broadcast at most
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -72,31 +76,42 @@ def cosines(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (x * q).sum(axis=1) / (_norms(x) * np.sqrt((q * q).sum()))
 
 
-def nearest_pivots(x: np.ndarray, pivots: np.ndarray, posted: int) -> np.ndarray:
-    """Numbers of the nearest pivots of each unit vector, nearest first."""
-    return np.argsort(-(x @ pivots.T), axis=1)[:, :posted]
+def nearest_pivots(x: np.ndarray, pivots: np.ndarray, count: int) -> np.ndarray:
+    """Numbers of the ``count`` nearest pivots of each unit vector, nearest first."""
+    far = -(x @ pivots.T)
+    some = np.sort(np.argpartition(far, count - 1, axis=1)[:, :count], axis=1)
+    order = np.argsort(np.take_along_axis(far, some, axis=1), axis=1, kind="stable")
+    return np.take_along_axis(some, order, axis=1)
+
+
+def choose_pivots(rows: DataFrame, count: int) -> np.ndarray:
+    """At most ``count`` different unit vectors: of the ``SAMPLED`` x ``count`` rows of smallest hash the first."""
+    sample = rows.orderBy(F.xxhash64("id"), "id", "vec").limit(SAMPLED * count).collect()  # bounded
+    different = list(dict.fromkeys(tuple(r["vec"]) for r in sample))[:count]
+    return _unit(np.array(different)) if different else np.empty((0, 0))
+
+
+INDEX = "block long, query_block long, ids binary, vecs binary, lengths binary, members binary, places binary"
 
 
 def build_index(rows: DataFrame, pivots: np.ndarray, posted: int = POSTED, block: int = BLOCK) -> DataFrame:
-    """Inverted files: a row (block, pivot, members, places) per block and pivot, and a row with
-    pivot -1 that holds the block's ids (members) and vectors (places)."""
-    schema = pa.schema([("block", pa.int64()), ("pivot", pa.int32()), ("members", pa.binary()),
-                        ("places", pa.binary())])
+    """A row per block of vectors: its ids and vectors, and its inverted files end to end, in order of pivots,
+    each file in order of places (``lengths`` of the files, ``members``: numbers within the block)."""
+    schema = pa.schema([("block", pa.int64()), ("query_block", pa.int64())]
+                       + [(c, pa.binary()) for c in ("ids", "vecs", "lengths", "members", "places")])
 
     def files(number: int, ids: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
         order = np.argsort(ids, kind="stable")  # member order is id order: ties go to smaller ids
         ids, x = ids[order], x[order].astype("<f8")
         near = nearest_pivots(_unit(x), pivots, posted)
-        member = np.repeat(np.arange(len(ids), dtype="<u2"), near.shape[1])
-        place = np.tile(np.arange(near.shape[1], dtype="<u2"), len(ids))
-        by = np.argsort(near.reshape(-1), kind="stable")
-        cuts = np.searchsorted(near.reshape(-1)[by], np.arange(len(pivots) + 1))
-        member, place = member[by], place[by]
-        spans = [(p, a, b) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+        places = np.arange(posted, dtype=np.int32)
+        key = (near.astype(np.int32) * posted + places).reshape(-1)
+        by = np.argsort(key, kind="stable")
+        lengths = np.bincount(near.reshape(-1), minlength=len(pivots))
         return pa.RecordBatch.from_pydict(
-            {"block": [number] * (len(spans) + 1), "pivot": [-1] + [p for p, _, _ in spans],
-             "members": [ids.astype("<i8").tobytes()] + [member[a:b].tobytes() for _, a, b in spans],
-             "places": [x.tobytes()] + [place[a:b].tobytes() for _, a, b in spans]}, schema=schema)
+            {"block": [number], "query_block": [None], "ids": [ids.astype("<i8").tobytes()], "vecs": [x.tobytes()],
+             "lengths": [lengths.astype("<u4").tobytes()], "members": [(by // posted).astype("<u2").tobytes()],
+             "places": [(key[by] % posted).astype("u1").tobytes()]}, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, ids, xs, n = TaskContext.get().partitionId() << 32, [], [], 0
@@ -113,7 +128,7 @@ def build_index(rows: DataFrame, pivots: np.ndarray, posted: int = POSTED, block
         if n:
             yield files(number, np.concatenate(ids), np.concatenate(xs))
 
-    return stage(rows.mapInArrow(run, "block long, pivot int, members binary, places binary"), "inverted-files")
+    return stage(rows.mapInArrow(run, INDEX), "inverted-files")
 
 
 def ranked_exactly(size: int, k: int) -> int:
@@ -121,75 +136,90 @@ def ranked_exactly(size: int, k: int) -> int:
     return min(size, max(k + 1, int(np.ceil(SHARE * size))))
 
 
-def _search_block(files: pd.DataFrame, queries: list[tuple[int, np.ndarray]], pivots: np.ndarray, posted: int,
-                  k: int) -> pd.DataFrame:
-    own = files["pivot"].to_numpy() == -1
-    ids = np.frombuffer(files.loc[own, "members"].iloc[0], "<i8")
-    x = _scaled(np.frombuffer(files.loc[own, "places"].iloc[0], "<f8").reshape(len(ids), -1))
-    # the block's inverted files side by side: a row per pivot, ``posted`` for vectors not in its file
-    lists = np.full((len(pivots), len(ids)), posted, dtype=np.uint8)
-    for p, members, places in files.loc[~own, ["pivot", "members", "places"]].itertuples(index=False):
-        lists[p, np.frombuffer(members, "<u2")] = np.frombuffer(places, "<u2")
-    take = ranked_exactly(len(ids), k)
-    q = _scaled(np.array([v for _, v in queries]))
-    near = nearest_pivots(_unit(q), pivots, posted)
-    own_place = np.arange(near.shape[1], dtype=np.uint8)[:, None]
-    out = []
-    for (qid, _), query, order in zip(queries, q, near):
-        opened = lists[order]
-        foot = (np.maximum(opened, own_place) - np.minimum(opened, own_place)).sum(axis=0, dtype=np.int64)
-        foot[ids == qid] = np.iinfo(np.int32).max
-        ranked = foot * len(ids) + np.arange(len(ids))  # ties to smaller ids
+class Block:
+    """One block's inverted files, opened for queries."""
+
+    def __init__(self, row: dict, posted: int):
+        self.posted = posted
+        self.ids = np.frombuffer(row["ids"], "<i8")
+        self.x = _scaled(np.frombuffer(row["vecs"], "<f8").reshape(len(self.ids), -1))
+        self.ends = np.concatenate([[0], np.cumsum(np.frombuffer(row["lengths"], "<u4"), dtype=np.int64)])
+        self.members = np.frombuffer(row["members"], "<u2").astype(np.int32)
+        self.places = np.frombuffer(row["places"], "u1").astype(np.int16)
+
+    def footrules(self, order: np.ndarray) -> np.ndarray:
+        """Per vector, what its footrule to a query with these nearest pivots lacks of the largest, by the opened files."""
+        spans = [(self.ends[p], self.ends[p + 1]) for p in order]
+        members = np.concatenate([self.members[a:b] for a, b in spans])
+        near = np.concatenate([self.posted - np.abs(self.places[a:b] - own) for own, (a, b) in enumerate(spans)])
+        return np.bincount(members, weights=near, minlength=len(self.ids)).astype(np.int64)
+
+    def nearest(self, qid: int, query: np.ndarray, order: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, cosines) of the k best of the block's share of least footrule."""
+        near, size = self.footrules(order), len(self.ids)
+        near[self.ids == qid] = -1
+        ranked = -near * size + np.arange(size)  # ties to smaller ids
+        take = ranked_exactly(size, k)
         best = np.argpartition(ranked, take - 1)[:take]
-        best = best[ids[best] != qid]
-        score = cosines(x[best], query)
-        best, score = (v[np.lexsort((ids[best], -score))[:k]] for v in (best, score))
-        out.append((np.full(len(best), qid), ids[best], score))
-    return pd.DataFrame({c: np.concatenate(v) for c, v in zip(("query_id", "vec_id", "score"), zip(*out))})
+        best = best[self.ids[best] != qid]
+        score = cosines(self.x[best], query)
+        top = np.lexsort((self.ids[best], -score))[:k]
+        return self.ids[best][top], score[top]
+
+
+def query_blocks(asked: DataFrame) -> DataFrame:
+    """(query_block, ids, vecs): the queries in blocks of ``QUERIES`` at most, staged."""
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for at in range(0, batch.num_rows, QUERIES):
+                part = batch.slice(at, QUERIES)
+                yield pa.RecordBatch.from_pydict(
+                    {"query_block": [number], "ids": [part.column(0).to_numpy().astype("<i8").tobytes()],
+                     "vecs": [_matrix(part.column(1)).astype("<f8").tobytes()]})
+                number += 1
+
+    return stage(asked.coalesce(max(1, asked.rdd.getNumPartitions() // 8))
+                 .mapInArrow(blocks, "query_block long, ids binary, vecs binary"), "query-blocks")
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
-            pivots: int = PIVOTS, posted: int = POSTED) -> DataFrame:
+            pivots: int = PIVOTS, posted: int = POSTED, opened: int = OPENED) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of every row where the condition
     ``is_query`` (on a column ``id``) holds, by cosine."""
     rows = usable(vectors, id_col, vec_col)
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(pivots).collect()  # bounded by ``pivots``
-    if not sample:
+    base = choose_pivots(rows, pivots)
+    if not len(base):
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    base = _unit(np.array([r["vec"] for r in sample]))
     posted = min(posted, len(base))
+    opened = min(opened, posted)
     index = build_index(rows, base, posted)
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+    queries = query_blocks(rows.filter(is_query).dropDuplicates(["id"]))
+    numbers = index.select("block")
+    blocks = numbers.count()
+    # the stated query set meets all rows, in blocks: queries are copied to the blocks, a block is sent once
+    sent = queries.crossJoin(F.broadcast(numbers) if blocks <= BROADCAST_BLOCKS else numbers)
+    met = (index.unionByName(sent, allowMissingColumns=True).repartition(blocks, "block")
+           .sortWithinPartitions("block", F.col("query_block").asc_nulls_first()))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files = None
         for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(at, BLOCK)
+            for i in range(batch.num_rows):
+                row = {c: v[0] for c, v in batch.slice(i, 1).to_pydict().items()}
+                if row["query_block"] is None:
+                    files = Block(row, posted)
+                    continue
+                ids = np.frombuffer(row["ids"], "<i8")
+                q = _scaled(np.frombuffer(row["vecs"], "<f8").reshape(len(ids), -1))
+                found = [files.nearest(qid, v, order, k)
+                         for qid, v, order in zip(ids, q, nearest_pivots(_unit(q), base, opened))]
                 yield pa.RecordBatch.from_pydict(
-                    {"query_block": [number], "ids": [part.column(0).to_numpy().astype("<i8").tobytes()],
-                     "vecs": [_matrix(part.column(1)).astype("<f8").tobytes()]})
-                number += 1
+                    {"query_id": np.repeat(ids, [len(f) for f, _ in found]),
+                     "vec_id": np.concatenate([f for f, _ in found]),
+                     "score": np.concatenate([s for _, s in found])})
 
-    asked = rows.filter(is_query).dropDuplicates(["id"])
-    queries = stage(asked.coalesce(max(1, asked.rdd.getNumPartitions() // 8))
-                    .mapInArrow(blocks, "query_block long, ids binary, vecs binary"), "query-blocks")
-    numbers = index.filter("pivot = -1").select("block")
-    # the stated query set meets all rows, in blocks: one task per block of vectors and of queries
-    grid = numbers.join(F.broadcast(queries.select("query_block")))
-    left = index.join(grid, "block").withColumn("ids", F.lit(None).cast("binary")).withColumn(
-        "vecs", F.lit(None).cast("binary"))
-    right = grid.join(queries, "query_block").select(
-        "block", F.lit(-2).alias("pivot"), F.lit(None).cast("binary").alias("members"),
-        F.lit(None).cast("binary").alias("places"), "query_block", "ids", "vecs")
-
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        mine = pdf["pivot"] == -2
-        ids = np.frombuffer(pdf.loc[mine, "ids"].iloc[0], "<i8")
-        vecs = np.frombuffer(pdf.loc[mine, "vecs"].iloc[0], "<f8").reshape(len(ids), -1)
-        return _search_block(pdf.loc[~mine, ["pivot", "members", "places"]],
-                             [(int(i), v) for i, v in zip(ids, vecs)], base, posted, k)
-
-    found = (left.unionByName(right).groupBy("block", "query_block")
-             .applyInPandas(search, "query_id long, vec_id long, score double"))
+    found = met.mapInArrow(search, "query_id long, vec_id long, score double")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

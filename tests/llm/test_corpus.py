@@ -143,6 +143,34 @@ def test_recall_over_full_blocks(spark):
     assert len(got) == 5 * len(q) and recall >= 0.9
 
 
+def test_pivots_are_different_vectors(spark):
+    """A vector that a third of the rows repeat is one pivot, and its copies tie to smaller ids."""
+    r = np.random.default_rng(5)
+    x = np.concatenate([np.repeat(r.normal(size=(1, 16)), 150, axis=0), r.normal(size=(300, 16))])
+    schema = "vec_id long, embedding array<double>, block string, ids string, score string"
+    table = spark.createDataFrame([(i, v.tolist(), "c", "c", "c") for i, v in enumerate(x)], schema).repartition(3)
+    rows = permutation_index.usable(table, "vec_id", "embedding")
+    assert len(permutation_index.choose_pivots(rows, 1000)) == 301
+    assert len(permutation_index.choose_pivots(rows, 40)) == 40
+    got = [(row.rank, row.vec_id) for row in nearest(table, F.col("id") == 100).collect()]
+    assert sorted(got) == [(1, 0), (2, 1), (3, 2), (4, 3), (5, 4)]
+
+
+def test_only_opened_files_are_read(spark):
+    r = np.random.default_rng(6)
+    x = r.normal(size=(600, 16))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    rows = permutation_index.usable(table.coalesce(1), "vec_id", "embedding")
+    base = permutation_index.choose_pivots(rows, 64)
+    row = permutation_index.build_index(rows, base, 16).collect()[0]
+    near = permutation_index.nearest_pivots(permutation_index._unit(x), base, 16)
+    assert (near == np.argsort(-(permutation_index._unit(x) @ base.T), axis=1)[:, :16]).all()
+    block = permutation_index.Block(row.asDict(), 16)
+    order = near[7][:4]
+    want = [sum(16 - abs(list(v).index(p) - own) for own, p in enumerate(order) if p in v) for v in near]
+    assert block.footrules(order).tolist() == want and 0 in want
+
+
 # --- 8: line frequency ------------------------------------------------------------------------
 def test_base_statistics_by_brute_force(spark):
     got = line_frequency.line_frequency_rules(documents(spark)).collect()
