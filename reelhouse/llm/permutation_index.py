@@ -8,9 +8,10 @@ two places of the pivot.  Vectors in none of the opened files cost nothing.  Tho
 ranked again by the exact cosine.
 
 The files are built per block of vectors, so neither a file nor a task grows with the corpus.  A block is
-read once and the query blocks stream past it.  Pivots are a bounded sample (of the rows of smallest hash, the
-first different vectors), every row is indexed, and of every block the same share is ranked exactly (at least
-k + 1 vectors): a small block is not searched more closely than a full one.
+read once and the query blocks stream past it.  Equal vectors of a block are posted once, with all their
+ids, so that a very common vector crowds no other out.  Pivots are a bounded sample (of the rows of smallest hash, the
+first different vectors), every row is indexed, and of every block the same share of its different vectors is ranked
+exactly (at least k + 1 of them): a small block is not searched more closely than a full one.
 
 Defined cases: vectors that are null, empty, zero, of another length than most, or hold a
 null or non-finite component are neither indexed nor searched; a query's own row (and any row
@@ -32,10 +33,10 @@ from reelhouse.llm.chunks import stage
 
 PIVOTS = 1024
 POSTED = 192          # nearest pivots under which a vector is posted, 256 at most
-OPENED = 64           # nearest pivots whose files a query opens
+OPENED = 96           # nearest pivots whose files a query opens
 BLOCK = 4096          # vectors per block of inverted files, 65536 at most
 QUERIES = 512         # queries per query block
-SHARE = 3 / 32        # of a block that is ranked by cosine
+SHARE = 1 / 8         # of a block's different vectors that is ranked by cosine
 SAMPLED = 4           # rows drawn per pivot, so that copies of one vector do not use the pivots up
 BROADCAST_BLOCKS = 1_000_000   # block numbers, 8 bytes each, that are broadcast at most
 
@@ -91,25 +92,31 @@ def choose_pivots(rows: DataFrame, count: int) -> np.ndarray:
     return _unit(np.array(different)) if different else np.empty((0, 0))
 
 
-INDEX = "block long, query_block long, ids binary, vecs binary, lengths binary, members binary, places binary"
+INDEX = ("block long, query_block long, ids binary, copies binary, vecs binary, lengths binary, members binary, "
+         "places binary")
 
 
 def build_index(rows: DataFrame, pivots: np.ndarray, posted: int = POSTED, block: int = BLOCK) -> DataFrame:
-    """A row per block of vectors: its ids and vectors, and its inverted files end to end, in order of pivots,
-    each file in order of places (``lengths`` of the files, ``members``: numbers within the block)."""
+    """A row per block of vectors: its different vectors, in order of their smallest ids, with the ids of each
+    (``copies`` of them), and its inverted files end to end, in order of pivots, each file in order of places
+    (``lengths`` of the files, ``members``: numbers of different vectors)."""
     schema = pa.schema([("block", pa.int64()), ("query_block", pa.int64())]
-                       + [(c, pa.binary()) for c in ("ids", "vecs", "lengths", "members", "places")])
+                       + [(c, pa.binary()) for c in ("ids", "copies", "vecs", "lengths", "members", "places")])
 
     def files(number: int, ids: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
-        order = np.argsort(ids, kind="stable")  # member order is id order: ties go to smaller ids
-        ids, x = ids[order], x[order].astype("<f8")
+        order = np.argsort(ids, kind="stable")
+        ids, x = ids[order], np.ascontiguousarray(x[order], "<f8")
+        _, first, group = np.unique(x.view(f"V{x.shape[1] * 8}").reshape(-1), return_index=True, return_inverse=True)
+        number_of = np.argsort(np.argsort(first))[group]  # in order of smallest ids: ties go to smaller ids
+        ids, x = ids[np.argsort(number_of, kind="stable")], x[np.sort(first)]
         near = nearest_pivots(_unit(x), pivots, posted)
         places = np.arange(posted, dtype=np.int32)
         key = (near.astype(np.int32) * posted + places).reshape(-1)
         by = np.argsort(key, kind="stable")
         lengths = np.bincount(near.reshape(-1), minlength=len(pivots))
         return pa.RecordBatch.from_pydict(
-            {"block": [number], "query_block": [None], "ids": [ids.astype("<i8").tobytes()], "vecs": [x.tobytes()],
+            {"block": [number], "query_block": [None], "ids": [ids.astype("<i8").tobytes()],
+             "copies": [np.bincount(number_of).astype("<u4").tobytes()], "vecs": [x.tobytes()],
              "lengths": [lengths.astype("<u4").tobytes()], "members": [(by // posted).astype("<u2").tobytes()],
              "places": [(key[by] % posted).astype("u1").tobytes()]}, schema=schema)
 
@@ -142,7 +149,8 @@ class Block:
     def __init__(self, row: dict, posted: int):
         self.posted = posted
         self.ids = np.frombuffer(row["ids"], "<i8")
-        self.x = _scaled(np.frombuffer(row["vecs"], "<f8").reshape(len(self.ids), -1))
+        self.until = np.cumsum(np.frombuffer(row["copies"], "<u4"), dtype=np.int64)
+        self.x = _scaled(np.frombuffer(row["vecs"], "<f8").reshape(len(self.until), -1))
         self.ends = np.concatenate([[0], np.cumsum(np.frombuffer(row["lengths"], "<u4"), dtype=np.int64)])
         self.members = np.frombuffer(row["members"], "<u2").astype(np.int32)
         self.places = np.frombuffer(row["places"], "u1").astype(np.int16)
@@ -152,19 +160,31 @@ class Block:
         spans = [(self.ends[p], self.ends[p + 1]) for p in order]
         members = np.concatenate([self.members[a:b] for a, b in spans])
         near = np.concatenate([self.posted - np.abs(self.places[a:b] - own) for own, (a, b) in enumerate(spans)])
-        return np.bincount(members, weights=near, minlength=len(self.ids)).astype(np.int64)
+        return np.bincount(members, weights=near, minlength=len(self.until)).astype(np.int64)
 
     def nearest(self, qid: int, query: np.ndarray, order: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, cosines) of the k best of the block's share of least footrule."""
-        near, size = self.footrules(order), len(self.ids)
-        near[self.ids == qid] = -1
+        """(ids, cosines) of the k best rows among the block's share of least footrule."""
+        near, size = self.footrules(order), len(self.until)
+        mine = np.bincount(np.searchsorted(self.until, np.flatnonzero(self.ids == qid), "right"), minlength=size)
+        own = (mine > 0) & (mine == np.diff(self.until, prepend=0))  # vectors of the query's id alone
+        near[own] = -1
         ranked = -near * size + np.arange(size)  # ties to smaller ids
         take = ranked_exactly(size, k)
         best = np.argpartition(ranked, take - 1)[:take]
-        best = best[self.ids[best] != qid]
+        best = best[~own[best]]
         score = cosines(self.x[best], query)
-        top = np.lexsort((self.ids[best], -score))[:k]
-        return self.ids[best][top], score[top]
+        # each vector has a row that is not the query's: k rows stand in the k best, and in the first k of each
+        some = np.argsort(-score, kind="stable")
+        some = some[score[some] >= score[some[min(k, len(some)) - 1]]] if len(some) else some
+        ids, scores = [np.empty(0, "<i8")], [np.empty(0)]
+        for b, cosine in zip(best[some], score[some]):
+            copies = self.ids[self.until[b - 1] if b else 0:self.until[b]]
+            copies = copies[copies != qid][:k]
+            ids.append(copies)
+            scores.append(np.full(len(copies), cosine))
+        ids, scores = np.concatenate(ids), np.concatenate(scores)
+        top = np.lexsort((ids, -scores))[:k]
+        return ids[top], scores[top]
 
 
 def query_blocks(asked: DataFrame) -> DataFrame:

@@ -152,8 +152,20 @@ def test_pivots_are_different_vectors(spark):
     rows = permutation_index.usable(table, "vec_id", "embedding")
     assert len(permutation_index.choose_pivots(rows, 1000)) == 301
     assert len(permutation_index.choose_pivots(rows, 40)) == 40
-    got = [(row.rank, row.vec_id) for row in nearest(table, F.col("id") == 100).collect()]
-    assert sorted(got) == [(1, 0), (2, 1), (3, 2), (4, 3), (5, 4)]
+    got = [(row.rank, row.vec_id) for row in nearest(table, F.col("id") == 3).collect()]
+    assert sorted(got) == [(1, 0), (2, 1), (3, 2), (4, 4), (5, 5)]
+    blocks = permutation_index.build_index(rows.coalesce(1), permutation_index.choose_pivots(rows, 40), 16).collect()
+    assert len(blocks) == 1 and len(blocks[0].ids) == 8 * 450 and len(blocks[0].vecs) == 8 * 16 * 301
+
+
+def test_an_id_with_many_vectors_is_no_candidate_of_itself(spark):
+    r = np.random.default_rng(8)
+    x = r.normal(size=(40, 8))
+    ids = [0] * 20 + list(range(1, 21))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    got = nearest(table.coalesce(1), F.col("id") == 0).collect()
+    assert sorted(row["rank"] for row in got) == [1, 2, 3, 4, 5] and all(row.vec_id > 0 for row in got)
+    assert nearest(table.filter("vec_id = 0").coalesce(1), F.col("id") == 0).isEmpty()
 
 
 def test_only_opened_files_are_read(spark):
