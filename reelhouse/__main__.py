@@ -28,13 +28,15 @@ def main(argv=None) -> int:
     ap.add_argument("--master", default=None, help="e.g. local[8]; omit under spark-submit")
     ap.add_argument("--input-bytes", type=int, default=None, help="input size, to size shuffles")
     ap.add_argument("--raise-on-fail", action="store_true", help="fail the run when a check fails")
+    ap.add_argument("--split-text", action="store_true",
+                    help="read large movies and tags files in splits (RFC 4180 quotes)")
     ap.add_argument("--incremental", action="store_true", help="bring the delivered ratings into the last published fact")
     args = ap.parse_args(argv)
     delivered = (args.ratings, args.movies, args.tags, args.users, args.captured_at)
     if not args.tables and not all(delivered):
         ap.error("give --tables, or all of --ratings --movies --tags --users --captured-at")
     spark = apply_defaults(build_session(args.master))
-    out = run_pipeline(spark, args.tables or SourceFiles(*delivered), args.out.rstrip("/"), args.run_id,
+    out = run_pipeline(spark, args.tables or SourceFiles(*delivered, args.split_text), args.out.rstrip("/"), args.run_id,
                        raise_on_fail=args.raise_on_fail, input_bytes=args.input_bytes, incremental=args.incremental)
     print(json.dumps({"run_id": args.run_id, "status": out["status"],
                       "sources": [r.asDict() for r in out["source_report"].collect()] if out["source_report"] else [],

@@ -37,7 +37,7 @@ from reelhouse.operators import mart as mart_ops
 from reelhouse.plans.gold import GoldBuild
 from reelhouse.session import size_shuffles_for
 from reelhouse.sources import counts as counts_src
-from reelhouse.sources import files, sinks
+from reelhouse.sources import files, records, sinks
 from reelhouse.streaming import fact_parts
 
 LOG = "_log"
@@ -45,17 +45,26 @@ LOG = "_log"
 
 @dataclass
 class SourceFiles:
-    """Paths of the delivered files; ``captured_at`` is the time of the users file."""
+    """Paths of the delivered files; ``captured_at`` is the time of the users file.  With ``split_text`` the
+    free-text files (movies, tags) are read in splits; they must then follow RFC 4180 (see ``sources.records``)."""
     ratings: str
     movies: str
     tags: str
     users: str
     captured_at: str
+    split_text: bool = False
+
+    def scan_movies(self, spark: SparkSession, path: str) -> DataFrame:
+        return (records.scan_records(spark, path, files.MOVIES_SCHEMA) if self.split_text
+                else files.scan_movies(spark, path))
+
+    def scan_tags(self, spark: SparkSession, path: str) -> DataFrame:
+        return records.scan_records(spark, path, files.TAGS_SCHEMA) if self.split_text else files.scan_tags(spark, path)
 
     def counts(self, spark: SparkSession) -> DataFrame:
         return counts_src.source_row_counts(spark, {
-            "ratings": (files.scan_ratings, self.ratings), "movies": (files.scan_movies, self.movies),
-            "tags": (files.scan_tags, self.tags), "users": (files.scan_users, self.users)})
+            "ratings": (files.scan_ratings, self.ratings), "movies": (self.scan_movies, self.movies),
+            "tags": (self.scan_tags, self.tags), "users": (files.scan_users, self.users)})
 
     def rejected(self, spark: SparkSession) -> DataFrame:
         """(source, file, line): the lines that the scans leave out; a missing path has none."""
@@ -63,7 +72,9 @@ class SourceFiles:
         for name, path, schema in (("ratings", self.ratings, files.RATINGS_SCHEMA), ("movies", self.movies, files.MOVIES_SCHEMA),
                                    ("tags", self.tags, files.TAGS_SCHEMA), ("users", self.users, files.USERS_SCHEMA)):
             try:
-                parts.append(files.rejected(spark, path, schema).select(F.lit(name).alias("source"), "file", "line"))
+                split = self.split_text and name in ("movies", "tags")
+                bad = (records.rejected_records if split else files.rejected)(spark, path, schema)
+                parts.append(bad.select(F.lit(name).alias("source"), "file", "line"))
             except AnalysisException as e:
                 if e.getCondition() != "PATH_NOT_FOUND":
                     raise
@@ -145,8 +156,8 @@ def check_sources(spark: SparkSession, src: SourceFiles, root: str) -> DataFrame
 def gold_of_files(spark: SparkSession, src: SourceFiles, snapshot: DataFrame) -> GoldBuild:
     """The lazy gold build over delivered files and a user history."""
     return GoldBuild(spark, "", overrides={
-        "raw_ratings": files.scan_ratings(spark, src.ratings), "raw_movies": files.scan_movies(spark, src.movies),
-        "raw_tags": files.scan_tags(spark, src.tags), "user_snapshot": snapshot})
+        "raw_ratings": files.scan_ratings(spark, src.ratings), "raw_movies": src.scan_movies(spark, src.movies),
+        "raw_tags": src.scan_tags(spark, src.tags), "user_snapshot": snapshot})
 
 
 def run_concurrently(*steps) -> list:

@@ -12,8 +12,8 @@ from reelhouse.functions.keys import surrogate_key
 from reelhouse.operators import bitemporal, comparison, drift, facts, history, intervals, rollups
 from reelhouse.plans import oracle as O
 from reelhouse.plans.gold import GoldBuild
-from reelhouse.plans.registry import register, staging_dir
-from reelhouse.sources import files, fixtures, semistructured, sinks
+from reelhouse.plans.registry import register, staged_csv, staging_dir
+from reelhouse.sources import files, fixtures, records, semistructured, sinks
 from reelhouse.streaming import incremental, interval_join, ratings_stream, sessions
 
 # Fixed values.
@@ -340,3 +340,20 @@ def _drift(g: GoldBuild) -> DataFrame:
     first, last = (users.filter(F.col("capture_ts") == F.lit(d).cast("timestamp")) for d in (g.capture_dates[0], g.capture_dates[-1]))
     out = drift.drift(first, last, ["created_day"], ["membership_tier", "region", "device_preference"])
     return out.withColumns({"psi": F.round("psi", 9), "ks": F.round("ks", 9)})
+
+
+# --- free-text files in splits (A2, A3) -----------------------------------------------------------
+@register("scan_movies_split", O.sql_with("SELECT * FROM fx_movies", "fx_movies"))
+def _movies_split(g: GoldBuild) -> DataFrame:
+    """A2: the titles as CSV, read in splits."""
+    return records.scan_records(g.spark, staged_csv(g, "movies-split", g.raw_movies), files.MOVIES_SCHEMA)
+
+
+@register("scan_tags_split", O.sql_with("""
+SELECT "userId", "movieId", concat(tag, chr(10), '"', tag, '", ', chr(13), chr(10), "userId") AS tag, "timestamp"
+FROM fx_tags""", "fx_tags"))
+def _tags_split(g: GoldBuild) -> DataFrame:
+    """A3: tags whose texts hold line breaks, quotes and commas, read in splits."""
+    tag = F.concat("tag", F.lit('\n"'), "tag", F.lit('", \r\n'), F.col("userId").cast("string"))
+    path = staged_csv(g, "tags-split", g.raw_tags.withColumn("tag", tag))
+    return records.scan_records(g.spark, path, files.TAGS_SCHEMA)
