@@ -149,29 +149,33 @@ class Block:
     def __init__(self, row: dict, posted: int):
         self.posted = posted
         self.ids = np.frombuffer(row["ids"], "<i8")
-        self.until = np.cumsum(np.frombuffer(row["copies"], "<u4"), dtype=np.int64)
+        self.copies = np.frombuffer(row["copies"], "<u4")
+        self.until = np.cumsum(self.copies, dtype=np.int64)
         self.x = _scaled(np.frombuffer(row["vecs"], "<f8").reshape(len(self.until), -1))
         self.ends = np.concatenate([[0], np.cumsum(np.frombuffer(row["lengths"], "<u4"), dtype=np.int64)])
-        self.members = np.frombuffer(row["members"], "<u2").astype(np.int32)
+        self.members = np.frombuffer(row["members"], "<u2").astype(np.intp)
         self.places = np.frombuffer(row["places"], "u1").astype(np.int16)
 
     def footrules(self, order: np.ndarray) -> np.ndarray:
         """Per vector, what its footrule to a query with these nearest pivots lacks of the largest, by the opened files."""
-        spans = [(self.ends[p], self.ends[p + 1]) for p in order]
-        members = np.concatenate([self.members[a:b] for a, b in spans])
-        near = np.concatenate([self.posted - np.abs(self.places[a:b] - own) for own, (a, b) in enumerate(spans)])
-        return np.bincount(members, weights=near, minlength=len(self.until)).astype(np.int64)
+        starts, ends = self.ends[order], self.ends[order + 1]
+        spans = [slice(a, b) for a, b in zip(starts.tolist(), ends.tolist())]
+        members = np.concatenate([self.members[s] for s in spans])
+        near = np.concatenate([self.places[s] for s in spans])
+        near -= np.repeat(np.arange(len(order), dtype=np.int16), ends - starts)
+        np.abs(near, out=near)
+        return np.bincount(members, weights=self.posted - near, minlength=len(self.until)).astype(np.int64)
 
     def nearest(self, qid: int, query: np.ndarray, order: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, cosines) of the k best rows among the block's share of least footrule."""
         near, size = self.footrules(order), len(self.until)
-        mine = np.bincount(np.searchsorted(self.until, np.flatnonzero(self.ids == qid), "right"), minlength=size)
-        own = (mine > 0) & (mine == np.diff(self.until, prepend=0))  # vectors of the query's id alone
+        mine, rows = np.unique(np.searchsorted(self.until, np.flatnonzero(self.ids == qid), "right"), return_counts=True)
+        own = mine[rows == self.copies[mine]]  # vectors of the query's id alone
         near[own] = -1
         ranked = -near * size + np.arange(size)  # ties to smaller ids
         take = ranked_exactly(size, k)
         best = np.argpartition(ranked, take - 1)[:take]
-        best = best[~own[best]]
+        best = best[near[best] >= 0]
         score = cosines(self.x[best], query)
         # each vector has a row that is not the query's: k rows stand in the k best, and in the first k of each
         some = np.argsort(-score, kind="stable")
@@ -226,8 +230,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", ve
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = None
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = {c: v[0] for c, v in batch.slice(i, 1).to_pydict().items()}
+            for row in (r for i in range(batch.num_rows) for r in batch.slice(i, 1).to_pylist()):
                 if row["query_block"] is None:
                     files = Block(row, posted)
                     continue
