@@ -290,3 +290,30 @@ def test_fixture_of_late_captures_is_out_of_order(spark):
     caps = fixtures.with_recording(GoldBuild(spark, SF).stg_user_captures)
     late = caps.groupBy("user_id").agg(F.max_by("capture_ts", "recorded_ts").alias("last"), F.max("capture_ts").alias("newest"))
     assert late.filter("last < newest").count() > 0
+
+
+# --- joins and tasks at size ------------------------------------------------------------
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString(), df._jdf.queryExecution().executedPlan().toString()
+
+
+def windows_case(spark):
+    fact = spark.createDataFrame([("t1", "v1", at(5)), ("t1", "v2", at(15)), ("t2", "v1", at(5))],
+                                 "content_sk string, user_sk string, rated_at timestamp")
+    users = spark.createDataFrame([("v1", "u", "NA", at(0), at(10)), ("v2", "u", "EU", at(10), END)],
+                                  "user_sk string, user_id string, region string, valid_from timestamp, valid_to timestamp")
+    windows = spark.sql(f"""SELECT * FROM VALUES ('t1', 'NA', TIMESTAMP '{at(3)}', TIMESTAMP '{at(8)}'), ('t1', 'EU', TIMESTAMP '{at(20)}', TIMESTAMP '{END}')
+                            AS w (content_sk, region, available_from, available_to)""")
+    return fact, users, windows
+
+
+def test_windows_are_not_broadcast(spark):
+    """However small Spark takes them for, merged windows meet the fact in a merge join."""
+    fact, users, windows = windows_case(spark)
+    flagged, exposed = intervals.with_availability(fact, users, windows), intervals.audience_exposure(fact, users, windows)
+    for df, keys in ((flagged, "_title"), (exposed, "content_sk")):
+        joins = [x for x in plan_of(df)[1].splitlines() if "Join [content_sk" in x and keys in x]
+        assert joins and all("SortMergeJoin" in x for x in joins), joins
+    assert rows_of(flagged, ["content_sk", "user_sk", "was_available"]) == [("t1", "v1", True), ("t1", "v2", False), ("t2", "v1", False)]
+    assert rows_of(exposed, ["content_sk", "region", "valid_from", "valid_to"]) == sorted(
+        [("t1", "NA", at(3), at(8)), ("t1", "EU", at(20), END)], key=str)
