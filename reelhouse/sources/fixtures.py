@@ -120,27 +120,33 @@ def fx_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """movie_id, region, available_from, available_to: invented licence contracts of every title, drawn
     from an MD5 of (title, region, slot).  Contracts overlap; the last one touches the one before; some have no
     end, some are missing."""
-    titles = read_table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("movie_id"))
+    # a fixed number of tasks: a file of one row group is one task otherwise, and the few bytes of the keys would be
+    # joined into one before they are expanded
+    titles = (read_table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("movie_id"))
+              .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "movie_id"))
     slots = (titles.withColumn("region", F.explode(F.array(*[F.lit(r) for r in ("NA", "EU", "APAC", "LATAM")])))
              .withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(LICENCE_SLOTS - 1)))))
 
-    def digits(slot, first, n):
-        text = F.concat_ws("-", "movie_id", "region", slot.cast("string"))
-        return F.conv(F.substring(F.md5(text), first, n), 16, 10).cast("int")
+    def digest(slot):
+        return F.md5(F.concat_ws("-", "movie_id", "region", slot.cast("string")))
 
-    def start(slot):
-        return F.date_add(F.lit(LICENCE_EPOCH).cast("date"), digits(slot, 2, 3) % 2600)
+    def digits(h, first, n):
+        return F.conv(F.substring(h, first, n), 16, 10).cast("int")
 
-    def end(slot):
-        return F.date_add(start(slot), digits(slot, 5, 3) % 700 + 1)
+    def start(h):
+        return F.date_add(F.lit(LICENCE_EPOCH).cast("date"), digits(h, 2, 3) % 2600)
+
+    def end(h):
+        return F.date_add(start(h), digits(h, 5, 3) % 700 + 1)
 
     slot = F.col("slot")
     touching = slot == LICENCE_SLOTS - 1
-    before = end(slot - 1)
-    return slots.select(
-        "movie_id", "region", F.when(touching, before).otherwise(start(slot)).cast("timestamp").alias("available_from"),
-        F.when(digits(slot, 8, 1) > 0, F.when(touching, F.date_add(before, digits(slot, 5, 3) % 700 + 1)).otherwise(end(slot)))
-         .cast("timestamp").alias("available_to"), digits(slot, 1, 1).alias("_draw")).filter("_draw < 10").drop("_draw")
+    drawn = slots.withColumn("_h", digest(slot)).filter(digits("_h", 1, 1) < 10)
+    before = end(digest(slot - 1))
+    return drawn.select(
+        "movie_id", "region", F.when(touching, before).otherwise(start("_h")).cast("timestamp").alias("available_from"),
+        F.when(digits("_h", 8, 1) > 0, F.when(touching, F.date_add(before, digits("_h", 5, 3) % 700 + 1)).otherwise(end("_h")))
+         .cast("timestamp").alias("available_to"))
 
 
 def with_recording(captures: DataFrame) -> DataFrame:

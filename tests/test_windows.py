@@ -317,3 +317,10 @@ def test_windows_are_not_broadcast(spark):
     assert rows_of(flagged, ["content_sk", "user_sk", "was_available"]) == [("t1", "v1", True), ("t1", "v2", False), ("t2", "v1", False)]
     assert rows_of(exposed, ["content_sk", "region", "valid_from", "valid_to"]) == sorted(
         [("t1", "NA", at(3), at(8)), ("t1", "EU", at(20), END)], key=str)
+
+
+def test_licences_are_drawn_in_many_tasks(spark, tmp_dir):
+    spark.range(200).withColumnRenamed("id", "p_partkey").coalesce(1).write.parquet(f"{tmp_dir}/part.parquet")
+    licences = fixtures.fx_licences(spark, tmp_dir)
+    assert licences.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert licences.select("movie_id").distinct().count() > 190
