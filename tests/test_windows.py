@@ -324,3 +324,27 @@ def test_licences_are_drawn_in_many_tasks(spark, tmp_dir):
     licences = fixtures.fx_licences(spark, tmp_dir)
     assert licences.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert licences.select("movie_id").distinct().count() > 190
+
+
+def test_late_deliveries_keep_their_tasks(spark, tmp_dir):
+    """A delivery is written by as many tasks as it has, and read as one batch."""
+    import glob
+    from reelhouse.plans import registry
+    from reelhouse.session import checkpoint_root
+    n = F.col("id")
+    spark.range(400).select((n / 4).cast("long").alias("l_orderkey"), (n % 30).alias("l_partkey"), (n % 50 + 1).cast("double").alias("l_quantity"),
+                            F.timestamp_seconds(n * 90000 + 800000000).cast("timestamp_ntz").alias("l_shipdate")).write.parquet(f"{tmp_dir}/lineitem.parquet")
+    spark.range(100).select(n.alias("o_orderkey"), (n % 17).alias("o_custkey")).write.parquet(f"{tmp_dir}/orders.parquet")
+    there = set(glob.glob(f"{checkpoint_root(spark)}/**/stream-late-*".replace("file://", ""), recursive=True))
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        got = registry.queries()["stream_ratings_late"](spark, tmp_dir)
+    finally:
+        spark.conf.set(coalesce, old)
+    root, = set(glob.glob(f"{checkpoint_root(spark)}/**/stream-late-*".replace("file://", ""), recursive=True)) - there
+    assert len(glob.glob(f"{root}/in/delivery=0/*.parquet")) > 1
+    assert sorted(p.rsplit("=", 1)[1] for p in glob.glob(f"{root}/out/batch=*")) == ["0", "1", "2"]
+    want = GoldBuild(spark, tmp_dir).stg_ratings
+    assert rows_of(got, ["user_id", "movie_id", "rating_value"]) == rows_of(want, ["user_id", "movie_id", "rating_value"])
