@@ -326,6 +326,28 @@ def test_licences_are_drawn_in_many_tasks(spark, tmp_dir):
     assert licences.select("movie_id").distinct().count() > 190
 
 
+def test_users_meet_the_ratings_before_titles(spark):
+    ratings = spark.createDataFrame([("u", "m", 1.0, at(0), True)],
+                                    "user_id string, movie_id string, rating_value double, rated_at timestamp, is_positive boolean")
+    content = spark.createDataFrame([("t", "m", 1990)], "content_sk string, movie_id string, release_year int")
+    users = spark.createDataFrame([("v", "u", "basic", at(0), END)],
+                                  "user_sk string, user_id string, membership_tier string, valid_from timestamp, valid_to timestamp")
+    fact = facts.fact_viewership(ratings, content, users)
+    joins = [x for x in plan_of(fact)[0].splitlines() if "Join Inner" in x]
+    assert len(joins) == 2 and "movie_id" in joins[0] and "_uid" in joins[1]
+    assert rows_of(fact, ["user_sk", "content_sk"]) == [("v", "t")]
+
+
+def test_latest_rating_moves_each_column_once(spark):
+    rows = [("u", "t", at(1), "a", 2.0, "x"), ("u", "t", at(2), "a", 1.0, "y"), ("u", "t", at(2), "b", 1.0, "z"), ("u", "t", at(2), "b", 3.0, None),
+            ("u", None, None, "a", 1.0, "x")]
+    fact = spark.createDataFrame(rows, "user_id string, content_sk string, rated_at timestamp, rating_sk string, rating_value double, tier string")
+    latest = facts.latest_rating(fact.select("tier", *fact.columns[:-1]))
+    assert latest.columns == ["user_id", "content_sk", "tier", "rated_at", "rating_sk", "rating_value"]
+    assert rows_of(latest, fact.columns) == sorted([rows[3], rows[4]], key=str)
+    assert "max_by" not in plan_of(latest)[0]
+
+
 def test_late_deliveries_keep_their_tasks(spark, tmp_dir):
     """A delivery is written by as many tasks as it has, and read as one batch."""
     import glob
