@@ -85,10 +85,10 @@ def title_rating_stats(hist: DataFrame) -> DataFrame:
 def title_audience(fact: DataFrame, dim_user: DataFrame) -> DataFrame:
     """D3 + distinct counts: unique user versions and regions per title.
 
-    Distinct (title, user version) pairs are formed first (partial
-    aggregation, hashed on both columns so a hot title spreads over many
-    tasks); only they meet the user dimension in a left join on ``user_sk``."""
-    pairs = fact.select("content_sk", "user_sk").distinct()
+    Distinct (title, user version) pairs are formed first, hashed on the user
+    version: a hot title spreads over many tasks, and only they meet the user dimension in a
+    left join on ``user_sk`` without being moved again.  A hot user version has at most a pair per title."""
+    pairs = fact.select("content_sk", "user_sk").repartition("user_sk").distinct()
     return (pairs.join(dim_user.select("user_sk", "region"), "user_sk", "left")
             .groupBy("content_sk")
             .agg(F.count("user_sk").alias("unique_raters"),

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import functions as F
@@ -91,3 +92,11 @@ def test_stats_exact_for_any_tenth(spark):
     assert r.rating_stddev == want
     assert r.avg_rating == (Decimal("16.0") / 5).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
     assert r.median_rating == Decimal("3.30")
+
+
+def test_audience_pairs_move_once_to_the_users(spark):
+    fact = spark.createDataFrame([("t", "v"), ("t", "v"), ("t", "w"), ("s", None), ("s", "gone")], "content_sk string, user_sk string")
+    users = spark.createDataFrame([("v", "NA"), ("w", "NA")], "user_sk string, region string")
+    got = mart.title_audience(fact, users.hint("merge"))
+    assert sorted(map(tuple, got.collect())) == [("s", 1, 0), ("t", 2, 1)]
+    assert "hashpartitioning(content_sk, user_sk" not in re.sub(r"#\d+L?", "", got._jdf.queryExecution().executedPlan().toString())
