@@ -97,20 +97,22 @@ def test_merged_intervals_keep_no_uncompressed_checkpoint(spark):
     assert set(glob.glob(f"{root}/*/rdd-*")) == rdds
 
 
-def _incremental(spark, tmp_dir, first):
+def test_dimension_rows_that_come_twice_are_counted_once(spark, tmp_dir):
     g = GoldBuild(spark, SF)
+    content, users = (d.unionByName(d.limit(40)) for d in (g.dim_content, g.dim_user))
     path = f"{tmp_dir}/fact"
-    ratings = g.stg_ratings.unionByName(g.stg_ratings.limit(3))
-    sinks.write_gold(facts.fact_viewership(g.stg_ratings.filter(first), g.dim_content, g.dim_user), path, "rating_year")
-    full = facts.fact_viewership(ratings, g.dim_content, g.dim_user)
-    return path, ratings, g, full
+    sinks.write_gold(facts.fact_viewership(g.stg_ratings.filter("movie_id % 3 <> 0"), content, users), path, "rating_year")
+    incremental.incremental_fact(spark, path, g.stg_ratings, content, users)
+    full = facts.fact_viewership(g.stg_ratings, content, users)
+    assert full.count() > g.fact.count() and _rows(spark.read.parquet(path).select(*full.columns)) == _rows(full)
 
 
 @pytest.mark.parametrize("first", ["rated_at < '1996-01-01'", "pmod(xxhash64(user_id, movie_id, rated_at), 10) <> 0"])
 def test_incremental_fact_keeps_nothing_staged(spark, tmp_dir, first):
-    ratings = GoldBuild(spark, SF).stg_ratings.cache()
-    path, _, g, _ = _incremental(spark, tmp_dir, first)
-    twice = ratings.unionByName(ratings.filter("movie_id % 50 = 2"))
+    g = GoldBuild(spark, SF)
+    path = f"{tmp_dir}/fact"
+    sinks.write_gold(facts.fact_viewership(g.stg_ratings.filter(first), g.dim_content, g.dim_user), path, "rating_year")
+    twice = g.stg_ratings.unionByName(g.stg_ratings.filter("movie_id % 50 = 2"))
     was = _staged(spark)
     n = spark.read.parquet(path).count()
     got = incremental.incremental_fact(spark, path, twice, g.dim_content, g.dim_user)
@@ -121,7 +123,6 @@ def test_incremental_fact_keeps_nothing_staged(spark, tmp_dir, first):
     files = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/*/*.parquet")}
     assert incremental.incremental_fact(spark, path, twice, g.dim_content, g.dim_user)["rows"] == 0
     assert files == {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/*/*.parquet")}
-    ratings.unpersist()
 
 
 def test_equal_years_are_told_by_their_prints(spark, tmp_dir, monkeypatch):
